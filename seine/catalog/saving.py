@@ -51,7 +51,7 @@ def upsert_latest(spark, sf_dir):
     """All pages saved once, then those of blog hosts again with a new title."""
     pages = inputs.parsed_with_id(spark, sf_dir, ("title",))
     first = pages.select("url", "title", F.lit(0).cast("long").alias("seq"))
-    again = pages.where(F.col("url").contains("://blog.")).select("url", F.upper("title").alias("title"), F.lit(1).cast("long").alias("seq"))
+    again = pages.where(F.col("url").contains("://blog.")).select("url", F.concat("title", F.lit(" (new)")).alias("title"), F.lit(1).cast("long").alias("seq"))
     sink = SnapshotSink(scratch_path(spark, "snapshot"), _UPDATES, order="seq", buckets=8)
     sink.init(spark)
     sink.write(first, 0)
@@ -77,6 +77,6 @@ ORACLES = {
     "earliest_record": f"SELECT * FROM ({RECORDS_SQL}) ORDER BY crawled_us, url LIMIT 1",
     "upsert_latest": f"""
       WITH r AS ({RECORDS_SQL})
-      SELECT url, CASE WHEN url LIKE '%://blog.%' THEN upper(title) ELSE title END AS title,
+      SELECT url, CASE WHEN url LIKE '%://blog.%' THEN concat(title, ' (new)') ELSE title END AS title,
         CAST(CASE WHEN url LIKE '%://blog.%' THEN 1 ELSE 0 END AS BIGINT) AS seq FROM r""",
 }

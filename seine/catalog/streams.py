@@ -18,7 +18,7 @@ from .pages import RECORDS_SQL, flat_records
 
 def _events(spark, sf_dir):
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return inputs.as_fetch_log(stream_captures(spark, f"{sf_dir}/events.parquet", inputs.EVENTS))
+    return inputs.as_fetch_log(stream_captures(spark, f"{sf_dir}/events.parquet*", inputs.EVENTS))
 
 
 def _drain(rows, schema):
@@ -65,7 +65,7 @@ def stream_counters(spark, sf_dir):
 def stream_save(spark, sf_dir):
     """Pages parsed and saved as they arrive, then read back."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    pages = stream_captures(spark, f"{sf_dir}/pages.parquet", inputs.PAGES)
+    pages = stream_captures(spark, f"{sf_dir}/pages.parquet*", inputs.PAGES)
     parsed = parse_pages(pages, keep=("page_id", "url")).withColumn("content_type", F.lit("text/html"))
     saved_at = F.timestamp_micros(F.lit(1_700_000_000_000_000) + F.col("page_id") * 1_000_000)
     path = scratch_path(spark, "saved")

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import ipaddress
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .binding import let
+
 # The non-public IPv4 ranges, and two public holes inside them.
 BLOCKED_IPV4 = (
     "0.0.0.0/8", "10.0.0.0/8", "127.0.0.0/8", "169.254.0.0/16", "172.16.0.0/12",
@@ -29,11 +31,6 @@ _OCTET = r"(25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _QUAD = rf"^{_OCTET}\.{_OCTET}\.{_OCTET}\.{_OCTET}$"
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of ``value``, which appears once in the plan however often it is used."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _any(conditions: Iterable[Column]) -> Column:
     return reduce(Column.__or__, conditions)
 
@@ -51,7 +48,7 @@ def _inside_v4(number: Column, ranges: Iterable[str]) -> Column:
 
 
 def blocked_ipv4(ip: Column) -> Column:
-    return _let(ipv4_number(ip), lambda n: F.coalesce(
+    return let(ipv4_number(ip), lambda n: F.coalesce(
         _inside_v4(n, BLOCKED_IPV4) & ~_inside_v4(n, PUBLIC_IPV4), F.lit(False)
     ))
 
@@ -59,7 +56,7 @@ def blocked_ipv4(ip: Column) -> Column:
 def _hex_tail(text: Column) -> Column:
     """The text with a dotted-quad tail written as two hex groups."""
     tail = F.regexp_extract(text, r":(\d[\d.]*\.[\d.]*)$", 1)
-    as_hex = _let(ipv4_number(tail), lambda n: F.lower(F.concat(
+    as_hex = let(ipv4_number(tail), lambda n: F.lower(F.concat(
         F.hex(F.shiftright(n, 16)), F.lit(":"), F.hex(n.bitwiseAND(F.lit(65535)))
     )))
     return F.when(tail == "", text).otherwise(F.concat(F.regexp_replace(text, r"[^:]*$", ""), as_hex))
@@ -79,8 +76,8 @@ def _fill(sides: Column) -> Column:
 def ipv6_groups(ip: Column) -> Column:
     """The eight 16-bit groups of an IPv6 text, null for anything else."""
     text = F.lower(F.regexp_replace(ip, r"%[^%]+$", ""))
-    groups = _let(F.split(_hex_tail(text), "::", -1), _fill)
-    return _let(groups, lambda filled: F.when(
+    groups = let(F.split(_hex_tail(text), "::", -1), _fill)
+    return let(groups, lambda filled: F.when(
         (F.size(filled) == 8) & F.forall(filled, lambda g: g.rlike("^[0-9a-f]{1,4}$")),
         F.transform(filled, lambda g: F.conv(g, 16, 10).cast("int")),
     ))
@@ -103,7 +100,7 @@ def blocked_ipv6(ip: Column) -> Column:
         inside = lambda nets: _any(_in_v6(groups, net) for net in nets)
         return F.coalesce(~(inside(PUBLIC_IPV6) & ~(inside(BLOCKED_IPV6) & ~inside(PUBLIC_IPV6_HOLES))), F.lit(False))
 
-    return _let(ipv6_groups(ip), verdict)
+    return let(ipv6_groups(ip), verdict)
 
 
 def blocked_ip(ip: Column | str) -> Column:

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .binding import let
+
 _SCHEME = r"^([A-Za-z][A-Za-z0-9+.\-]*):"
 _PARTS = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(//[^/?#]*)?([^?#]*)(\?[^#]*)?(#.*)?$"
 
@@ -67,33 +69,56 @@ def _fold_dots(segments: Column) -> Column:
 def _merge_paths(base_path: Column, path: Column) -> Column:
     """Path of a relative reference below the base's folder, or of a rooted one."""
     base_dir = F.regexp_replace(base_path, r"[^/]+$", "")
-    segments = F.split(F.when(path.startswith("/"), path).otherwise(F.concat(base_dir, F.lit("/"), path)), "/", -1)
-    inner = F.filter(F.slice(segments, 2, F.greatest(F.size(segments) - 2, F.lit(0))), lambda seg: seg != "")
-    whole = F.when(F.size(segments) == 1, segments).otherwise(
-        F.concat(F.slice(segments, 1, 1), inner, F.slice(segments, -1, 1))
+
+    def below(segments: Column) -> Column:
+        inner = F.filter(F.slice(segments, 2, F.greatest(F.size(segments) - 2, F.lit(0))), lambda seg: seg != "")
+        return F.when(F.size(segments) == 1, segments).otherwise(
+            F.concat(F.slice(segments, 1, 1), inner, F.slice(segments, -1, 1))
+        )
+
+    segments = F.when(path.startswith("/"), F.split(path, "/", -1)).otherwise(
+        let(F.split(F.concat(base_dir, F.lit("/"), path), "/", -1), below)
     )
-    joined = F.array_join(_fold_dots(whole), "/")
-    return F.when(joined.startswith("/"), joined).otherwise(F.concat(F.lit("/"), joined))
+    joined = F.array_join(let(segments, _fold_dots), "/")
+    return let(joined, lambda p: F.when(p.startswith("/"), p).otherwise(F.concat(F.lit("/"), p)))
+
+
+def _marked(part: Column) -> Column:
+    """A query or fragment with its mark; a bare '?' or '#' vanishes."""
+    return F.when(F.length(part) > 1, part).otherwise(F.lit(""))
+
+
+def _parts(url: Column) -> Column:
+    return let(clean(url), lambda text: F.struct(
+        F.lower(_part(text, 1)).alias("scheme"),
+        _part(text, 2).alias("net"),
+        _part(text, 3).alias("path"),
+        _marked(_part(text, 4)).alias("query"),
+        _marked(_part(text, 5)).alias("fragment"),
+        text.alias("text"),
+    ))
 
 
 def absolutise(base: Column | str, reference: Column | str) -> Column:
     """Resolve ``reference`` against the http(s) URL ``base``."""
-    base, ref = clean(base), clean(reference)
-    ref_scheme, ref_net, ref_path = F.lower(_part(ref, 1)), _part(ref, 2), _part(ref, 3)
-    base_scheme, base_net, base_path = F.lower(_part(base, 1)), _part(base, 2), _part(base, 3)
-    mark = lambda part: F.when(F.length(part) > 1, part).otherwise(F.lit(""))  # noqa: E731 - bare '?' or '#' vanish
-    query, fragment = mark(_part(ref, 4)), mark(_part(ref, 5))
-    origin = F.concat(base_scheme, F.lit(":"), base_net)
-    return (
-        F.when(F.length(ref) == 0, base)
-        .when((ref_scheme != "") & (ref_scheme != base_scheme), _col(reference))
-        .when(F.length(ref_net) > 2, F.concat(base_scheme, F.lit(":"), ref_net, ref_path, query, fragment))
-        .when(
-            ref_path == "",
-            F.concat(origin, base_path, F.when(query != "", query).otherwise(mark(_part(base, 4))), fragment),
+    given = _col(reference)
+
+    def resolve(pair: Column) -> Column:
+        b, r = pair["b"], pair["r"]
+        origin = F.concat(b["scheme"], F.lit(":"), b["net"])
+        tail = F.concat(r["query"], r["fragment"])
+        return (
+            F.when(F.length(r["text"]) == 0, b["text"])
+            .when((r["scheme"] != "") & (r["scheme"] != b["scheme"]), given)
+            .when(F.length(r["net"]) > 2, F.concat(b["scheme"], F.lit(":"), r["net"], r["path"], tail))
+            .when(
+                r["path"] == "",
+                F.concat(origin, b["path"], F.when(r["query"] != "", r["query"]).otherwise(b["query"]), r["fragment"]),
+            )
+            .otherwise(F.concat(origin, _merge_paths(b["path"], r["path"]), tail))
         )
-        .otherwise(F.concat(origin, _merge_paths(base_path, ref_path), query, fragment))
-    )
+
+    return let(F.struct(_parts(_col(base)).alias("b"), _parts(given).alias("r")), resolve)
 
 
 def robots_url(page_url: Column | str) -> Column:
@@ -117,10 +142,8 @@ def percent_encode(text: Column) -> Column:
 
 def robots_path(url: Column | str) -> Column:
     """The normalised path, query and fragment that robots rules are matched on."""
-    decoded = percent_decode(_col(url))
-    tail = F.concat(
-        _part(decoded, 3),
-        F.when(F.length(_part(decoded, 4)) > 1, _part(decoded, 4)).otherwise(F.lit("")),
-        F.when(F.length(_part(decoded, 5)) > 1, _part(decoded, 5)).otherwise(F.lit("")),
-    )
-    return F.when(tail == "", F.lit("/")).otherwise(percent_encode(tail))
+    def tail(text: Column) -> Column:
+        return F.concat(_part(text, 3), _marked(_part(text, 4)), _marked(_part(text, 5)))
+
+    path = let(percent_decode(_col(url)), tail)
+    return let(path, lambda p: F.when(p == "", F.lit("/")).otherwise(percent_encode(p)))

@@ -200,7 +200,7 @@ def replay_breaker(
         "_chunk": F.floor(moment / F.lit(width)),
     })
 
-    def summarise(key, table: pa.Table) -> pa.Table:
+    def summarise(key, table):
         table = table.sort_by([("_us", "ascending"), ("_seq", "ascending")])
         chunk = table.column("_chunk")[0].as_py()
         made = chunk_function(
@@ -219,7 +219,7 @@ def replay_breaker(
     ])
     names, arrow = log.columns, to_arrow_schema(out_schema)
 
-    def mark(key, table: pa.Table) -> pa.Table:
+    def mark(key, table):
         table = table.sort_by([("_us", "ascending"), (seq, "ascending")])
         opened, failures = table.column("_opened_at")[0].as_py(), table.column("_failures")[0].as_py()
         allowed, is_open, _, _ = walk(

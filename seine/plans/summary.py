@@ -15,14 +15,14 @@ def run_summary(log: DataFrame, top: int = 10) -> DataFrame:
     Each part is aggregated to one row (statuses and the top list are bounded by
     nature) before the rows are put side by side.
     """
-    codes = fetchlog.status_histogram(log).agg(F.array_sort(F.collect_list(F.struct("status", "n"))))
+    pairs = F.array_sort(F.collect_list(F.struct("status", "n")))
+    codes = fetchlog.status_histogram(log).agg(
+        F.map_from_entries(F.transform(pairs, lambda c: F.struct(c["status"].cast("string"), c["n"])))
+    )
     by_count = lambda a, b: F.when(a["n"] != b["n"], F.signum(b["n"] - a["n"]).cast("int")).when(
         a["host"] < b["host"], F.lit(-1)
     ).otherwise(F.lit(1))
     domains = fetchlog.top_domains(log, top).agg(F.array_sort(F.collect_list(F.struct("host", "n")), by_count))
-    codes_by_name = F.map_from_entries(
-        F.transform(codes.scalar(), lambda c: F.struct(c["status"].cast("string"), c["n"]))
-    )
     return fetchlog.run_totals(log).select(
         "total_pages",
         "successful",
@@ -31,7 +31,7 @@ def run_summary(log: DataFrame, top: int = 10) -> DataFrame:
         "elapsed_seconds",
         iso_time(F.col("started_at")).alias("started_at"),
         iso_time(F.col("finished_at")).alias("finished_at"),
-        codes_by_name.alias("status_codes"),
+        codes.scalar().alias("status_codes"),
         domains.scalar().alias("top_domains"),
     )
 

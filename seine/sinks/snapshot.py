@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from .. import schemas
 from ..operators.records import latest_per_key
@@ -36,8 +36,8 @@ class SnapshotSink(PageSink):
         return self._stored(spark).select(*self.schema.names)
 
     def _stored(self, spark: SparkSession) -> DataFrame:
-        return spark.read.schema(self.schema.add("bucket", "int") if "bucket" not in self.schema.names
-                                 else self.schema).parquet(self.path)
+        stored = StructType([*self.schema.fields, StructField("bucket", IntegerType())])
+        return spark.read.schema(stored).parquet(self.path)
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
         try:

@@ -17,6 +17,7 @@ def read_captures(spark: SparkSession, path: str, schema: StructType = schemas.C
 def stream_captures(
     spark: SparkSession, path: str, schema: StructType = schemas.CAPTURES, files_per_trigger: int = 64
 ) -> DataFrame:
+    """New capture files below a folder, or matching a glob."""
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
