@@ -214,7 +214,7 @@ QUERIES = {
 _LOG = f"log AS ({inputs.FETCH_LOG_SQL})"
 _TRANSIENT = "status IN (408, 429, 500, 502, 503, 504) OR status BETWEEN 500 AND 599"
 _ELAPSED = "(epoch_us(max(ts)) - epoch_us(min(ts))) / 1000000.0"
-_ISO = "CASE WHEN epoch_us({0}) % 1000000 = 0 THEN strftime({0}, '%Y-%m-%dT%H:%M:%SZ') ELSE strftime({0}, '%Y-%m-%dT%H:%M:%S.%fZ') END"
+_ISO = "CASE WHEN epoch_us({0}) % 1000000 = 0 THEN strftime({0}, '%Y-%m-%dT%H:%M:%S+00:00') ELSE strftime({0}, '%Y-%m-%dT%H:%M:%S.%f+00:00') END"
 _TOP = "SELECT host, count(*) AS n FROM log WHERE error_class IS NULL GROUP BY host ORDER BY n DESC, host LIMIT 10"
 _CODES = "SELECT status, count(*) AS n FROM log WHERE status IS NOT NULL GROUP BY status"
 _RETRYABLE = "coalesce(error_class IN ('TransientError', 'NetworkError'), false)"

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.net import blocked_ip as is_blocked
 from ..functions.urls import hostname
 from ..operators import filters
+from ..session import cut_lineage
 from ..sources import robots, sitemaps
 from . import inputs
 from .pages import _LINKS_CTE
@@ -87,7 +88,7 @@ def sitemap_locs(spark, sf_dir):
 
 
 def _expanded(spark, sf_dir):
-    docs = inputs.sitemap_docs(spark, sf_dir)
+    docs = cut_lineage(inputs.sitemap_docs(spark, sf_dir), "docs")
     roots = docs.where(F.col("url").startswith("http://s/index-")).select("url")
     return sitemaps.expand_sitemaps(roots, docs)
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators.records import earliest_records
-from ..session import scratch_path
+from ..session import cut_lineage, scratch_path
 from ..sinks import CsvSink, FanOut, JsonLinesSink, Retrying, SnapshotSink, read_csv_records, read_jsonl_records
 from . import inputs
 from .pages import RECORDS_SQL, flat_records, records_of
@@ -49,7 +49,7 @@ _UPDATES = schemas.T.StructType([
 
 def upsert_latest(spark, sf_dir):
     """All pages saved once, then those of blog hosts again with a new title."""
-    pages = inputs.parsed_with_id(spark, sf_dir, ("title",))
+    pages = cut_lineage(inputs.parsed_with_id(spark, sf_dir, ("title",)), "titles")
     first = pages.select("url", "title", F.lit(0).cast("long").alias("seq"))
     again = pages.where(F.col("url").contains("://blog.")).select("url", F.concat("title", F.lit(" (new)")).alias("title"), F.lit(1).cast("long").alias("seq"))
     sink = SnapshotSink(scratch_path(spark, "snapshot"), _UPDATES, order="seq", buckets=8)

@@ -36,12 +36,13 @@ def scheme(url: Column | str) -> Column:
 
 def hostname(url: Column | str) -> Column:
     """Lower-cased host, null if there is none."""
-    netloc = F.regexp_extract(clean(url), r"(?s)^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)", 1)
-    host = F.regexp_replace(netloc, r"^.*@", "")
-    bare = F.when(host.startswith("["), F.regexp_extract(host, r"^\[([^\]]*)\]", 1)).otherwise(
-        F.regexp_extract(host, r"^([^:]*)", 1)
+    # One pass picks the host behind scheme and user info, brackets included.
+    host = F.regexp_extract(
+        F.translate(_col(url), "\t\r\n", ""),
+        r"(?s)^[\x00-\x20]*(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//(?:[^/?#]*@)?(\[[^\]/?#]*\]|[^:/?#]*)",
+        1,
     )
-    return F.nullif(F.lower(bare), F.lit(""))
+    return F.nullif(F.lower(F.translate(host, "[]", "")), F.lit(""))
 
 
 def drop_fragment(url: Column | str) -> Column:

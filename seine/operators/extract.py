@@ -31,7 +31,7 @@ def parse_pages(
     """
     keep = tuple(keep)
     read = tuple(dict.fromkeys((*keep, "url", "html")))
-    source = spread(captures.select(*read), "url")
+    source = spread(captures.select(*read))
     schema = T.StructType(
         [source.schema[name] for name in keep] + [T.StructField(f, schemas.PARSED_FIELDS[f]) for f in fields]
     )

@@ -1,15 +1,30 @@
 """The per-page helper of the extraction stage: one HTML text to field values.
 
-Works on parser events with a short stack of the open elements that matter, so
+A scan over the tags with a short stack of the open elements that matter, so
 implicit closes, nesting and truncated pages behave as in a browser-like tree
 without building one. Spark partitions the pages; this sees one at a time.
 """
 
 from __future__ import annotations
 
-from html.parser import HTMLParser
+import re
+from html import unescape
 from urllib.parse import urldefrag, urljoin, urlsplit
 
+# A comment, a start tag with its attributes, an end tag, or other markup. What the
+# end of the page cuts off is matched to the end; a lone '<' is text.
+_MARKUP = re.compile(
+    r"""<(?:!--.*?(?:-->|\Z)
+        |(?P<start>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>=]++|=\s*(?:"[^"]*"|'[^']*')?)*+)(?P<whole>>|\Z)
+        |/(?P<end>[a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)
+        |[!?/][^>]*(?:>|\Z))""",
+    re.S | re.X,
+)
+_ATTRIBUTE = re.compile(r"""([^\s/>=][^\s/=>]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^>\s]*)))?""")
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in ("script", "style")}
+# A rooted path that resolves to itself on the page's origin.
+_ROOTED = re.compile(r"/(?![/.])(?:[^?#;\s\\/]|/(?!\.))*\Z")
+
 HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 LIST_TAGS = ("ul", "ol")
 CELLS = ("td", "th")
@@ -31,13 +46,12 @@ class _Span:
         self.tag, self.first, self.last, self.parts = tag, first, None, []
 
 
-class PageEvents(HTMLParser):
+class PageEvents:
     def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
         self.texts: list[str] = []
-        self.pending: list[str] = []
         self.open: list[_Span] = []
         self.silent = 0
+        self.in_title = 0
         self.body_from: int | None = None
         self.title: _Span | None = None
         self.meta: dict[str, str] = {}
@@ -47,31 +61,42 @@ class PageEvents(HTMLParser):
         self.lists: list[_Span] = []
         self.tables: list[_Span] = []
 
-    # A tag or comment that the end of the page cuts off swallows the rest.
-    def parse_starttag(self, i):
-        end = super().parse_starttag(i)
-        return len(self.rawdata) if end < 0 else end
-
-    def parse_endtag(self, i):
-        end = super().parse_endtag(i)
-        return len(self.rawdata) if end < 0 else end
-
-    def parse_comment(self, i, report=1):
-        end = super().parse_comment(i, report)
-        return len(self.rawdata) if end < 0 else end
+    def read(self, html: str) -> None:
+        at, size, search = 0, len(html), _MARKUP.search
+        while at < size:
+            found = search(html, at)
+            text_end = found.start() if found else size
+            if text_end > at and not self.silent:
+                self._text(html[at:text_end])
+            if not found:
+                break
+            at = found.end()
+            if tag := found["start"]:
+                if not found["whole"]:
+                    break
+                tag, attrs = tag.lower(), found["attrs"]
+                closed = attrs.endswith("/")
+                self._start(tag, attrs)
+                if tag in _RAW_END and not closed:
+                    hidden = _RAW_END[tag].search(html, at)
+                    at = hidden.start() if hidden else size
+                if closed:
+                    self._end(tag)
+            elif tag := found["end"]:
+                self._end(tag.lower())
+        self._close_to(0)
 
-    def _flush(self) -> None:
-        if self.pending:
-            text = "".join(self.pending).strip()
-            self.pending.clear()
-            if text and not self.silent:
-                if self.body_from is None and not any(span.tag == "title" for span in self.open):
-                    self.body_from = len(self.texts)
-                self.texts.append(text)
+    def _text(self, raw: str) -> None:
+        text = (unescape(raw) if "&" in raw else raw).strip()
+        if text:
+            if self.body_from is None and not self.in_title:
+                self.body_from = len(self.texts)
+            self.texts.append(text)
 
     def _close_to(self, depth: int) -> None:
         for span in self.open[depth:]:
             span.last = len(self.texts)
+            self.in_title -= span.tag == "title"
         del self.open[depth:]
 
     def _find(self, tags, walls=()) -> int:
@@ -97,36 +122,32 @@ class PageEvents(HTMLParser):
         if depth >= 0:
             self._close_to(depth)
 
-    def handle_starttag(self, tag, attrs):
-        self._flush()
+    def _start(self, tag: str, attrs: str) -> None:
         if tag in SILENT:
             self.silent += 1
-        if tag == "body" or (self.body_from is None and tag not in HEAD_ONLY):
-            if self.body_from is None:
-                self.body_from = len(self.texts)
+        if self.body_from is None and tag not in HEAD_ONLY:
+            self.body_from = len(self.texts)
         if tag == "a":
-            self._attribute(attrs, "href", self.hrefs.append)
+            if href := _attributes(attrs).get("href"):
+                self.hrefs.append(href.strip())
         elif tag == "img":
-            alt = next((v for k, v in attrs if k == "alt"), None) or ""
-            self._attribute(attrs, "src", lambda src: self.sources.append((src, alt.strip())))
+            values = _attributes(attrs)
+            if src := values.get("src"):
+                self.sources.append((src.strip(), values.get("alt", "").strip()))
         elif tag == "meta":
-            values = dict(reversed(attrs))
+            values = _attributes(attrs)
             if values.get("name") in ("description", "keywords"):
-                self.meta.setdefault(values["name"], (values.get("content") or "").strip())
-        self._close_implied(tag)
+                self.meta.setdefault(values["name"], values.get("content", "").strip())
+        if tag in ENDS_HEADING or tag in TRACKED:
+            self._close_implied(tag)
         if tag in TRACKED:
             self._open(tag)
 
-    @staticmethod
-    def _attribute(attrs, name, use):
-        value = next((v for k, v in attrs if k == name), None)
-        if value:
-            use(value.strip())
-
     def _open(self, tag: str) -> None:
         span = _Span(tag, len(self.texts))
         if tag == "title":
             self.title = self.title or span
+            self.in_title += 1
         elif tag in ("h1", "h2", "h3"):
             self.headings.append(span)
         elif tag in LIST_TAGS:
@@ -140,12 +161,7 @@ class PageEvents(HTMLParser):
                 outer.parts.append(span)
         self.open.append(span)
 
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        self.handle_endtag(tag)
-
-    def handle_endtag(self, tag):
-        self._flush()
+    def _end(self, tag: str) -> None:
         if tag in SILENT and self.silent:
             self.silent -= 1
         if tag in TRACKED:
@@ -153,24 +169,18 @@ class PageEvents(HTMLParser):
             if depth >= 0:
                 self._close_to(depth)
 
-    def handle_data(self, data):
-        self.pending.append(data)
-
-    def handle_comment(self, data):
-        self._flush()
-
-    def handle_decl(self, decl):
-        self._flush()
-
-    def finish(self) -> None:
-        self.close()
-        self._flush()
-        self._close_to(0)
-
     def text_of(self, span: _Span) -> str:
         return " ".join(self.texts[span.first:span.last])
 
 
+def _attributes(text: str) -> dict[str, str]:
+    """Attributes by lower-cased name, the first of a name winning."""
+    values: dict[str, str] = {}
+    for name, double, single, bare in _ATTRIBUTE.findall(text):
+        values.setdefault(name.lower(), unescape(double or single or bare))
+    return values
+
+
 def resolve(base: str, reference: str) -> str | None:
     """Absolute http(s) URL with a host, else None; a malformed one is None too."""
     try:
@@ -182,17 +192,32 @@ def resolve(base: str, reference: str) -> str | None:
     return url if good else None
 
 
+def _resolver(base: str):
+    """:func:`resolve` for one page, short for plain rooted paths."""
+    root = resolve(base, "/")
+    origin = root[:-1] if root else None
+
+    def run(reference: str) -> str | None:
+        if origin and _ROOTED.match(reference):
+            return origin + reference
+        return resolve(base, reference)
+
+    return run
+
+
 def _links(page: PageEvents, url: str) -> list[str]:
     found: dict[str, None] = {}
+    to_absolute = _resolver(url)
     for href in page.hrefs:
-        absolute = resolve(url, href)
+        absolute = to_absolute(href)
         if absolute is not None:
-            found.setdefault(urldefrag(absolute).url)
+            found.setdefault(urldefrag(absolute).url if "#" in absolute else absolute)
     return list(found)
 
 
 def _images(page: PageEvents, url: str) -> list[dict]:
-    resolved = ((resolve(url, src), alt) for src, alt in page.sources)
+    to_absolute = _resolver(url)
+    resolved = ((to_absolute(src), alt) for src, alt in page.sources)
     return [{"src": src, "alt": alt} for src, alt in resolved if src is not None]
 
 
@@ -251,8 +276,7 @@ def extract(html: str | None, url: str, fields) -> list:
         return values
     page = PageEvents()
     try:
-        page.feed(html)
-        page.finish()
+        page.read(html)
     except Exception:  # malformed input keeps every default
         return values
     for index, name in enumerate(fields):

@@ -132,6 +132,7 @@ def crawl(
     seeds = seeds.select("url", path.cast("array<int>").alias("path"))
     frontier = cut_lineage(first_discovery(seeds).withColumn("depth", F.lit(0)), "frontier")
     known, visited, progress = [frontier], [], []
+    robots = robots if robots is None else cut_lineage(robots, "robots")
     room, queued = policy.max_pages, frontier.count()
 
     for depth in range(policy.max_depth + 1):

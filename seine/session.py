@@ -62,15 +62,14 @@ def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
     """Give a CPU-heavy stage at least as many partitions as there are cores.
 
     A scan with enough splits is passed through, so large inputs never shuffle
-    their documents; only inputs of a few splits are dealt out by ``keys``.
+    their documents; only an input of a few splits is dealt out, evenly whatever
+    its keys are.
     """
     if df.isStreaming:
         return df
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
