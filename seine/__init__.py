@@ -6,3 +6,10 @@ analytics, sinks and reports are DataFrame programs over them.
 """
 
 __version__ = "0.1.0"
+
+import sys
+
+from pyspark import cloudpickle
+
+# Tasks carry these functions by value, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

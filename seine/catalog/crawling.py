@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.text import json_cell
 from ..operators.fetchlog import outcome_listing, wave_progress
 from ..plans import crawl as plan
+from ..plans.job import CaptureJob
 from ..session import cut_lineage
 from ..sources import robots
 from . import inputs
+from .pages import _LINKS_CTE, _TITLE
 
 _ALL = 10**12
 
@@ -79,7 +82,36 @@ def frontier_order(spark, sf_dir):
     return plan.frontier_order(frontier).limit(50)
 
 
+def _job(spark, sf_dir):
+    """A job over the stored pages themselves: blog pages, then what they link to."""
+    return CaptureJob(max_depth=1, max_pages=_ALL, exclude_patterns=["/the"], user_agent="Other/2").run(
+        inputs.pages(spark, sf_dir).select("url", "html"),
+        seeds=_seeds(spark, sf_dir),
+        robots_docs=inputs.robots_docs(spark, sf_dir),
+    )
+
+
+def job_outcomes(spark, sf_dir):
+    results = _job(spark, sf_dir).run.results
+    return results.select("url", "depth", "outcome", F.coalesce("reason", F.lit("")).alias("reason"))
+
+
+def job_records(spark, sf_dir):
+    records = _job(spark, sf_dir).records
+    return records.select("url", "title", F.size("links").alias("n_links"), "status_code", "content_type")
+
+
+def job_statistics(spark, sf_dir):
+    summary = _job(spark, sf_dir).summary()
+    return summary.select(
+        "total_pages", "successful", "failed", json_cell(F.col("status_codes")).alias("status_codes")
+    )
+
+
 QUERIES = {
+    "job_outcomes": job_outcomes,
+    "job_records": job_records,
+    "job_statistics": job_statistics,
     "crawl_bfs": crawl_bfs,
     "crawl_budget": crawl_budget,
     "crawl_depth": crawl_depth,
@@ -123,7 +155,29 @@ def _crawl_sql(budget: int | None) -> str:
 
 _VISITED = """SELECT url, CAST(depth AS INT) AS depth, array_to_string(path, '/') AS trail, outcome FROM visited"""
 
+_JOB = f"""
+  WITH {_LINKS_CTE},
+  seeds AS (SELECT page_id, url, CASE WHEN {_HAS_RULES} AND {_PATH} LIKE '/de/%' THEN 'blocked' ELSE 'processed' END AS outcome
+    FROM pages WHERE regexp_matches(url, '^https?://blog\\.')),
+  targets AS (SELECT DISTINCT l.link AS url FROM links l JOIN seeds s USING (page_id)
+    WHERE s.outcome = 'processed' AND NOT regexp_matches(l.link, '/the')),
+  outcomes AS (
+    SELECT url, 0 AS depth, outcome, CASE outcome WHEN 'blocked' THEN 'blocked by robots.txt' ELSE '' END AS reason FROM seeds
+    UNION ALL
+    SELECT url, 1, CASE WHEN {_HAS_RULES} AND {_PATH} LIKE '/de/%' THEN 'blocked' ELSE 'failed' END,
+      CASE WHEN {_HAS_RULES} AND {_PATH} LIKE '/de/%' THEN 'blocked by robots.txt' ELSE 'NetworkError: no capture' END FROM targets)
+"""
+
 ORACLES = {
+    "job_outcomes": f"{_JOB} SELECT url, CAST(depth AS INT) AS depth, outcome, reason FROM outcomes",
+    "job_records": f"""{_JOB}, sizes AS (SELECT page_id, count(*) AS n FROM links GROUP BY page_id)
+      SELECT url, {_TITLE} AS title, CAST(coalesce(n, 0) AS INT) AS n_links, CAST(200 AS INT) AS status_code, '' AS content_type
+      FROM (SELECT page_id, url FROM seeds WHERE outcome = 'processed') JOIN pages USING (page_id, url)
+        LEFT JOIN sizes USING (page_id)""",
+    "job_statistics": f"""{_JOB} SELECT count(*) AS total_pages, count(*) FILTER (outcome = 'processed') AS successful,
+        count(*) FILTER (outcome = 'failed') AS failed,
+        concat('{{"200":', count(*) FILTER (outcome = 'processed'), '}}') AS status_codes
+      FROM outcomes WHERE outcome <> 'blocked'""",
     "crawl_bfs": f"{_crawl_sql(None)} {_VISITED}",
     "crawl_budget": f"{_crawl_sql(100)} {_VISITED}",
     "crawl_depth": f"{_crawl_sql(100)} SELECT url, CAST(depth AS INT) AS depth FROM found JOIN facts USING (page_id)",

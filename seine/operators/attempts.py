@@ -29,7 +29,7 @@ def number_attempts(log: DataFrame, policy: RetryPolicy, *, key: str = "host", b
     order, bucket = ["ts", "seq"], time_bucket(ts, bucket_s)
     numbered = ordered_columns(base, [key], order, bucket, running_sum={"_rn": "_one"})
     numbered = numbered.withColumn("_end", F.when(~F.col("_retryable"), F.col("_rn")))
-    placed = ordered_columns(numbered, [key], order, bucket, last_before={"_prev_end": "_end"})
+    placed = ordered_columns(numbered, [key], order, bucket, max_before={"_prev_end": "_end"})
     place = F.col("_rn") - F.coalesce("_prev_end", F.lit(0)) - 1
     attempt = (place % length).cast("int")
     placed = placed.withColumns({"attempt": attempt, "op_start": F.col("_rn") - attempt})

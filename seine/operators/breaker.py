@@ -16,10 +16,11 @@ exactly those of the sequential fold.
 
 from __future__ import annotations
 
+from bisect import bisect_left
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -157,21 +158,105 @@ _FUNCTION = T.StructType([
     T.StructField("step_open", T.ArrayType(T.LongType())),
     T.StructField("step_failures", T.ArrayType(T.IntegerType())),
 ])
-_START = "_host string, _chunk long, _opened_at long, _failures int"
-
-
-def _compose(policy: BreakerPolicy):
-    def run(functions: pd.DataFrame) -> pd.DataFrame:
-        rows, opened, failures = [], -1, 0
-        for f in functions.sort_values("_chunk").itertuples(index=False):
-            rows.append((f[0], f[1], opened, failures))  # '_' names lose theirs in itertuples
-            if opened < 0:
-                opened, failures = int(f.closed_open[failures]), int(f.closed_failures[failures])
-                continue
-            at = int(np.searchsorted(f.step_until, opened + policy.recovery_us, "left"))
-            if at < len(f.step_until):
-                opened, failures = int(f.step_open[at]), int(f.step_failures[at])
-        return pd.DataFrame(rows, columns=["_host", "_chunk", "_opened_at", "_failures"])
+_START = T.StructType([
+    T.StructField("_host", T.StringType()),
+    T.StructField("_chunk", T.LongType()),
+    T.StructField("_opened_at", T.LongType()),
+    T.StructField("_failures", T.IntegerType()),
+])
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole (_host, _chunk) groups with their edges, from sorted batches.
+
+    A group may span batches; only the last, unfinished group is held back.
+    """
+    held: list[pa.RecordBatch] = []
+    held_rows, last_key = 0, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        host, chunk = batch.column("_host"), batch.column("_chunk").to_numpy()
+        codes = host.dictionary_encode().indices.to_numpy()
+        edges = np.flatnonzero((codes[1:] != codes[:-1]) | (chunk[1:] != chunk[:-1])) + 1
+        first_key = (host[0].as_py(), int(chunk[0]))
+        starts = edges if first_key == last_key or not held else np.insert(edges, 0, 0)
+        last_key = (host[-1].as_py(), int(chunk[-1]))
+        if len(starts):
+            cut = int(starts[-1])
+            done = pa.Table.from_batches([*held, batch.slice(0, cut)])
+            if done.num_rows:
+                yield done, np.concatenate(([0], starts + held_rows))
+            held, held_rows = [], 0
+            batch = batch.slice(cut)
+        held.append(batch)
+        held_rows += batch.num_rows
+    if held:
+        yield pa.Table.from_batches(held), np.array([0, held_rows])
+
+
+def _values(table: pa.Table, name: str) -> np.ndarray:
+    return table.column(name).combine_chunks().to_numpy(zero_copy_only=False)
+
+
+def _summarise(policy: BreakerPolicy, width: int):
+    arrow = to_arrow_schema(_FUNCTION)
+
+    def run(batches):
+        for table, edges in _whole_groups(batches):
+            ts, ok = _values(table, "_us"), _values(table, "_ok").astype(bool)
+            hosts, chunks = table.column("_host"), _values(table, "_chunk")
+            rows = []
+            for low, high in zip(edges[:-1], edges[1:]):
+                made = chunk_function(ts[low:high], ok[low:high], int(chunks[low]) * width, policy)
+                rows.append({"_host": hosts[int(low)].as_py(), "_chunk": int(chunks[low]), **made})
+            yield from pa.Table.from_pylist(rows, schema=arrow).to_batches()
+
+    return run
+
+
+def starting_states(policy: BreakerPolicy):
+    """Run chunk functions, sorted by host and chunk, to the state each chunk starts in."""
+    arrow = to_arrow_schema(_START)
+
+    def run(batches):
+        host, opened, failures = None, -1, 0
+        for batch in batches:
+            rows = []
+            for f in batch.to_pylist():
+                if f["_host"] != host:
+                    host, opened, failures = f["_host"], -1, 0
+                rows.append({"_host": host, "_chunk": f["_chunk"], "_opened_at": opened, "_failures": failures})
+                if opened < 0:
+                    opened, failures = f["closed_open"][failures], f["closed_failures"][failures]
+                    continue
+                at = bisect_left(f["step_until"], opened + policy.recovery_us)
+                if at < len(f["step_until"]):
+                    opened, failures = f["step_open"][at], f["step_failures"][at]
+            yield pa.RecordBatch.from_pylist(rows, schema=arrow)
+
+    return run
+
+
+def _mark(policy: BreakerPolicy, ok: str, names: list[str], arrow: pa.Schema):
+    def run(batches):
+        for table, edges in _whole_groups(batches):
+            header = np.zeros(table.num_rows, bool)
+            header[edges[:-1]] = True
+            opened, failures = _values(table.take(edges[:-1]), "_opened_at"), _values(table.take(edges[:-1]), "_failures")
+            rows = table.filter(pa.array(~header))
+            # Each group lost its header row, so its edges move up by one per group.
+            bounds = edges - np.arange(len(edges))
+            ts, good = _values(rows, "_us"), _values(rows, ok).astype(bool)
+            allowed, is_open = np.empty(len(ts), bool), np.empty(len(ts), bool)
+            for index, (low, high) in enumerate(zip(bounds[:-1], bounds[1:])):
+                since = None if opened[index] < 0 else int(opened[index])
+                allowed[low:high], is_open[low:high], _, _ = walk(
+                    ts[low:high], good[low:high], since, int(failures[index]), policy
+                )
+            out = rows.select(names).append_column("allowed", pa.array(allowed))
+            out = out.append_column("state_after", pa.array(np.where(is_open, OPEN, CLOSED)))
+            yield from out.cast(arrow).combine_chunks().to_batches()
 
     return run
 
@@ -191,6 +276,9 @@ def replay_breaker(
     Rows are taken per ``host`` in (``ts``, ``seq``) order. A denied row does not
     touch the state. ``chunk_s`` is the length of log one task handles for one
     host; several recovery times keep the chunk functions short.
+
+    The starting states reach their chunks as header rows in the same exchange as
+    the log, not by a join: a join could be split for skew, and a group with it.
     """
     width = int(max(chunk_s or 3600.0, 16 * policy.recovery_s) * 1_000_000)
     moment = F.unix_micros(F.col(ts).cast("timestamp"))
@@ -199,42 +287,20 @@ def replay_breaker(
         "_us": moment,
         "_chunk": F.floor(moment / F.lit(width)),
     })
+    groups = ["_host", "_chunk"]
 
-    def summarise(key, table):
-        table = table.sort_by([("_us", "ascending"), ("_seq", "ascending")])
-        chunk = table.column("_chunk")[0].as_py()
-        made = chunk_function(
-            table.column("_us").to_numpy(), table.column("_ok").to_numpy(zero_copy_only=False), chunk * width, policy
-        )
-        row = {"_host": table.column("_host")[0].as_py(), "_chunk": chunk, **made}
-        return pa.Table.from_pylist([row], schema=to_arrow_schema(_FUNCTION))
-
-    slim = keyed.select("_host", "_chunk", "_us", F.col(seq).alias("_seq"), F.col(ok).alias("_ok"))
-    functions = slim.groupBy("_host", "_chunk").applyInArrow(summarise, _FUNCTION)
-    starts = functions.groupBy("_host").applyInPandas(_compose(policy), _START)
+    slim = keyed.select(*groups, "_us", F.col(seq).alias("_seq"), F.col(ok).alias("_ok"))
+    slim = slim.repartition(*groups).sortWithinPartitions(*groups, "_us", "_seq")
+    functions = slim.mapInArrow(_summarise(policy, width), _FUNCTION)
+    starts = functions.repartition("_host").sortWithinPartitions(*groups).mapInArrow(starting_states(policy), _START)
 
-    out_schema = T.StructType(log.schema.fields + [
+    out_schema = T.StructType([T.StructField(f.name, f.dataType) for f in log.schema] + [
         T.StructField("allowed", T.BooleanType()),
         T.StructField("state_after", T.StringType()),
     ])
-    names, arrow = log.columns, to_arrow_schema(out_schema)
-
-    def mark(key, table):
-        table = table.sort_by([("_us", "ascending"), (seq, "ascending")])
-        opened, failures = table.column("_opened_at")[0].as_py(), table.column("_failures")[0].as_py()
-        allowed, is_open, _, _ = walk(
-            table.column("_us").to_numpy(),
-            table.column(ok).to_numpy(zero_copy_only=False),
-            None if opened < 0 else opened,
-            failures,
-            policy,
-        )
-        out = table.select(names)
-        out = out.append_column("allowed", pa.array(allowed))
-        out = out.append_column("state_after", pa.array(np.where(is_open, OPEN, CLOSED)))
-        return out.cast(arrow)
-
-    return keyed.join(starts, ["_host", "_chunk"]).groupBy("_host", "_chunk").applyInArrow(mark, out_schema)
+    headed = keyed.unionByName(starts, allowMissingColumns=True)
+    headed = headed.repartition(*groups).sortWithinPartitions(*groups, F.col("_us").asc_nulls_first(), seq)
+    return headed.mapInArrow(_mark(policy, ok, log.columns, to_arrow_schema(out_schema)), out_schema)
 
 
 def breaker_states(replayed: DataFrame, host: str = "host", ts: str = "ts", seq: str = "seq") -> DataFrame:

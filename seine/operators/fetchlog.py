@@ -35,10 +35,13 @@ def run_totals(log: DataFrame) -> DataFrame:
     })
 
 
-def status_histogram(log: DataFrame) -> DataFrame:
+def status_counts(log: DataFrame) -> DataFrame:
     """Pages per status, good and failed alike; rows without a status are left out."""
-    counted = log.where(F.col("status").isNotNull()).groupBy("status").agg(F.count("*").alias("n"))
-    return counted.orderBy("status")
+    return log.where(F.col("status").isNotNull()).groupBy("status").agg(F.count("*").alias("n"))
+
+
+def status_histogram(log: DataFrame) -> DataFrame:
+    return status_counts(log).orderBy("status")
 
 
 def top_domains(log: DataFrame, limit: int = 10) -> DataFrame:

@@ -30,16 +30,19 @@ def ordered_columns(
     bucket: Column,
     *,
     last_before: Mapping[str, str] | None = None,
+    max_before: Mapping[str, str] | None = None,
     running_sum: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Add order-dependent columns to ``rows``.
 
     ``last_before`` maps an output name to a column whose last non-null value on
-    an earlier row of the key is wanted; ``running_sum`` maps an output name to a
-    column summed up to and including the row. ``bucket`` must rise with
-    ``order``, and ``keys`` must not be null.
+    an earlier row of the key is wanted. ``max_before`` does the same for the
+    largest value; for values that rise with ``order`` the two agree, and the
+    maximum is the one a hash aggregate can take before the shuffle.
+    ``running_sum`` maps an output name to a column summed up to and including the
+    row. ``bucket`` must rise with ``order``, and ``keys`` must not be null.
     """
-    last_before, running_sum = dict(last_before or {}), dict(running_sum or {})
+    last_before, max_before, running_sum = dict(last_before or {}), dict(max_before or {}), dict(running_sum or {})
     keys = list(keys)
     marked = rows.withColumn("_bucket", bucket)
     position = F.struct(*order)
@@ -47,10 +50,12 @@ def ordered_columns(
     edges = marked.groupBy(*keys, "_bucket").agg(*[
         F.max_by(F.col(source), F.when(F.col(source).isNotNull(), position)).alias(f"_edge_{out}")
         for out, source in last_before.items()
+    ], *[F.max(source).alias(f"_edge_{out}") for out, source in max_before.items()
     ], *[F.sum(source).alias(f"_edge_{out}") for out, source in running_sum.items()])
     earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     carried = edges.select(*keys, "_bucket", *[
         F.last(f"_edge_{out}", ignorenulls=True).over(earlier).alias(f"_carry_{out}") for out in last_before
+    ], *[F.max(f"_edge_{out}").over(earlier).alias(f"_carry_{out}") for out in max_before
     ], *[F.sum(f"_edge_{out}").over(earlier).alias(f"_carry_{out}") for out in running_sum])
 
     inside = Window.partitionBy(*keys, "_bucket").orderBy(*order)
@@ -59,6 +64,9 @@ def ordered_columns(
     return joined.select(*rows.columns, *[
         F.coalesce(F.last(source, ignorenulls=True).over(before), F.col(f"_carry_{out}")).alias(out)
         for out, source in last_before.items()
+    ], *[
+        F.greatest(F.max(source).over(before), F.col(f"_carry_{out}")).alias(out)
+        for out, source in max_before.items()
     ], *[
         (F.sum(source).over(upto) + F.coalesce(F.col(f"_carry_{out}"), F.lit(0))).alias(out)
         for out, source in running_sum.items()

@@ -45,7 +45,7 @@ def audit_pace(
     """
     keyed = requests.withColumns({"pace_key": policy.key(host), "_us": F.unix_micros(F.col("ts").cast("timestamp"))})
     bucket = time_bucket(F.col("ts").cast("timestamp"), bucket_s)
-    lagged = ordered_columns(keyed, ["pace_key"], ["ts", "seq"], bucket, last_before={"_prev": "_us"})
+    lagged = ordered_columns(keyed, ["pace_key"], ["ts", "seq"], bucket, max_before={"_prev": "_us"})
     gap, required = (F.col("_us") - F.col("_prev")) / F.lit(1_000_000.0), policy.required(crawl_delay)
     return lagged.withColumns({
         "gap_s": gap,

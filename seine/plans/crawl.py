@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import time
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -106,7 +107,7 @@ def _outcomes(
 
 def crawl(
     seeds: DataFrame,
-    edges: DataFrame,
+    edges: DataFrame | Callable[[DataFrame], DataFrame],
     captures: DataFrame,
     policy: CrawlPolicy = CrawlPolicy(),
     *,
@@ -118,10 +119,15 @@ def crawl(
 
     ``seeds``: (url, pos), or (url, path) in order. ``edges``: (src_url, pos,
     dst_url), or (src_url, links) with the ordered links in one array, which keeps
-    a page with millions of links one row in the join. ``captures``: (url,
-    status_code, n_bytes). ``robots``: rows of ``agent_rules``; ``open_circuits``:
+    a page with millions of links one row in the join; or a function from a wave's
+    processed pages (src_url, path) to their rows with ``links``, called for every
+    wave. ``captures``: (url, status_code, n_bytes). ``robots``: rows of ``agent_rules``; ``open_circuits``:
     URLs a breaker denied.
 
+    A wave meets ``edges`` and ``captures`` in one equi-join each. A small wave is
+    broadcast by its measured size; for a large one, tables bucketed by URL spare
+    the exchange of the big side.
+
     Every wave is written to the shared checkpoint folder, so plans stay short and
     an executor's loss costs one wave's tasks. Only row counts reach the driver.
     """
@@ -143,10 +149,10 @@ def crawl(
         done = cut_lineage(_outcomes(wave, captures, policy, robots, host_ips, open_circuits), "wave")
         visited.append(done)
         room, queued = room - size, queued - size
+        parents = done.where(F.col("outcome") == "processed").select(F.col("url").alias("src_url"), "path")
+        out = edges(parents) if callable(edges) else parents.join(edges, "src_url")
         if depth < policy.max_depth:
-            parents = done.where(F.col("outcome") == "processed").select(F.col("url").alias("src_url"), "path")
-            out = parents.join(edges, "src_url")
-            if "links" in edges.columns:
+            if "links" in out.columns:
                 out = out.select("path", F.posexplode("links").alias("pos", "dst_url"))
             links = out.select(
                 F.col("dst_url").alias("url"), F.concat("path", F.array(F.col("pos").cast("int"))).alias("path")

@@ -12,11 +12,11 @@ from ..operators import fetchlog
 def run_summary(log: DataFrame, top: int = 10) -> DataFrame:
     """Totals, timing, status histogram and top hosts as one nested row.
 
-    Each part is aggregated to one row (statuses and the top list are bounded by
-    nature) before the rows are put side by side.
+    Statuses and the top list are bounded by nature; each is aggregated to one
+    value and read as a scalar subquery beside the totals.
     """
     pairs = F.array_sort(F.collect_list(F.struct("status", "n")))
-    codes = fetchlog.status_histogram(log).agg(
+    codes = fetchlog.status_counts(log).agg(
         F.map_from_entries(F.transform(pairs, lambda c: F.struct(c["status"].cast("string"), c["n"])))
     )
     by_count = lambda a, b: F.when(a["n"] != b["n"], F.signum(b["n"] - a["n"]).cast("int")).when(

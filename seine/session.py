@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+# Spark's default bytes per scan split.
+SPLIT_BYTES = 128 * 1024 * 1024
 
 # Settings for sessions made here. On a cluster the operator's own values apply.
 DEFAULTS = {
@@ -15,8 +17,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Pages run to megabytes each: keep Arrow batches small in rows.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
+    # Call-site capture doubles the gateway traffic of building expressions.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -35,14 +37,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     The cluster names it in ``spark.checkpoint.dir``. Only a local session may
     fall back to a folder of its own, since its executors share the machine.
     """
-    root = spark.conf.get(CHECKPOINT_KEY, None)
+    context = spark.sparkContext
+    root = spark.conf.get(CHECKPOINT_KEY, None) or context.getCheckpointDir()
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder all executors share")
-    root = tempfile.mkdtemp(prefix="seine-")
-    spark.conf.set(CHECKPOINT_KEY, root)
-    return root
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="seine-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -63,13 +65,16 @@ def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give a CPU-heavy stage at least as many partitions as there are cores.
+    """Give a CPU-heavy stage over a small input as many partitions as cores.
 
-    A scan with enough splits is passed through, so large inputs never shuffle
-    their documents; only an input of a few splits is dealt out, evenly whatever
-    its keys are.
+    The optimizer's size estimate decides, without running anything: an input of
+    at least a quarter split per core already fills the cluster and is passed
+    through, so large inputs never shuffle their documents. A smaller one is dealt
+    out evenly, whatever its keys are.
     """
     if df.isStreaming:
         return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < cores * SPLIT_BYTES // 4 else df

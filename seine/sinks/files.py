@@ -52,9 +52,12 @@ class PrettyJsonSink(_FolderSink):
         self.order = order
 
     def _write(self, batch: DataFrame, target: str) -> None:
-        order = [F.col(name) for name in self.order]
-        item = F.struct(F.struct(*order).alias("o") if order else F.lit(0).alias("o"), F.struct("*").alias("v"))
-        rows = F.transform(F.array_sort(F.collect_list(item)), lambda i: i["v"])
+        rows = F.collect_list(F.struct("*"))
+        if self.order:
+            keyed = F.collect_list(F.struct(F.struct(*self.order).alias("key"), F.struct("*").alias("row")))
+            # Only the key is compared: rows may hold maps, which have no order.
+            by_key = lambda a, b: F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0)
+            rows = F.transform(F.array_sort(keyed, by_key), lambda item: item["row"])
         text = F.to_json(rows, {"pretty": "true", "ignoreNullFields": "false", "timestampFormat": ISO})
         batch.agg(text.alias("value")).write.mode("overwrite").text(target)
 

@@ -16,10 +16,11 @@ from .base import PageSink, SinkError
 class SnapshotSink(PageSink):
     """One row per ``key``; the last write wins and replaces all other columns.
 
-    Rows live in ``buckets`` hash partitions. A batch reads and rewrites only the
-    partitions its keys fall in: the merge is first written aside in the shared
-    folder, then replaces those partitions. Running a batch again gives the same
-    snapshot, so a write cut short is repaired by its retry.
+    Rows live in ``buckets`` hash partitions, each of as many files as its size
+    asks for. A batch reads and rewrites only the partitions its keys fall in, so
+    choose enough buckets that one is a few gigabytes. The merge is first written
+    aside in the shared folder, then replaces those partitions. Running a batch
+    again gives the same snapshot, so a write cut short is repaired by its retry.
     """
 
     def __init__(
@@ -57,6 +58,6 @@ class SnapshotSink(PageSink):
         kept = self._stored(spark).where(F.col("bucket").isin(touched)).join(fresh.select(self.key), self.key, "left_anti")
         merged = cut_lineage(kept.unionByName(fresh), "merge")
         (
-            merged.repartition("bucket").write.mode("overwrite")
+            merged.hint("rebalance", "bucket").write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(self.path)
         )

@@ -32,10 +32,11 @@ def test_ordered_columns_equal_plain_windows(spark):
         "prev": F.last("v", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)),
         "total": F.sum(F.coalesce("v", F.lit(0))).over(w.rowsBetween(Window.unboundedPreceding, 0)),
         "rn": F.row_number().over(w),
-    })
+        "top": F.max("v").over(w.rowsBetween(Window.unboundedPreceding, -1)),
+    }).select("seq", "k", "t", "v", "prev", "top", "total", "rn")
     base = frame.withColumn("v0", F.coalesce("v", F.lit(0)))
     got = ordered_columns(
-        base, ["k"], ["t", "seq"], F.floor(F.col("t") / 50), last_before={"prev": "v"}, running_sum={"total": "v0"}
+        base, ["k"], ["t", "seq"], F.floor(F.col("t") / 50), last_before={"prev": "v"}, max_before={"top": "v"}, running_sum={"total": "v0"}
     ).drop("v0")
     got = number_rows(got, ["k"], ["t", "seq"], F.floor(F.col("t") / 70))
     assert {tuple(r) for r in got.collect()} == {tuple(r) for r in plain.collect()}
@@ -85,9 +86,9 @@ def test_breaker_replay_equals_the_fold(spark, threshold, recovery, spacing, bad
 @pytest.mark.parametrize("seed", range(40))
 def test_chunk_functions_compose_to_the_fold(seed):
     """Any cut into chunks, and any state at a cut, gives what the fold gives."""
-    import pandas as pd
+    import pyarrow as pa
 
-    from seine.operators.breaker import _compose, chunk_function
+    from seine.operators.breaker import chunk_function, starting_states
 
     rnd = random.Random(seed)
     policy = BreakerPolicy(rnd.choice([1, 2, 3, 5]), rnd.choice([3, 10, 25]))
@@ -99,11 +100,11 @@ def test_chunk_functions_compose_to_the_fold(seed):
     for chunk in np.unique(chunks):
         pick = chunks == chunk
         rows.append({"_host": "h", "_chunk": chunk, **chunk_function(ts[pick], ok[pick], int(chunk) * width, policy)})
-    starts = _compose(policy)(pd.DataFrame(rows))
+    starts = next(starting_states(policy)([pa.RecordBatch.from_pylist(rows)])).to_pylist()
     got = []
-    for start in starts.itertuples(index=False):
-        pick = chunks == start[1]
-        allowed, is_open, _, _ = walk(ts[pick], ok[pick], None if start[2] < 0 else start[2], start[3], policy)
+    for start in starts:
+        pick, since = chunks == start["_chunk"], start["_opened_at"]
+        allowed, is_open, _, _ = walk(ts[pick], ok[pick], None if since < 0 else since, start["_failures"], policy)
         got += [(bool(a), "open" if o else "closed") for a, o in zip(allowed, is_open)]
     assert got == fold(list(zip(ts.tolist(), ok.tolist())), policy)
 
