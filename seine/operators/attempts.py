@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.retry import RetryPolicy
-from .ordered import ordered_columns, time_bucket
+from .ordered import HEAVY_ROWS, ordered_columns, time_bucket
 
 
-def number_attempts(log: DataFrame, policy: RetryPolicy, *, key: str = "host", bucket_s: float = 3600.0) -> DataFrame:
+def number_attempts(
+    log: DataFrame, policy: RetryPolicy, *, key: str = "host", bucket_s: float = 3600.0, heavy_rows: int = HEAVY_ROWS
+) -> DataFrame:
     """Add op_start, attempt, is_final, gave_up and wait_s to an outcome log.
 
     Per ``key`` in (ts, seq) order, a run of retryable failures and the row after
@@ -27,9 +29,9 @@ def number_attempts(log: DataFrame, policy: RetryPolicy, *, key: str = "host", b
         "_one": F.lit(1).cast("bigint"),
     })
     order, bucket = ["ts", "seq"], time_bucket(ts, bucket_s)
-    numbered = ordered_columns(base, [key], order, bucket, running_sum={"_rn": "_one"})
+    numbered = ordered_columns(base, [key], order, bucket, running_sum={"_rn": "_one"}, heavy_rows=heavy_rows)
     numbered = numbered.withColumn("_end", F.when(~F.col("_retryable"), F.col("_rn")))
-    placed = ordered_columns(numbered, [key], order, bucket, max_before={"_prev_end": "_end"})
+    placed = ordered_columns(numbered, [key], order, bucket, max_before={"_prev_end": "_end"}, heavy_rows=heavy_rows)
     place = F.col("_rn") - F.coalesce("_prev_end", F.lit(0)) - 1
     attempt = (place % length).cast("int")
     placed = placed.withColumns({"attempt": attempt, "op_start": F.col("_rn") - attempt})

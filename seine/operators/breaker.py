@@ -1,17 +1,17 @@
 """Per-host circuit breaker replayed over an ordered outcome log.
 
-The breaker is a fold over a host's events, yet it splits: cut the log into
-chunks of time, and each chunk is a small function from the state it starts in
-to the state it ends in. The state is either closed with a failure count below
-the threshold, or open since some instant, of which only the first event at or
-after the recovery counts. So the jobs are
-
-1. per (host, chunk): the chunk's function, in numpy, over that chunk's rows;
-2. per host: run the few chunk functions in order to get each chunk's start;
-3. per (host, chunk): walk the chunk from its start and mark every row.
-
-No task ever holds more than one chunk of one host's rows, and results are
-exactly those of the sequential fold.
+The breaker is a fold over a host's events. Hosts of moderate size are folded whole,
+many to a task. A hot host's log is cut into chunks of time, since the fold splits:
+each chunk is a small function from the state it starts in to the state it ends in.
+The state is either closed with a failure count below the threshold, or open since
+some instant, of which only the first event at or after the recovery counts. So
+
+1. per chunk of a hot host: the chunk's function, in numpy, over that chunk's rows;
+2. per hot host: run the few chunk functions in order to get each chunk's start;
+3. per host or chunk: walk its rows from the start and mark every one.
+
+No task ever holds more than one host of moderate size or one chunk of a hot one at a
+time, and results are exactly those of the sequential fold.
 """
 
 from __future__ import annotations
@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from .ordered import HEAVY_ROWS, heavy_keys
+
 CLOSED, OPEN, HALF_OPEN = "closed", "open", "half_open"
 
 
@@ -199,16 +201,16 @@ def _values(table: pa.Table, name: str) -> np.ndarray:
     return table.column(name).combine_chunks().to_numpy(zero_copy_only=False)
 
 
-def _summarise(policy: BreakerPolicy, width: int):
+def _summarise(policy: BreakerPolicy):
     arrow = to_arrow_schema(_FUNCTION)
 
     def run(batches):
         for table, edges in _whole_groups(batches):
             ts, ok = _values(table, "_us"), _values(table, "_ok").astype(bool)
-            hosts, chunks = table.column("_host"), _values(table, "_chunk")
+            hosts, chunks, starts = table.column("_host"), _values(table, "_chunk"), _values(table, "_start")
             rows = []
             for low, high in zip(edges[:-1], edges[1:]):
-                made = chunk_function(ts[low:high], ok[low:high], int(chunks[low]) * width, policy)
+                made = chunk_function(ts[low:high], ok[low:high], int(starts[low]), policy)
                 rows.append({"_host": hosts[int(low)].as_py(), "_chunk": int(chunks[low]), **made})
             yield from pa.Table.from_pylist(rows, schema=arrow).to_batches()
 
@@ -241,18 +243,18 @@ def starting_states(policy: BreakerPolicy):
 def _mark(policy: BreakerPolicy, ok: str, names: list[str], arrow: pa.Schema):
     def run(batches):
         for table, edges in _whole_groups(batches):
-            header = np.zeros(table.num_rows, bool)
-            header[edges[:-1]] = True
-            opened, failures = _values(table.take(edges[:-1]), "_opened_at"), _values(table.take(edges[:-1]), "_failures")
-            rows = table.filter(pa.array(~header))
-            # Each group lost its header row, so its edges move up by one per group.
-            bounds = edges - np.arange(len(edges))
+            # A header row, the first of its group, carries the starting state.
+            header = table.column("_us").is_null().to_numpy()
+            opened, failures = _values(table, "_opened_at"), _values(table, "_failures")
+            above = np.concatenate(([0], np.cumsum(header)))
+            rows, bounds = table.filter(pa.array(~header)), edges - above[edges]
             ts, good = _values(rows, "_us"), _values(rows, ok).astype(bool)
             allowed, is_open = np.empty(len(ts), bool), np.empty(len(ts), bool)
-            for index, (low, high) in enumerate(zip(bounds[:-1], bounds[1:])):
-                since = None if opened[index] < 0 else int(opened[index])
+            for first, low, high in zip(edges[:-1], bounds[:-1], bounds[1:]):
+                known = header[first] and opened[first] >= 0
                 allowed[low:high], is_open[low:high], _, _ = walk(
-                    ts[low:high], good[low:high], since, int(failures[index]), policy
+                    ts[low:high], good[low:high], int(opened[first]) if known else None,
+                    int(failures[first]) if header[first] else 0, policy,
                 )
             out = rows.select(names).append_column("allowed", pa.array(allowed))
             out = out.append_column("state_after", pa.array(np.where(is_open, OPEN, CLOSED)))
@@ -269,29 +271,33 @@ def replay_breaker(
     ts: str = "ts",
     seq: str = "seq",
     ok: str = "ok",
-    chunk_s: float | None = None,
+    heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Add ``allowed`` and ``state_after`` to every row of an outcome log.
 
     Rows are taken per ``host`` in (``ts``, ``seq``) order. A denied row does not
-    touch the state. ``chunk_s`` is the length of log one task handles for one
-    host; several recovery times keep the chunk functions short.
+    touch the state. A host of more than ``heavy_rows`` rows is cut into chunks of
+    about that many, but never shorter than several recovery times, which keeps the
+    chunk functions short.
 
     The starting states reach their chunks as header rows in the same exchange as
     the log, not by a join: a join could be split for skew, and a group with it.
     """
-    width = int(max(chunk_s or 3600.0, 16 * policy.recovery_s) * 1_000_000)
-    moment = F.unix_micros(F.col(ts).cast("timestamp"))
-    keyed = log.withColumns({
-        "_host": F.coalesce(F.col(host), F.lit("")),
-        "_us": moment,
-        "_chunk": F.floor(moment / F.lit(width)),
-    })
+    us = F.unix_micros(F.col(ts).cast("timestamp"))
+    timed = log.withColumns({"_host": F.coalesce(F.col(host), F.lit("")), "_us": us})
     groups = ["_host", "_chunk"]
+    heavy = heavy_keys(
+        timed, ["_host"], heavy_rows, F.min("_us").alias("_first"), (F.max("_us") - F.min("_us")).alias("_span")
+    )
+    even = F.ceil(F.col("_span") / F.col("_rows") * heavy_rows)
+    heavy = heavy.select("_host", "_first", F.greatest(even, F.lit(16 * policy.recovery_us), F.lit(1)).alias("_width"))
+    chunk = F.floor((F.col("_us") - F.col("_first")) / F.col("_width"))
+    keyed = timed.join(heavy, "_host", "left").withColumn("_chunk", F.coalesce(chunk, F.lit(-1))).drop("_first", "_width")
 
-    slim = keyed.select(*groups, "_us", F.col(seq).alias("_seq"), F.col(ok).alias("_ok"))
+    slim = timed.select("_host", "_us", F.col(seq).alias("_seq"), F.col(ok).alias("_ok")).join(heavy, "_host")
+    slim = slim.withColumns({"_chunk": chunk, "_start": F.col("_first") + chunk * F.col("_width")}).drop("_first", "_width")
     slim = slim.repartition(*groups).sortWithinPartitions(*groups, "_us", "_seq")
-    functions = slim.mapInArrow(_summarise(policy, width), _FUNCTION)
+    functions = slim.mapInArrow(_summarise(policy), _FUNCTION)
     starts = functions.repartition("_host").sortWithinPartitions(*groups).mapInArrow(starting_states(policy), _START)
 
     out_schema = T.StructType([T.StructField(f.name, f.dataType) for f in log.schema] + [

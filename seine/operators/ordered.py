@@ -1,10 +1,11 @@
 """Order-dependent columns for keys of any size.
 
-A window over a key sorts all rows of the key in one task. Here a key's rows are
-cut into buckets of an order column (an hour of a log, a run of ids). The window
-runs per (key, bucket), each bucket hands one summary row on, and a second
-window over those summaries supplies what came before. The results equal the
-plain window's; a hot key is spread over as many tasks as it has buckets.
+A window over a key sorts all rows of the key in one task, which is fine until a key
+is hot. Keys of more than ``HEAVY_ROWS`` rows are therefore cut into buckets of an
+order column (an hour of a log, a run of ids). The window runs per (key, bucket),
+each bucket hands one summary row on, and a second window over those summaries
+supplies what came before. The results equal the plain window's; a hot key is
+spread over as many tasks as it has buckets, and other keys cost one count more.
 """
 
 from __future__ import annotations
@@ -15,6 +16,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# Rows of one key a single task may well sort. Heavy keys are at most rows / HEAVY_ROWS
+# in number, so the list of them stays small beside the data.
+HEAVY_ROWS = 4_000_000
+
+
+def heavy_keys(rows: DataFrame, keys: Sequence[str], heavy_rows: int, *extra: Column) -> DataFrame:
+    """Keys with more than ``heavy_rows`` rows, with ``extra`` aggregates."""
+    counted = rows.groupBy(*keys).agg(F.count("*").alias("_rows"), *extra)
+    return counted.where(F.col("_rows") > heavy_rows)
+
+
 def time_bucket(ts: Column, seconds: float) -> Column:
     return F.floor(F.unix_micros(ts) / F.lit(int(seconds * 1_000_000)))
 
@@ -32,6 +44,7 @@ def ordered_columns(
     last_before: Mapping[str, str] | None = None,
     max_before: Mapping[str, str] | None = None,
     running_sum: Mapping[str, str] | None = None,
+    heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Add order-dependent columns to ``rows``.
 
@@ -44,10 +57,12 @@ def ordered_columns(
     """
     last_before, max_before, running_sum = dict(last_before or {}), dict(max_before or {}), dict(running_sum or {})
     keys = list(keys)
-    marked = rows.withColumn("_bucket", bucket)
+    heavy = heavy_keys(rows, keys, heavy_rows).select(*keys, F.lit(True).alias("_heavy"))
+    # A key that is not heavy has the null bucket, which takes no carry.
+    marked = rows.join(heavy, keys, "left").withColumn("_bucket", F.when(F.col("_heavy"), bucket))
     position = F.struct(*order)
 
-    edges = marked.groupBy(*keys, "_bucket").agg(*[
+    edges = rows.join(heavy, keys).withColumn("_bucket", bucket).groupBy(*keys, "_bucket").agg(*[
         F.max_by(F.col(source), F.when(F.col(source).isNotNull(), position)).alias(f"_edge_{out}")
         for out, source in last_before.items()
     ], *[F.max(source).alias(f"_edge_{out}") for out, source in max_before.items()
@@ -74,8 +89,10 @@ def ordered_columns(
 
 
 def number_rows(
-    rows: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column, out: str = "rn"
+    rows: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column, out: str = "rn",
+    heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Row numbers from 1 per key in ``order``."""
     ones = rows.withColumn("_one", F.lit(1).cast("bigint"))
-    return ordered_columns(ones, keys, order, bucket, running_sum={out: "_one"}).drop("_one")
+    numbered = ordered_columns(ones, keys, order, bucket, running_sum={out: "_one"}, heavy_rows=heavy_rows)
+    return numbered.drop("_one")

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ordered import number_rows, ordered_columns, time_bucket
+from .ordered import HEAVY_ROWS, number_rows, ordered_columns, time_bucket
 
 
 @dataclass(frozen=True)
@@ -37,6 +37,7 @@ def audit_pace(
     crawl_delay: Column | None = None,
     host: str = "host",
     bucket_s: float = 3600.0,
+    heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Add pace_key, gap_s, required_s, wait_s and violation to timed requests.
 
@@ -45,7 +46,7 @@ def audit_pace(
     """
     keyed = requests.withColumns({"pace_key": policy.key(host), "_us": F.unix_micros(F.col("ts").cast("timestamp"))})
     bucket = time_bucket(F.col("ts").cast("timestamp"), bucket_s)
-    lagged = ordered_columns(keyed, ["pace_key"], ["ts", "seq"], bucket, max_before={"_prev": "_us"})
+    lagged = ordered_columns(keyed, ["pace_key"], ["ts", "seq"], bucket, max_before={"_prev": "_us"}, heavy_rows=heavy_rows)
     gap, required = (F.col("_us") - F.col("_prev")) / F.lit(1_000_000.0), policy.required(crawl_delay)
     return lagged.withColumns({
         "gap_s": gap,
@@ -63,8 +64,9 @@ def paced_fetch_list(
     *,
     crawl_delay: Column | None = None,
     host: str = "host",
+    heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Add the rank of each URL within its host and its earliest send offset."""
     keyed = urls.withColumn("pace_key", policy.key(host))
-    ranked = number_rows(keyed, ["pace_key"], order, bucket, out="rank")
+    ranked = number_rows(keyed, ["pace_key"], order, bucket, out="rank", heavy_rows=heavy_rows)
     return ranked.withColumn("send_offset_s", (F.col("rank") - 1) * policy.required(crawl_delay))

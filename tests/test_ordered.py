@@ -23,7 +23,8 @@ def log_of(spark, events):
     return spark.createDataFrame(rows, "seq long, host string, ts timestamp, error_class string, status int")
 
 
-def test_ordered_columns_equal_plain_windows(spark):
+@pytest.mark.parametrize("heavy", [0, 200, 10**6])
+def test_ordered_columns_equal_plain_windows(spark, heavy):
     rnd = random.Random(3)
     rows = [(i, rnd.choice("aaaab"), rnd.randint(0, 2000), rnd.choice([None, 1, 2])) for i in range(600)]
     frame = spark.createDataFrame(rows, "seq long, k string, t int, v long")
@@ -36,9 +37,10 @@ def test_ordered_columns_equal_plain_windows(spark):
     }).select("seq", "k", "t", "v", "prev", "top", "total", "rn")
     base = frame.withColumn("v0", F.coalesce("v", F.lit(0)))
     got = ordered_columns(
-        base, ["k"], ["t", "seq"], F.floor(F.col("t") / 50), last_before={"prev": "v"}, max_before={"top": "v"}, running_sum={"total": "v0"}
+        base, ["k"], ["t", "seq"], F.floor(F.col("t") / 50), last_before={"prev": "v"}, max_before={"top": "v"}, running_sum={"total": "v0"},
+        heavy_rows=heavy,
     ).drop("v0")
-    got = number_rows(got, ["k"], ["t", "seq"], F.floor(F.col("t") / 70))
+    got = number_rows(got, ["k"], ["t", "seq"], F.floor(F.col("t") / 70), heavy_rows=heavy)
     assert {tuple(r) for r in got.collect()} == {tuple(r) for r in plain.collect()}
 
 
@@ -74,13 +76,15 @@ def test_breaker_replay_equals_the_fold(spark, threshold, recovery, spacing, bad
         host = "hot" if rnd.random() < 0.8 else rnd.choice(["x", "y"])
         events.append((host, at, "TransientError" if rnd.random() < bad else None, None))
     log = log_of(spark, events).withColumn("ok", F.col("error_class").isNull())
-    got = {r.seq: (r.allowed, r.state_after) for r in replay_breaker(log, policy, chunk_s=16 * max(recovery, 1)).collect()}
-    # Tiny chunks as well: every host is split many times.
+    got = {r.seq: (r.allowed, r.state_after) for r in replay_breaker(log, policy).collect()}
+    # The hot host in many chunks as well.
+    split = {r.seq: (r.allowed, r.state_after) for r in replay_breaker(log, policy, heavy_rows=200).collect()}
     want = {}
     for host in ("hot", "x", "y"):
         mine = [(i, s * 1_000_000, e is None) for i, (h, s, e, _) in enumerate(events) if h == host]
         want.update(zip([i for i, _, _ in mine], fold([(t, ok) for _, t, ok in mine], policy)))
     assert got == want
+    assert split == want
 
 
 @pytest.mark.parametrize("seed", range(40))
@@ -126,26 +130,28 @@ def test_breaker_cases(spark):
         BreakerPolicy(0)
 
 
-def test_attempts_from_outcomes(spark):
+@pytest.mark.parametrize("heavy", [0, 10**6])
+def test_attempts_from_outcomes(spark, heavy):
     bad = "TransientError"
     events = [("a", 0, bad, 503), ("a", 1, bad, 503), ("a", 2, bad, 503), ("a", 3, bad, 503), ("a", 4, None, 200),
               ("a", 5, "PermanentError", 404), ("a", 9000, bad, 429)]
-    rows = number_attempts(log_of(spark, events), RetryPolicy(max_retries=2), bucket_s=2).orderBy("seq").collect()
+    rows = number_attempts(log_of(spark, events), RetryPolicy(max_retries=2), bucket_s=2, heavy_rows=heavy).orderBy("seq").collect()
     assert [r.attempt for r in rows] == [0, 1, 2, 0, 1, 0, 0]
     assert [r.gave_up for r in rows] == [False, False, True, False, False, False, False]
     assert [r.is_final for r in rows] == [False, False, True, False, True, True, True]
     assert [r.wait_s for r in rows] == [1, 2, None, 1, None, None, None]
 
 
-def test_pacing(spark):
+@pytest.mark.parametrize("heavy", [0, 10**6])
+def test_pacing(spark, heavy):
     requests = log_of(spark, [("a", 0, None, 200), ("a", 0.05, None, 200), ("b", 0.06, None, 200), ("a", 5000, None, 200)])
-    rows = audit_pace(requests, PacePolicy(10)).orderBy("seq").collect()
+    rows = audit_pace(requests, PacePolicy(10), heavy_rows=heavy).orderBy("seq").collect()
     assert [r.gap_s for r in rows] == [None, 0.05, None, 4999.95]
     assert [r.violation for r in rows] == [False, True, False, False]
     assert rows[1].wait_s == pytest.approx(0.05)
-    shared = audit_pace(requests, PacePolicy(10, min_delay=0.2, per_host=False)).orderBy("seq").collect()
+    shared = audit_pace(requests, PacePolicy(10, min_delay=0.2, per_host=False), heavy_rows=heavy).orderBy("seq").collect()
     assert [r.violation for r in shared] == [False, True, True, False] and shared[2].required_s == 0.2
-    listed = paced_fetch_list(requests, PacePolicy(2), ["seq"], F.floor(F.col("seq") / 2), crawl_delay=F.lit(2.0))
+    listed = paced_fetch_list(requests, PacePolicy(2), ["seq"], F.floor(F.col("seq") / 2), crawl_delay=F.lit(2.0), heavy_rows=heavy)
     assert [(r["rank"], r.send_offset_s) for r in listed.orderBy("seq").collect()] == [(1, 0), (2, 2), (1, 0), (3, 4)]
     with pytest.raises(ValueError):
         PacePolicy(0)
