@@ -95,6 +95,9 @@ class CaptureJob:
             self.max_page_bytes, self.allow_private_hosts,
         )
         parsed_waves: list[DataFrame] = []
+        started = time.time()
+        # Batch ids of this run: a later run appends to what earlier runs saved.
+        first_batch = int(started * 1000) * 1000
         if sink is not None:
             sink.init(spark)
 
@@ -107,10 +110,9 @@ class CaptureJob:
             )
             parsed_waves.append(parsed)
             if sink is not None:
-                save(sink, page_records(parsed, F.col("crawled_at")), len(parsed_waves) - 1, on_error="warn")
+                save(sink, page_records(parsed, F.col("crawled_at")), first_batch + len(parsed_waves), on_error="warn")
             return parsed.select("path", "links")
 
-        started = time.time()
         start = self.seeds(captures, sitemap_docs) if seeds is None else seeds
         run = crawl(
             start, open_pages, facts, policy, robots=robots,

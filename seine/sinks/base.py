@@ -22,8 +22,9 @@ class SinkError(Exception):
 class PageSink(abc.ABC):
     """Extension point: subclass it to write batches anywhere.
 
-    ``write`` must be idempotent per ``batch_id``: writing a batch again replaces
-    what the first try left, which is what makes retries and restarts exact.
+    ``write`` must be idempotent per ``batch_id``: a new id adds rows, and writing a
+    known id again replaces what the first try left, which is what makes retries
+    and restarts exact. Ids are the caller's to choose.
     """
 
     def init(self, spark: SparkSession) -> None:  # noqa: B027 - optional hook

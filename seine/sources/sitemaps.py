@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import xml.etree.ElementTree as ET
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -52,9 +53,10 @@ def expand_sitemaps(roots: DataFrame, docs: DataFrame, max_index_depth: int = 3)
     """Page locations below each root (``url``), in depth-first document order.
 
     Each level is one equi-join of the current locations with the documents they
-    name. ``path`` is the trail of positions; ordering by it restores document
-    order without numbering rows globally. Cycles end at the depth limit, where
-    an index yields nothing.
+    name, written to the shared folder so that no level is computed twice. ``path``
+    is the trail of positions; ordering by it restores document order without
+    numbering rows globally. Expansion ends with the last index, or at the depth
+    limit, where an index yields nothing; that also ends cycles.
     """
     parts = cut_lineage(parse_sitemaps(docs), "sitemaps")
     level = roots.select(F.col("url").alias("root_url"), F.col("url"), F.array().cast("array<int>").alias("path"))
@@ -63,15 +65,13 @@ def expand_sitemaps(roots: DataFrame, docs: DataFrame, max_index_depth: int = 3)
         opened = level.join(parts, "url").select(
             "root_url", "is_index", "path", F.posexplode("locs").alias("pos", "loc")
         )
-        opened = opened.withColumn("path", F.concat("path", F.array("pos")))
+        opened = cut_lineage(opened.withColumn("path", F.concat("path", F.array("pos"))), "level")
         pages = opened.where(~F.col("is_index"))
         found.append(pages.select("root_url", "loc", F.lit(depth).alias("depth"), "path"))
-        if depth < max_index_depth:
-            level = opened.where("is_index").select("root_url", F.col("loc").alias("url"), "path")
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out
+        level = opened.where("is_index").select("root_url", F.col("loc").alias("url"), "path")
+        if level.isEmpty():
+            break
+    return reduce(DataFrame.unionByName, found)
 
 
 def seed_urls(start: DataFrame, sitemap: DataFrame | None = None) -> DataFrame:

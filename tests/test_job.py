@@ -49,6 +49,13 @@ def test_job_end_to_end(spark, site, tmp_path):
     assert "<td>site</td>" in text_of(tmp_path / "report")
 
 
+def test_a_second_job_appends(spark, site, tmp_path):
+    for start in ("http://site/b", "http://map/1"):
+        CaptureJob([start]).run(site, sink=JsonLinesSink(str(tmp_path / "out")))
+    saved = read_jsonl_records(spark, str(tmp_path / "out")).collect()
+    assert sorted(r.title for r in saved) == ["B", "M"]
+
+
 def test_job_seeds_from_a_sitemap(spark, site):
     docs = spark.createDataFrame([("http://map/s", "<urlset><url><loc>http://map/1</loc></url></urlset>")], "url string, xml string")
     job = CaptureJob(["http://site/b"], sitemap_url="http://map/s")
