@@ -35,6 +35,9 @@ HEAD_ONLY = {"html", "head", "title", "meta", "link", "base", "script", "style",
 ENDS_HEADING = {*HEADINGS, "p", "li", "table", "form"}
 # An end tag looks for its element no further than these.
 WALLS = {"table", "tr", "td", "th"}
+# Elements nested deeper than this lend their text to those around them but are not
+# listed themselves: each level would repeat in all levels above it.
+LISTED_DEPTH = 256
 
 
 class _Span:
@@ -148,6 +151,9 @@ class PageEvents:
         if tag == "title":
             self.title = self.title or span
             self.in_title += 1
+        elif len(self.open) >= LISTED_DEPTH:
+            self.open.append(span)
+            return
         elif tag in ("h1", "h2", "h3"):
             self.headings.append(span)
         elif tag in LIST_TAGS:

@@ -86,6 +86,12 @@ def test_truncated_markup():
     assert page("<h1>Top<p>rest")["headings"] == [{"level": "h1", "text": "Top"}]
 
 
+def test_endless_nesting_keeps_its_text_and_ends():
+    deep = page("<table><tr><td>" + "<table><tr><td>x" * 3000 + "</table>" * 3000 + "tail</table><ul><li>after</ul>")
+    assert deep["text"].count("x") == 3000 and deep["lists"] == [{"type": "ul", "items": ["after"]}]
+    assert deep["tables"][0][0][0].endswith("x tail") and len(deep["tables"]) < 100
+
+
 def test_page_without_body_shows_all_text():
     assert page("<title>Only</title>")["text"] == "Only"
     assert page("<title>T</title>words")["text"] == "words"
