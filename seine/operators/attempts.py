@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.retry import RetryPolicy
-from .ordered import HEAVY_ROWS, ordered_columns, time_bucket
+from .ordered import HEAVY_ROWS, heavy_keys, ordered_columns, time_bucket
 
 
 def number_attempts(
@@ -29,19 +29,18 @@ def number_attempts(
         "_one": F.lit(1).cast("bigint"),
     })
     order, bucket = ["ts", "seq"], time_bucket(ts, bucket_s)
-    numbered = ordered_columns(base, [key], order, bucket, running_sum={"_rn": "_one"}, heavy_rows=heavy_rows)
+    heavy = heavy_keys(log, [key], heavy_rows)
+    numbered = ordered_columns(base, [key], order, bucket, heavy, running_sum={"_rn": "_one"}, last_row="_at_end")
     numbered = numbered.withColumn("_end", F.when(~F.col("_retryable"), F.col("_rn")))
-    placed = ordered_columns(numbered, [key], order, bucket, max_before={"_prev_end": "_end"}, heavy_rows=heavy_rows)
+    placed = ordered_columns(numbered, [key], order, bucket, heavy, max_before={"_prev_end": "_end"})
     place = F.col("_rn") - F.coalesce("_prev_end", F.lit(0)) - 1
     attempt = (place % length).cast("int")
     placed = placed.withColumns({"attempt": attempt, "op_start": F.col("_rn") - attempt})
     # Final: not retryable, or out of retries, or the log of the key ends here.
-    last = log.groupBy(key).agg(F.count("*").alias("_rows"))
-    joined = placed.join(last, key)
     spent = F.col("attempt") >= policy.max_retries
-    final = ~F.col("_retryable") | spent | (F.col("_rn") == F.col("_rows"))
-    return joined.withColumns({
+    final = ~F.col("_retryable") | spent | F.col("_at_end")
+    return placed.withColumns({
         "is_final": final,
         "gave_up": F.col("_retryable") & spent,
         "wait_s": F.when(F.col("_retryable") & ~final, policy.delay(F.col("status"), F.col("attempt"))),
-    }).drop("_retryable", "_one", "_rn", "_end", "_prev_end", "_rows")
+    }).drop("_retryable", "_one", "_rn", "_end", "_prev_end", "_at_end")

@@ -289,16 +289,19 @@ def replay_breaker(
     heavy = heavy_keys(
         timed, ["_host"], heavy_rows, F.min("_us").alias("_first"), (F.max("_us") - F.min("_us")).alias("_span")
     )
-    even = F.ceil(F.col("_span") / F.col("_rows") * heavy_rows)
-    heavy = heavy.select("_host", "_first", F.greatest(even, F.lit(16 * policy.recovery_us), F.lit(1)).alias("_width"))
-    chunk = F.floor((F.col("_us") - F.col("_first")) / F.col("_width"))
-    keyed = timed.join(heavy, "_host", "left").withColumn("_chunk", F.coalesce(chunk, F.lit(-1))).drop("_first", "_width")
-
-    slim = timed.select("_host", "_us", F.col(seq).alias("_seq"), F.col(ok).alias("_ok")).join(heavy, "_host")
-    slim = slim.withColumns({"_chunk": chunk, "_start": F.col("_first") + chunk * F.col("_width")}).drop("_first", "_width")
-    slim = slim.repartition(*groups).sortWithinPartitions(*groups, "_us", "_seq")
-    functions = slim.mapInArrow(_summarise(policy), _FUNCTION)
-    starts = functions.repartition("_host").sortWithinPartitions(*groups).mapInArrow(starting_states(policy), _START)
+    keyed = timed.withColumn("_chunk", F.lit(-1).cast("long"))
+    starts = log.sparkSession.createDataFrame([], _START)
+    if heavy is not None:
+        even = F.ceil(F.col("_span") / F.col("_rows") * heavy_rows)
+        heavy = heavy.select("_host", "_first", F.greatest(even, F.lit(16 * policy.recovery_us), F.lit(1)).alias("_width"))
+        chunk = F.floor((F.col("_us") - F.col("_first")) / F.col("_width"))
+        keyed = timed.join(heavy, "_host", "left").withColumn("_chunk", F.coalesce(chunk, F.lit(-1))).drop("_first", "_width")
+
+        slim = timed.select("_host", "_us", F.col(seq).alias("_seq"), F.col(ok).alias("_ok")).join(heavy, "_host")
+        slim = slim.withColumns({"_chunk": chunk, "_start": F.col("_first") + chunk * F.col("_width")}).drop("_first", "_width")
+        slim = slim.repartition(*groups).sortWithinPartitions(*groups, "_us", "_seq")
+        functions = slim.mapInArrow(_summarise(policy), _FUNCTION)
+        starts = functions.repartition("_host").sortWithinPartitions(*groups).mapInArrow(starting_states(policy), _START)
 
     out_schema = T.StructType([T.StructField(f.name, f.dataType) for f in log.schema] + [
         T.StructField("allowed", T.BooleanType()),

@@ -15,16 +15,23 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 
 # Rows of one key a single task may well sort. Heavy keys are at most rows / HEAVY_ROWS
 # in number, so the list of them stays small beside the data.
 HEAVY_ROWS = 4_000_000
 
 
-def heavy_keys(rows: DataFrame, keys: Sequence[str], heavy_rows: int, *extra: Column) -> DataFrame:
-    """Keys with more than ``heavy_rows`` rows, with ``extra`` aggregates."""
+def heavy_keys(rows: DataFrame, keys: Sequence[str], heavy_rows: int, *extra: Column) -> DataFrame | None:
+    """Keys with more than ``heavy_rows`` rows, with ``extra`` aggregates; None if none.
+
+    The list is written, not kept as a plan: its real size then decides how it is
+    joined, and without heavy keys the caller can leave the join out.
+    """
     counted = rows.groupBy(*keys).agg(F.count("*").alias("_rows"), *extra)
-    return counted.where(F.col("_rows") > heavy_rows)
+    found = cut_lineage(counted.where(F.col("_rows") > heavy_rows), "heavy")
+    return None if found.isEmpty() else found
 
 
 def time_bucket(ts: Column, seconds: float) -> Column:
@@ -40,11 +47,12 @@ def ordered_columns(
     keys: Sequence[str],
     order: Sequence[str],
     bucket: Column,
+    heavy: DataFrame | None,
     *,
     last_before: Mapping[str, str] | None = None,
     max_before: Mapping[str, str] | None = None,
     running_sum: Mapping[str, str] | None = None,
-    heavy_rows: int = HEAVY_ROWS,
+    last_row: str | None = None,
 ) -> DataFrame:
     """Add order-dependent columns to ``rows``.
 
@@ -53,40 +61,47 @@ def ordered_columns(
     largest value; for values that rise with ``order`` the two agree, and the
     maximum is the one a hash aggregate can take before the shuffle.
     ``running_sum`` maps an output name to a column summed up to and including the
-    row. ``bucket`` must rise with ``order``, and ``keys`` must not be null.
+    row. ``last_row`` names a flag for the last row of a key. ``heavy`` comes from
+    :func:`heavy_keys`. ``bucket`` must rise with ``order``, and ``keys`` must not
+    be null.
     """
     last_before, max_before, running_sum = dict(last_before or {}), dict(max_before or {}), dict(running_sum or {})
-    keys = list(keys)
-    heavy = heavy_keys(rows, keys, heavy_rows).select(*keys, F.lit(True).alias("_heavy"))
-    # A key that is not heavy has the null bucket, which takes no carry.
-    marked = rows.join(heavy, keys, "left").withColumn("_bucket", F.when(F.col("_heavy"), bucket))
+    keys, split = list(keys), heavy is not None
+    marked = rows
+    if split:
+        names = heavy.select(*keys, F.lit(True).alias("_heavy"))
+        # A key that is not heavy has the null bucket, which takes no carry.
+        marked = rows.join(names, keys, "left").withColumn("_bucket", F.when(F.col("_heavy"), bucket))
+        carried = _carried(rows.join(names, keys).withColumn("_bucket", bucket), keys, order, last_before, max_before, running_sum)
+        marked = marked.join(carried, [*keys, "_bucket"], "left")
+
+    inside = Window.partitionBy(*keys, *(["_bucket"] if split else [])).orderBy(*order)
+    before, upto = inside.rowsBetween(Window.unboundedPreceding, -1), inside.rowsBetween(Window.unboundedPreceding, 0)
+    carry = lambda out: F.col(f"_carry_{out}") if split else F.lit(None)
+    added = [F.coalesce(F.last(source, ignorenulls=True).over(before), carry(out)).alias(out) for out, source in last_before.items()]
+    added += [F.greatest(F.max(source).over(before), carry(out)).alias(out) for out, source in max_before.items()]
+    added += [(F.sum(source).over(upto) + F.coalesce(carry(out), F.lit(0))).alias(out) for out, source in running_sum.items()]
+    if last_row:
+        ends = F.lead(F.lit(1)).over(inside).isNull()
+        added.append((ends & F.coalesce("_last_bucket", F.lit(True)) if split else ends).alias(last_row))
+    return marked.select(*rows.columns, *added)
+
+
+def _carried(bucketed, keys, order, last_before, max_before, running_sum) -> DataFrame:
+    """What each bucket of a heavy key takes over from the buckets before it."""
     position = F.struct(*order)
-
-    edges = rows.join(heavy, keys).withColumn("_bucket", bucket).groupBy(*keys, "_bucket").agg(*[
+    edges = bucketed.groupBy(*keys, "_bucket").agg(F.count("*").alias("_n"), *[
         F.max_by(F.col(source), F.when(F.col(source).isNotNull(), position)).alias(f"_edge_{out}")
         for out, source in last_before.items()
     ], *[F.max(source).alias(f"_edge_{out}") for out, source in max_before.items()
     ], *[F.sum(source).alias(f"_edge_{out}") for out, source in running_sum.items()])
-    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carried = edges.select(*keys, "_bucket", *[
+    buckets = Window.partitionBy(*keys).orderBy("_bucket")
+    earlier = buckets.rowsBetween(Window.unboundedPreceding, -1)
+    return edges.select(*keys, "_bucket", F.lead("_bucket").over(buckets).isNull().alias("_last_bucket"), *[
         F.last(f"_edge_{out}", ignorenulls=True).over(earlier).alias(f"_carry_{out}") for out in last_before
     ], *[F.max(f"_edge_{out}").over(earlier).alias(f"_carry_{out}") for out in max_before
     ], *[F.sum(f"_edge_{out}").over(earlier).alias(f"_carry_{out}") for out in running_sum])
 
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(*order)
-    before, upto = inside.rowsBetween(Window.unboundedPreceding, -1), inside.rowsBetween(Window.unboundedPreceding, 0)
-    joined = marked.join(carried, [*keys, "_bucket"], "left")
-    return joined.select(*rows.columns, *[
-        F.coalesce(F.last(source, ignorenulls=True).over(before), F.col(f"_carry_{out}")).alias(out)
-        for out, source in last_before.items()
-    ], *[
-        F.greatest(F.max(source).over(before), F.col(f"_carry_{out}")).alias(out)
-        for out, source in max_before.items()
-    ], *[
-        (F.sum(source).over(upto) + F.coalesce(F.col(f"_carry_{out}"), F.lit(0))).alias(out)
-        for out, source in running_sum.items()
-    ])
-
 
 def number_rows(
     rows: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column, out: str = "rn",
@@ -94,5 +109,6 @@ def number_rows(
 ) -> DataFrame:
     """Row numbers from 1 per key in ``order``."""
     ones = rows.withColumn("_one", F.lit(1).cast("bigint"))
-    numbered = ordered_columns(ones, keys, order, bucket, running_sum={out: "_one"}, heavy_rows=heavy_rows)
+    heavy = heavy_keys(rows, keys, heavy_rows)
+    numbered = ordered_columns(ones, keys, order, bucket, heavy, running_sum={out: "_one"})
     return numbered.drop("_one")

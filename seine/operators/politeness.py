@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ordered import HEAVY_ROWS, number_rows, ordered_columns, time_bucket
+from .ordered import HEAVY_ROWS, heavy_keys, number_rows, ordered_columns, time_bucket
 
 
 @dataclass(frozen=True)
@@ -46,7 +46,8 @@ def audit_pace(
     """
     keyed = requests.withColumns({"pace_key": policy.key(host), "_us": F.unix_micros(F.col("ts").cast("timestamp"))})
     bucket = time_bucket(F.col("ts").cast("timestamp"), bucket_s)
-    lagged = ordered_columns(keyed, ["pace_key"], ["ts", "seq"], bucket, max_before={"_prev": "_us"}, heavy_rows=heavy_rows)
+    heavy = heavy_keys(keyed, ["pace_key"], heavy_rows)
+    lagged = ordered_columns(keyed, ["pace_key"], ["ts", "seq"], bucket, heavy, max_before={"_prev": "_us"})
     gap, required = (F.col("_us") - F.col("_prev")) / F.lit(1_000_000.0), policy.required(crawl_delay)
     return lagged.withColumns({
         "gap_s": gap,

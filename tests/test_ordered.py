@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from seine.functions.retry import RetryPolicy
 from seine.operators.attempts import number_attempts
 from seine.operators.breaker import BreakerPolicy, breaker_states, replay_breaker, walk
-from seine.operators.ordered import number_rows, ordered_columns, time_bucket
+from seine.operators.ordered import heavy_keys, number_rows, ordered_columns, time_bucket
 from seine.operators.politeness import PacePolicy, audit_pace, paced_fetch_list
 
 START = datetime(2024, 1, 1, tzinfo=timezone.utc)
@@ -34,11 +34,12 @@ def test_ordered_columns_equal_plain_windows(spark, heavy):
         "total": F.sum(F.coalesce("v", F.lit(0))).over(w.rowsBetween(Window.unboundedPreceding, 0)),
         "rn": F.row_number().over(w),
         "top": F.max("v").over(w.rowsBetween(Window.unboundedPreceding, -1)),
-    }).select("seq", "k", "t", "v", "prev", "top", "total", "rn")
+        "ends": F.lead("seq").over(w).isNull(),
+    }).select("seq", "k", "t", "v", "prev", "top", "total", "ends", "rn")
     base = frame.withColumn("v0", F.coalesce("v", F.lit(0)))
     got = ordered_columns(
-        base, ["k"], ["t", "seq"], F.floor(F.col("t") / 50), last_before={"prev": "v"}, max_before={"top": "v"}, running_sum={"total": "v0"},
-        heavy_rows=heavy,
+        base, ["k"], ["t", "seq"], F.floor(F.col("t") / 50), heavy_keys(base, ["k"], heavy), last_before={"prev": "v"}, max_before={"top": "v"}, running_sum={"total": "v0"},
+        last_row="ends",
     ).drop("v0")
     got = number_rows(got, ["k"], ["t", "seq"], F.floor(F.col("t") / 70), heavy_rows=heavy)
     assert {tuple(r) for r in got.collect()} == {tuple(r) for r in plain.collect()}
