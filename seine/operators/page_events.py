@@ -8,6 +8,7 @@ without building one. Spark partitions the pages; this sees one at a time.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from html import unescape
 from urllib.parse import urldefrag, urljoin, urlsplit
 
@@ -35,24 +36,26 @@ HEAD_ONLY = {"html", "head", "title", "meta", "link", "base", "script", "style",
 ENDS_HEADING = {*HEADINGS, "p", "li", "table", "form"}
 # An end tag looks for its element no further than these.
 WALLS = {"table", "tr", "td", "th"}
-# Elements nested deeper than this lend their text to those around them but are not
-# listed themselves: each level would repeat in all levels above it.
-LISTED_DEPTH = 256
+_QUOTED = re.compile(r""""[^"]*"|'[^']*'""")
+# A slash that belongs to an unquoted attribute value.
+_VALUE_SLASH = re.compile(r"=\s*[^\s\"'][^\s]*/\Z")
 
 
 class _Span:
-    """An element's texts, as a slice of all texts of the page."""
+    """An element's texts, as a slice of all texts of the page, and its place among the opened elements."""
 
-    __slots__ = ("tag", "first", "last", "parts")
+    __slots__ = ("tag", "first", "last", "opened", "closed")
 
-    def __init__(self, tag: str, first: int) -> None:
-        self.tag, self.first, self.last, self.parts = tag, first, None, []
+    def __init__(self, tag: str, first: int, opened: int) -> None:
+        self.tag, self.first, self.last, self.opened, self.closed = tag, first, None, opened, None
 
 
 class PageEvents:
     def __init__(self) -> None:
         self.texts: list[str] = []
         self.open: list[_Span] = []
+        self.depths: dict[str, list[int]] = {}
+        self.opened = 0
         self.silent = 0
         self.in_title = 0
         self.body_from: int | None = None
@@ -63,6 +66,9 @@ class PageEvents:
         self.headings: list[_Span] = []
         self.lists: list[_Span] = []
         self.tables: list[_Span] = []
+        self.items: list[_Span] = []
+        self.rows: list[_Span] = []
+        self.cells: list[_Span] = []
 
     def read(self, html: str) -> None:
         at, size, search = 0, len(html), _MARKUP.search
@@ -78,9 +84,9 @@ class PageEvents:
                 if not found["whole"]:
                     break
                 tag, attrs = tag.lower(), found["attrs"]
-                closed = attrs.endswith("/")
+                closed = tag not in _RAW_END and _self_closed(attrs)
                 self._start(tag, attrs)
-                if tag in _RAW_END and not closed:
+                if tag in _RAW_END:
                     hidden = _RAW_END[tag].search(html, at)
                     at = hidden.start() if hidden else size
                 if closed:
@@ -98,18 +104,18 @@ class PageEvents:
 
     def _close_to(self, depth: int) -> None:
         for span in self.open[depth:]:
-            span.last = len(self.texts)
+            span.last, span.closed = len(self.texts), self.opened
             self.in_title -= span.tag == "title"
+            self.depths[span.tag].pop()
         del self.open[depth:]
 
+    def _innermost(self, tags) -> int:
+        return max((self.depths[tag][-1] for tag in tags if self.depths.get(tag)), default=-1)
+
     def _find(self, tags, walls=()) -> int:
-        for depth in range(len(self.open) - 1, -1, -1):
-            tag = self.open[depth].tag
-            if tag in tags:
-                return depth
-            if tag in walls:
-                break
-        return -1
+        """Depth of the innermost open element of ``tags`` with no wall inside it, else -1."""
+        depth = self._innermost(tags)
+        return depth if depth >= self._innermost(walls) else -1
 
     def _close_implied(self, tag: str) -> None:
         if tag in ENDS_HEADING and self.open and self.open[-1].tag in HEADINGS:
@@ -147,24 +153,24 @@ class PageEvents:
             self._open(tag)
 
     def _open(self, tag: str) -> None:
-        span = _Span(tag, len(self.texts))
+        span = _Span(tag, len(self.texts), self.opened)
+        self.opened += 1
         if tag == "title":
             self.title = self.title or span
             self.in_title += 1
-        elif len(self.open) >= LISTED_DEPTH:
-            self.open.append(span)
-            return
         elif tag in ("h1", "h2", "h3"):
             self.headings.append(span)
         elif tag in LIST_TAGS:
             self.lists.append(span)
         elif tag == "table":
             self.tables.append(span)
-        # Items, rows and cells belong to every open list, table or row around them.
-        holders = {"li": LIST_TAGS, "tr": ("table",), "td": ("tr",), "th": ("tr",)}.get(tag, ())
-        for outer in self.open:
-            if outer.tag in holders:
-                outer.parts.append(span)
+        elif tag == "li":
+            self.items.append(span)
+        elif tag == "tr":
+            self.rows.append(span)
+        elif tag in CELLS:
+            self.cells.append(span)
+        self.depths.setdefault(tag, []).append(len(self.open))
         self.open.append(span)
 
     def _end(self, tag: str) -> None:
@@ -179,6 +185,17 @@ class PageEvents:
         return " ".join(self.texts[span.first:span.last])
 
 
+def _inside(parts: list[_Span], outer: _Span) -> list[_Span]:
+    """The ``parts``, in order of opening, that opened while ``outer`` was open."""
+    place = lambda span: span.opened
+    return parts[bisect_left(parts, outer.opened, key=place):bisect_left(parts, outer.closed, key=place)]
+
+
+def _self_closed(attrs: str) -> bool:
+    """Whether a start tag ends in a slash of its own, not in one of an unquoted value."""
+    return attrs.endswith("/") and not _VALUE_SLASH.search(_QUOTED.sub('""', attrs))
+
+
 def _attributes(text: str) -> dict[str, str]:
     """Attributes by lower-cased name, the first of a name winning."""
     values: dict[str, str] = {}
@@ -229,15 +246,15 @@ def _images(page: PageEvents, url: str) -> list[dict]:
 
 def _lists(page: PageEvents, _url: str) -> list[dict]:
     return [
-        {"type": span.tag, "items": [page.text_of(item) for item in span.parts]}
+        {"type": span.tag, "items": [page.text_of(item) for item in items]}
         for span in page.lists
-        if span.parts
+        if (items := _inside(page.items, span))
     ]
 
 
 def _tables(page: PageEvents, _url: str) -> list[list[list[str]]]:
     tables = (
-        [[page.text_of(cell) for cell in row.parts] for row in table.parts if row.parts]
+        [[page.text_of(cell) for cell in cells] for row in _inside(page.rows, table) if (cells := _inside(page.cells, row))]
         for table in page.tables
     )
     return [rows for rows in tables if rows]

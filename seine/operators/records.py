@@ -32,13 +32,14 @@ def page_records(parsed: DataFrame, crawled_at: Column | None = None) -> DataFra
 
 
 def latest_per_key(rows: DataFrame, key: str = "url", order: str = "seq") -> DataFrame:
-    """The last row per key.
+    """The last row per key. Rows without an order value come before all others; ties go by a hash of the row.
 
     An aggregate rather than a window: each task keeps one row per key before the
     shuffle, so a key holding a third of all rows ships one row per task.
     """
     whole = F.struct(*rows.columns)
-    last = rows.groupBy(key).agg(F.max_by(whole, F.col(order)).alias("row"))
+    rank = F.struct(F.col(order).isNotNull(), F.col(order), F.xxhash64(*rows.columns))
+    last = rows.groupBy(key).agg(F.max_by(whole, rank).alias("row"))
     return last.select("row.*")
 
 
