@@ -79,7 +79,9 @@ def _outcomes(
     else:
         rows = rows.withColumn("host_blocked", F.lit(False))
     pages = captures.select("url", "status_code", "n_bytes", F.lit(True).alias("_captured"))
-    rows = rows.join(pages, "url", "left")
+    # Hits first: an inner join may broadcast the wave, an outer one would exchange all captures.
+    hits = pages.join(wave.select("url").distinct(), "url")
+    rows = rows.join(hits, "url", "left")
 
     status, host = F.col("status_code"), F.coalesce(hostname("url"), F.lit(""))
     cases: list[tuple[Column, str, Column]] = [

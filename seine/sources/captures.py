@@ -22,12 +22,14 @@ def stream_captures(
 
 
 def lookup_captures(requested: DataFrame, captures: DataFrame) -> DataFrame:
-    """Each distinct requested URL once, with its html or ''."""
-    return (
-        requested.select("url").distinct()
-        .join(captures.select("url", "html"), "url", "left")
-        .select("url", F.coalesce("html", F.lit("")).alias("html"))
-    )
+    """Each distinct requested URL once, with its html or ''.
+
+    The pages found come first, by an inner join whose requested side may be broadcast,
+    so that few requests do not exchange the whole archive.
+    """
+    wanted = requested.select("url").distinct()
+    hits = captures.select("url", "html").join(wanted, "url")
+    return wanted.join(hits, "url", "left").select("url", F.coalesce("html", F.lit("")).alias("html"))
 
 
 def fetch_and_parse(spark: SparkSession, path: str, schema: StructType = schemas.CAPTURES) -> DataFrame:
