@@ -52,10 +52,12 @@ def upsert_latest(spark, sf_dir):
     pages = cut_lineage(inputs.parsed_with_id(spark, sf_dir, ("title",)), "titles")
     first = pages.select("url", "title", F.lit(0).cast("long").alias("seq"))
     again = pages.where(F.col("url").contains("://blog.")).select("url", F.concat("title", F.lit(" (new)")).alias("title"), F.lit(1).cast("long").alias("seq"))
-    sink = SnapshotSink(scratch_path(spark, "snapshot"), _UPDATES, order="seq", buckets=8)
+    sink = SnapshotSink(scratch_path(spark, "snapshot"), _UPDATES, order="seq")
     sink.init(spark)
     sink.write(first, 0)
-    sink.write(again.unionByName(again.withColumns({"title": F.lit("older"), "seq": F.lit(-1).cast("long")})), 1)
+    older = again.withColumns({"title": F.lit("older"), "seq": F.lit(-1).cast("long")})
+    undated = again.withColumns({"title": F.lit("undated"), "seq": F.lit(None).cast("long")})
+    sink.write(again.unionByName(older).unionByName(undated), 1)
     return sink.read(spark)
 
 

@@ -7,10 +7,10 @@ import logging
 import time
 from collections.abc import Callable, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.retry import RetryPolicy
+from ..session import cut_lineage
 
 logger = logging.getLogger(__name__)
 
@@ -48,16 +48,14 @@ class FanOut(PageSink):
             sink.init(spark)
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
-        held = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        # Held as a table, so that a lost executor does not cost the batch.
+        held = cut_lineage(batch, "fan_out") if len(self.sinks) > 1 else batch
         failures = []
-        try:
-            for sink in self.sinks:
-                try:
-                    sink.write(held, batch_id)
-                except Exception as error:  # noqa: BLE001 - reported below
-                    failures.append(error)
-        finally:
-            held.unpersist()
+        for sink in self.sinks:
+            try:
+                sink.write(held, batch_id)
+            except Exception as error:  # noqa: BLE001 - reported below
+                failures.append(error)
         if failures:
             raise SinkError(f"{len(failures)}/{len(self.sinks)} storages failed: {failures[0]}") from failures[0]
 
@@ -88,7 +86,7 @@ class Retrying(PageSink):
         while True:
             try:
                 return self.inner.write(batch, batch_id)
-            except SinkError:
+            except Exception:  # noqa: BLE001 - a sink may raise errors of its own
                 if attempt >= policy.highest_limit:
                     raise
             self.sleep(min(policy.base_delay * policy.backoff_factor**attempt, policy.max_delay))
@@ -105,7 +103,7 @@ def save(sink: PageSink, batch: DataFrame, batch_id: int = 0, on_error: str = "r
         raise ValueError("on_error is 'raise' or 'warn'")
     try:
         sink.write(batch, batch_id)
-    except SinkError as error:
+    except Exception as error:  # noqa: BLE001 - a sink may raise errors of its own
         if on_error == "raise":
             raise
         logger.warning("batch %s not saved: %s", batch_id, error)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ class _FolderSink(PageSink):
     def write(self, batch: DataFrame, batch_id: int) -> None:
         try:
             self._write(batch, self.target(batch_id))
-        except (PySparkException, OSError) as error:
+        except (PySparkException, Py4JError, OSError) as error:
             raise SinkError(str(error)) from error
 
     def _write(self, batch: DataFrame, target: str) -> None:

@@ -1,63 +1,50 @@
-"""Keyed upserts into a Parquet snapshot partitioned by key hash."""
+"""Keyed upserts as batches of changes, merged when read."""
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .. import schemas
 from ..operators.records import latest_per_key
-from ..session import cut_lineage
 from .base import PageSink, SinkError
 
 
 class SnapshotSink(PageSink):
-    """One row per ``key``; the last write wins and replaces all other columns.
+    """One row per ``key``; the batch of the highest id wins and replaces all other columns.
 
-    Rows live in ``buckets`` hash partitions, each of as many files as its size
-    asks for. A batch reads and rewrites only the partitions its keys fall in, so
-    choose enough buckets that one is a few gigabytes. The merge is first written
-    aside in the shared folder, then replaces those partitions. Running a batch
-    again gives the same snapshot, so a write cut short is repaired by its retry.
+    A batch writes its own rows, one per key, into a folder of its own and touches
+    nothing stored before: its cost does not grow with the table, and a write that fails
+    half-way can lose rows of that batch only, which its retry writes again. Reading takes
+    the last row of each key. ``compact`` writes what is read as the first batch of
+    another folder, for the caller to switch to once it is complete.
     """
 
     def __init__(
         self, path: str, schema: StructType = schemas.PAGE_RECORDS, *, key: str = "url", order: str = "crawled_at",
-        buckets: int = 64,
     ) -> None:
-        self.path, self.schema, self.key, self.order, self.buckets = path, schema, key, order, buckets
+        self.path, self.schema, self.key, self.order = path.rstrip("/"), schema, key, order
 
     def init(self, spark: SparkSession) -> None:
-        empty = spark.createDataFrame([], self.schema).withColumn("bucket", F.lit(0))
-        empty.write.mode("ignore").partitionBy("bucket").parquet(self.path)
+        """Make the folder readable before its first batch."""
+        spark.createDataFrame([], self.schema).write.mode("ignore").parquet(f"{self.path}/batch=-1")
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return self._stored(spark).select(*self.schema.names)
-
-    def _stored(self, spark: SparkSession) -> DataFrame:
-        stored = StructType([*self.schema.fields, StructField("bucket", IntegerType())])
-        return spark.read.schema(stored).parquet(self.path)
+        stored = StructType([*self.schema.fields, StructField("batch", LongType())])
+        return latest_per_key(spark.read.schema(stored).parquet(self.path), self.key, "batch").select(*self.schema.names)
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
+        fresh = latest_per_key(batch.select(*self.schema.names), self.key, self.order)
         try:
-            self._upsert(batch)
-        except (PySparkException, OSError) as error:
+            fresh.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+        except (PySparkException, Py4JError, OSError) as error:
             raise SinkError(str(error)) from error
 
-    def _upsert(self, batch: DataFrame) -> None:
-        spark = batch.sparkSession
-        bucket = F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
-        fresh = latest_per_key(batch.select(*self.schema.names), self.key, self.order).withColumn("bucket", bucket)
-        fresh = cut_lineage(fresh, "upsert")
-        # At most ``buckets`` small integers.
-        touched = [row.bucket for row in fresh.select("bucket").distinct().collect()]
-        if not touched:
-            return
-        kept = self._stored(spark).where(F.col("bucket").isin(touched)).join(fresh.select(self.key), self.key, "left_anti")
-        merged = cut_lineage(kept.unionByName(fresh), "merge")
-        (
-            merged.hint("rebalance", "bucket").write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(self.path)
-        )
+    def compact(self, spark: SparkSession, path: str) -> SnapshotSink:
+        """The snapshot as a sink of its own at ``path``."""
+        smaller = SnapshotSink(path, self.schema, key=self.key, order=self.order)
+        self.read(spark).write.mode("overwrite").parquet(f"{smaller.path}/batch=-1")
+        return smaller

@@ -2,6 +2,7 @@
 
 import glob
 import json
+import shutil
 from datetime import datetime, timezone
 
 import pytest
@@ -14,11 +15,12 @@ from seine.operators.breaker import BreakerPolicy, replay_breaker
 from seine.operators.politeness import PacePolicy, audit_pace
 from seine.plans.report import bar_widths, html_report
 from seine.plans.summary import error_report, run_summary
+from seine.operators.records import latest_per_key
 from seine.sinks import (
     CsvSink, FanOut, JsonLinesSink, PageSink, PrettyJsonSink, Retrying, SinkError, SnapshotSink, read_csv_records,
     read_jsonl_records, save,
 )
-from seine.streaming.flows import dedup_stream, live_counts, save_stream
+from seine.streaming.flows import dedup_stream, live_counts, read_deduped, save_stream
 from seine.streaming.state import stream_breaker, stream_pace
 
 AT = datetime(2026, 8, 26, tzinfo=timezone.utc)
@@ -109,7 +111,7 @@ def test_save_failure_can_be_survived(spark):
 
 
 def test_snapshot_upserts(spark, tmp_path):
-    sink = SnapshotSink(str(tmp_path / "s"), buckets=4)
+    sink = SnapshotSink(str(tmp_path / "s"))
     sink.init(spark)
     sink.write(records(spark, ("u", "first", "1"), ("v", "keep", "1")), 0)
     sink.write(records(spark, ("u", "second", None)), 1)
@@ -118,6 +120,32 @@ def test_snapshot_upserts(spark, tmp_path):
     assert sorted((r.url, r.title, r.text) for r in sink.read(spark).collect()) == [("u", "second", None), ("v", "keep", "1")]
 
 
+def test_snapshot_outlives_a_failed_batch(spark, tmp_path):
+    sink = SnapshotSink(str(tmp_path / "s"))
+    sink.init(spark)
+    sink.write(records(spark, ("u", "first", "1"), ("v", "keep", "1")), 0)
+    shutil.rmtree(tmp_path / "s" / "batch=1", ignore_errors=True)  # what a write cut short may leave: nothing
+    assert {r.title for r in sink.read(spark).collect()} == {"first", "keep"}
+    sink.write(records(spark, ("u", "second", None)), 1)
+    smaller = sink.compact(spark, str(tmp_path / "t"))
+    assert {r.title for r in smaller.read(spark).collect()} == {"second", "keep"}
+
+
+def test_a_bad_path_is_a_sink_error(spark, tmp_path):
+    (tmp_path / "file").write_text("x")
+    bad = JsonLinesSink(str(tmp_path / "file" / "below"))
+    rows = records(spark, ("u", "t", "1"))
+    with pytest.raises(SinkError):
+        bad.write(rows, 0)
+    assert save(FanOut([bad, JsonLinesSink(str(tmp_path / "j"))]), rows, 0, on_error="warn") is False
+    assert read_jsonl_records(spark, str(tmp_path / "j")).count() == 1
+
+
+def test_latest_keeps_a_row_without_an_order(spark):
+    rows = spark.createDataFrame([("u", "x", None), ("v", "a", None), ("v", "b", 1)], "url string, title string, seq long")
+    assert sorted(tuple(r) for r in latest_per_key(rows).collect()) == [("u", "x", None), ("v", "b", 1)]
+
+
 def log(spark, rows):
     """(url, status, error_class, second)"""
     full = [(i, datetime.fromtimestamp(1_700_000_000 + s, timezone.utc), u.split("/")[2], u, st, e) for i, (u, st, e, s) in enumerate(rows)]
@@ -217,7 +245,8 @@ def test_streams_equal_batches(spark, tmp_path, stream_of):
     clean = lambda g: None if g is None or g != g else g
     assert {(r.seq, clean(r.gap_s), r.wait_s, r.violation) for r in got} == want
 
-    got = [r.url for r in drain(spark, tmp_path, dedup_stream(stream).select("url"), "dedup").collect()]
+    dedup_stream(stream, str(tmp_path / "seen"), str(tmp_path / "dedup")).awaitTermination()
+    got = [r.url for r in read_deduped(spark, str(tmp_path / "seen"), stream.schema).collect()]
     assert sorted(got) == sorted({u for u, *_ in MIXED})
 
 
@@ -231,7 +260,7 @@ def test_live_counts(spark, tmp_path, stream_of):
 def test_continuous_save(spark, tmp_path):
     records(spark, ("a", "t", "x"), ("b", "t", "y")).write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(schemas.PAGE_RECORDS).parquet(str(tmp_path / "in"))
-    sink = FanOut([JsonLinesSink(str(tmp_path / "j")), SnapshotSink(str(tmp_path / "s"), buckets=2)])
+    sink = FanOut([JsonLinesSink(str(tmp_path / "j")), SnapshotSink(str(tmp_path / "s"))])
     for _ in range(2):
         save_stream(stream, sink, str(tmp_path / "state")).awaitTermination()
     assert read_jsonl_records(spark, str(tmp_path / "j")).count() == 2
