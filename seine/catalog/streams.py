@@ -10,7 +10,7 @@ from ..operators.records import page_records
 from ..session import scratch_path
 from ..sinks import JsonLinesSink, read_jsonl_records
 from ..sources.captures import stream_captures
-from ..streaming.flows import dedup_stream, live_counts, save_stream
+from ..streaming.flows import dedup_stream, live_counts, read_deduped, save_stream
 from ..streaming.state import BREAKER_ROWS, PACE_ROWS, stream_breaker as breaker_rows, stream_pace
 from . import fetches, inputs
 from .pages import RECORDS_SQL, flat_records
@@ -44,7 +44,10 @@ def stream_gap(spark, sf_dir):
 
 
 def stream_dedup(spark, sf_dir):
-    return _drain(dedup_stream(_events(spark, sf_dir)).select("url"), "url string")
+    """Every URL once; the log reaches further back than any horizon."""
+    urls, path = _events(spark, sf_dir).select("url"), scratch_path(spark, "seen")
+    dedup_stream(urls, path, scratch_path(spark, "state")).awaitTermination()
+    return read_deduped(spark, path, urls.schema)
 
 
 def stream_counters(spark, sf_dir):

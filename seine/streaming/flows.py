@@ -2,22 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..operators.fetchlog import good
 from ..sinks.base import PageSink, save
 
 
-def dedup_stream(rows: DataFrame, key: str = "url", ts: str = "ts", horizon: str = "365 days") -> DataFrame:
-    """First row per key within ``horizon`` of event time.
+def dedup_stream(rows: DataFrame, path: str, checkpoint: str, key: str = "url", *, once: bool = True) -> StreamingQuery:
+    """Append the first row of every key to ``path``, however late it comes.
 
-    The watermark bounds the state; a key seen again later than the horizon
-    passes again. The batch form, an anti-join with the seen table, is unbounded.
+    The table at ``path`` is both the result and what has been seen: each micro-batch
+    keeps the keys that the batches before it lack. A replayed batch replaces its own rows.
+    A null key counts as one key.
     """
-    timed = rows.withColumn(ts, F.col(ts).cast("timestamp"))
-    return timed.withWatermark(ts, horizon).dropDuplicatesWithinWatermark([key])
+    columns = rows.columns
+    spark = rows.sparkSession
+    rows.sparkSession.createDataFrame([], rows.schema).write.mode("ignore").parquet(f"{path}/batch=-1")
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        seen = read_deduped(spark, path, rows.schema, before=batch_id).select(F.col(key).alias("_seen"))
+        fresh = batch.dropDuplicates([key])
+        fresh = fresh.join(seen, F.col(key).eqNullSafe(F.col("_seen")), "left_anti")
+        fresh.select(*columns).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    writer = rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(keep)
+    return (writer.trigger(availableNow=True) if once else writer).start()
+
+
+def read_deduped(spark: SparkSession, path: str, schema: StructType, before: int | None = None) -> DataFrame:
+    """The rows that ``dedup_stream`` kept, of the batches before a given one or of all."""
+    stored = spark.read.schema(StructType([*schema.fields, StructField("batch", LongType())])).parquet(path)
+    return (stored if before is None else stored.where(F.col("batch") < before)).select(*schema.names)
 
 
 def live_counts(log: DataFrame) -> DataFrame:
