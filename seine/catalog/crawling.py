@@ -10,6 +10,7 @@ from ..plans import crawl as plan
 from ..plans.job import CaptureJob
 from ..session import cut_lineage
 from ..sources import robots
+from ..plans.ranked import rank_all
 from . import inputs
 from .pages import _LINKS_CTE, _TITLE
 
@@ -75,11 +76,11 @@ def frontier_stats(spark, sf_dir):
 
 
 def frontier_order(spark, sf_dir):
-    """The next 50 URLs to fetch: https first, then plain http, blogs last."""
+    """All URLs in the order to fetch them: https first, then plain http, blogs last."""
     url = F.col("url")
     priority = F.when(url.contains("://blog."), 0).when(url.startswith("https"), 10).otherwise(5)
     frontier = inputs.pages(spark, sf_dir).select("url", priority.alias("priority"), F.col("page_id").alias("seq"))
-    return plan.frontier_order(frontier).limit(50)
+    return rank_all(frontier, [F.desc("priority"), F.asc("seq")])
 
 
 def _job(spark, sf_dir):
@@ -199,5 +200,6 @@ ORACLES = {
       count(*) FILTER (outcome = 'failed') AS failed FROM visited""",
     "frontier_order": """
       SELECT url, CAST(CASE WHEN url LIKE '%://blog.%' THEN 0 WHEN url LIKE 'https%' THEN 10 ELSE 5 END AS INT) AS priority,
-        page_id AS seq FROM pages ORDER BY priority DESC, seq LIMIT 50""",
+        page_id AS seq, row_number() OVER (ORDER BY CASE WHEN url LIKE '%://blog.%' THEN 0 WHEN url LIKE 'https%' THEN 10 ELSE 5 END DESC, page_id) AS rank
+      FROM pages""",
 }
