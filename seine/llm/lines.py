@@ -3,7 +3,8 @@
 The tokens of a line are its distinct words. They are ordered by rarity, and two lines of
 Jaccard similarity 0.8 or more must share a token in their prefixes of that order. Lines
 meet on prefix tokens; the length filter, the positional filter and a bound on the overlap
-from 64-bit token maps leave few pairs, whose similarity is then computed in full. A line
+from 64-bit token maps leave few pairs; long lines must share several prefix tokens. The
+similarity of what is left is computed in full. A line
 is removed if an earlier one, by doc_id and line number, is similar enough, whether that
 one is itself removed or not.
 
@@ -22,6 +23,8 @@ from .common import marked
 
 PERCENT = 80
 COUNTERS = 1 << 16
+# A prefix is longer by one token per so many, and pairs must share as many tokens more.
+MORE = 32
 
 
 def line_rows(documents: DataFrame) -> DataFrame:
@@ -64,7 +67,7 @@ def similar_lines(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     lines = ordered.selectExpr(
         "doc_id", "line_no", "xxhash64(tokens) AS set_id", "size(tokens) AS n",
         "aggregate(tokens, 0L, (a, t) -> a ^ shiftleft(1L, cast(t & 63 as int))) AS bits",
-        f"slice(tokens, 1, size(tokens) - {_ceil(f'size(tokens) * {PERCENT}', 100)} + 1) AS prefix",
+        f"slice(tokens, 1, size(tokens) - {_ceil(f'size(tokens) * {PERCENT}', 100)} + 1 + cast(size(tokens) div {MORE} as int)) AS prefix",
     )
     lines = cut_lineage(lines, "lines")
     sets = lines.groupBy("set_id").agg(
@@ -77,9 +80,10 @@ def similar_lines(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     need = _ceil(f"{PERCENT} * (x.n + y.n)", 100 + PERCENT)
     close = short.join(long, F.col("x.token") == F.col("y.token")).where(
         f"(x.n < y.n OR (x.n = y.n AND x.set_id < y.set_id)) AND 100 * x.n >= {PERCENT} * y.n "
-        f"AND least(x.n - x.pos, y.n - y.pos) >= {need} AND x.n + y.n - bit_count(x.bits ^ y.bits) >= 2 * {need}"
+        f"AND least(x.n - x.pos, y.n - y.pos) >= {need} - x.n div {MORE} AND x.n + y.n - bit_count(x.bits ^ y.bits) >= 2 * {need}"
     )
-    pairs = cut_lineage(close.selectExpr("x.set_id AS a", "y.set_id AS b").distinct(), "line_pairs")
+    shared = close.selectExpr("x.set_id AS a", "y.set_id AS b", f"x.n div {MORE} AS more").groupBy("a", "b").agg(F.count("*").alias("shared"), F.first("more").alias("more"))
+    pairs = cut_lineage(shared.where("shared > more").select("a", "b"), "line_pairs")
 
     firsts = sets.select("set_id", "first")
     asked = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct().join(firsts, "set_id")
