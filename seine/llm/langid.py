@@ -18,7 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import keep_rows, small_batches
+from ..session import cut_lineage
+from .common import keep_rows, marked, small_batches
 
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
@@ -256,7 +257,9 @@ def train(documents: DataFrame, settings: Settings = Settings()) -> Network:
                     langs.append(lang), pieces.append(text[start : start + width].ljust(width))
             yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(pieces, pa.binary())], ["lang", "piece"])
 
-    sample = rows.join(chosen, "doc_id", "left_semi").select("lang", F.col("text").cast("binary").alias("text"))
+    chosen = cut_lineage(chosen, "language_sample")
+    # The mark spares the other documents' texts the exchange of the join.
+    sample = rows.where(marked(chosen, "doc_id")).join(chosen, "doc_id", "left_semi").select("lang", F.col("text").cast("binary").alias("text"))
     pieces = sample.mapInArrow(cut, "lang string, piece binary").toPandas().sort_values(["lang", "piece"])
     langs = sorted(pieces["lang"].unique())[: settings.max_langs]
     pieces = pieces[pieces["lang"].isin(langs)]
