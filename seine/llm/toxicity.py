@@ -21,7 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep_rows, small_batches
+from ..session import cut_lineage
+from .common import keep_rows, marked, small_batches
 
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
@@ -130,8 +131,10 @@ def train(documents: DataFrame, labels: DataFrame, categories: dict[str, Column]
     ys = [f"y{j}" for j in range(len(names))]
     sample = rows.groupBy("doc_id").agg(*[F.max(y).alias(y) for y in ys]).withColumn("h", F.xxhash64("doc_id"))
     sample = sample.orderBy("h", "doc_id").limit(settings.max_rows)
-    texts = documents.select("doc_id", F.col("text").cast("binary").alias("text")).where("text IS NOT NULL").join(sample, "doc_id")
-    texts = texts.select("h", "text", F.array(*ys).alias("y"))
+    sample = cut_lineage(sample, "label_sample")
+    # The mark spares the other documents' texts the exchange of the join.
+    texts = documents.where("text IS NOT NULL").where(marked(sample, "doc_id")).select("doc_id", F.col("text").cast("binary").alias("text"))
+    texts = cut_lineage(texts.join(sample, "doc_id").select("h", "text", F.array(*ys).alias("y")), "labelled_texts")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[bytes, np.ndarray] = {}
