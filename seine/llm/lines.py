@@ -8,6 +8,11 @@ similarity of what is left is computed in full. A line
 is removed if an earlier one, by doc_id and line number, is similar enough, whether that
 one is itself removed or not.
 
+A prefix token of very many sets would make all pairs of a group of near copies, whose
+verdict is the same. Its sets are first compared with the earliest of the token and of
+about their length; those similar to it are removed, and only the others look for an
+earlier match among all sets of the token.
+
 Lines with equal tokens are one set, which its first occurrence stands for. Rarity comes
 from a fixed number of counters over hashed tokens: any one order is exact, and a bounded
 table is all that has to go to the tasks.
@@ -15,6 +20,9 @@ table is all that has to go to the tasks.
 
 from __future__ import annotations
 
+import math
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +33,9 @@ PERCENT = 80
 COUNTERS = 1 << 16
 # A prefix is longer by one token per so many, and pairs must share as many tokens more.
 MORE = 32
+# Sets on a prefix token of more sets than this meet a pivot before they meet each other.
+FREQUENT = 1000
+BLANKS = " \t\r\f\x0b"
 
 
 def line_rows(documents: DataFrame) -> DataFrame:
@@ -33,69 +44,114 @@ def line_rows(documents: DataFrame) -> DataFrame:
     return rows.select("doc_id", F.posexplode("lines").alias("line_no", "line"))
 
 
+def words(line="line"):
+    """The words of a line, which ASCII white space divides; of a line without words, one empty word."""
+    return F.split(F.btrim(F.lower(line), F.lit(BLANKS)), f"[{BLANKS}]+", -1)
+
+
 def tokens(line="line"):
-    """Distinct 64-bit hashes of a line's words, which ASCII white space divides."""
-    words = F.filter(F.split(F.lower(line), "[ \t\r\f\x0b]+", -1), lambda w: w != "")
-    return F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
+    """Distinct 64-bit hashes of a line's words."""
+    return F.array_distinct(F.transform(words(line), lambda w: F.xxhash64(w)))
 
 
-def _counters(rows: DataFrame) -> DataFrame:
-    """One row: how many lines have a token of each hashed value, as an array."""
-    place = F.pmod("token", F.lit(COUNTERS)).cast("int")
-    counts = rows.select(F.explode("tokens").alias("token")).groupBy(place.alias("place")).agg(F.count("*").alias("n"))
-    places = rows.sparkSession.range(COUNTERS).select(F.col("id").cast("int").alias("place"))
+def worded_lines(documents: DataFrame) -> DataFrame:
+    """The rows of ``line_rows`` that have words."""
+    return line_rows(documents).where(F.btrim("line", F.lit(BLANKS)) != "")
+
+
+def _counters(documents: DataFrame) -> DataFrame:
+    """One row: how often a word of each hashed value occurs, as an array of powers of two."""
+    token = F.xxhash64("word")
+    found = documents.select(F.explode(F.split(F.lower("text"), f"[{BLANKS}\n]+", -1)).alias("word"))
+    counts = found.groupBy(F.pmod(token, F.lit(COUNTERS)).cast("int").alias("place")).agg(F.count("*").alias("n"))
+    places = documents.sparkSession.range(COUNTERS).select(F.col("id").cast("int").alias("place"))
     every = places.join(counts, "place", "left").select("place", F.coalesce("n", F.lit(0)).alias("n"))
     # Rarity by powers of two, at most 62; the packed order then is a few bits and the hash.
     rank = F.floor(F.log2(F.col("n") + 1)).cast("long")
     return every.agg(F.transform(F.array_sort(F.collect_list(F.struct("place", rank.alias("rank")))), lambda x: x["rank"]).alias("ranks"))
 
 
-def similar_lines(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Every line (doc_id, line_no, set_id, doc and line of its set's first occurrence), and the pairs of similar sets.
-
-    Pairs are (set_id, doc_id, line_no of the later; first_doc and first_line of the earlier).
-    """
-    bare = line_rows(documents).select("doc_id", "line_no", tokens().alias("tokens"))
-    ranks = cut_lineage(_counters(bare), "rarity")
-    ranks.createOrReplaceTempView("_line_rarity")
+def _lines(documents: DataFrame) -> DataFrame:
+    """Every line with words: its place, the id and size of its set, a map of the tokens and the prefix of their order."""
+    view = f"rarity_{uuid.uuid4().hex}"
+    cut_lineage(_counters(documents), "rarity").createOrReplaceTempView(view)
     # The one row of ranks is a scalar subquery: a constant of fixed size in the plan.
-    rare = bare.where(F.size("tokens") > 0).withColumn("ranks", F.expr("(SELECT ranks FROM _line_rarity)"))
+    rare = worded_lines(documents).select("doc_id", "line_no", tokens().alias("tokens"), F.expr(f"(SELECT ranks FROM {view})").alias("ranks"))
     ordered = rare.selectExpr(
         "doc_id", "line_no",
         f"sort_array(transform(tokens, t -> shiftleft(ranks[cast(pmod(t, {COUNTERS}) as int)], 58) | shiftrightunsigned(t, 6))) AS tokens",
     )
-    lines = ordered.selectExpr(
+    return ordered.selectExpr(
         "doc_id", "line_no", "xxhash64(tokens) AS set_id", "size(tokens) AS n",
         "aggregate(tokens, 0L, (a, t) -> a ^ shiftleft(1L, cast(t & 63 as int))) AS bits",
         f"slice(tokens, 1, size(tokens) - {_ceil(f'size(tokens) * {PERCENT}', 100)} + 1 + cast(size(tokens) div {MORE} as int)) AS prefix",
     )
-    lines = cut_lineage(lines, "lines")
+
+
+def _close() -> str:
+    """The length, positional and map filters on rows x and y of one prefix token."""
+    less, need = "least(x.n, y.n)", _ceil(f"{PERCENT} * (x.n + y.n)", 100 + PERCENT)
+    return (
+        f"100 * {less} >= {PERCENT} * greatest(x.n, y.n) AND least(x.n - x.pos, y.n - y.pos) >= {need} - {less} div {MORE} "
+        f"AND x.n + y.n - bit_count(x.bits ^ y.bits) >= 2 * {need}"
+    )
+
+
+def _verified(pairs: DataFrame, documents: DataFrame, sets: DataFrame) -> DataFrame:
+    """set_id, first and match of ``pairs`` (a, b) that are similar: the later set's, and where the earlier stands."""
+    asked = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct().join(sets, "set_id")
+    asked = cut_lineage(asked.select("set_id", "first.doc_id", "first.line_no", "n", "bits"), "line_asked")
+    rows = worded_lines(documents).where(marked(asked, "doc_id", "line_no")).join(asked, ["doc_id", "line_no"])
+    rows = rows.select("set_id", F.struct("doc_id", "line_no").alias("first"), "n", "bits", tokens().alias("tokens"))
+    # Rows that share a doc_id may put several lines at one place; the size and the map tell them apart.
+    map_of = "aggregate(tokens, 0L, (a, t) -> a ^ shiftleft(1L, cast(shiftrightunsigned(t, 6) & 63 as int)))"
+    found = rows.where(f"size(tokens) = n AND {map_of} = bits").dropDuplicates(["set_id"]).select("set_id", "first", "tokens")
+    found = cut_lineage(found, "line_tokens")
+    one = pairs.join(found.select(F.col("set_id").alias("a"), F.col("tokens").alias("s"), F.col("first").alias("f")), "a")
+    both = one.join(found.select(F.col("set_id").alias("b"), F.col("tokens").alias("t"), F.col("first").alias("g")), "b")
+    both = both.withColumn("common", F.size(F.array_intersect("s", "t")))
+    similar = both.where(f"100 * common >= {PERCENT} * (size(s) + size(t) - common)")
+    later = F.when(F.col("f") < F.col("g"), F.col("b")).otherwise(F.col("a"))
+    matches = similar.groupBy(later.alias("set_id")).agg(F.min(F.least("f", "g")).alias("match"))
+    return cut_lineage(matches, "line_matches")
+
+
+def similar_lines(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Every line with words (doc_id, line_no, set_id), and every set: set_id, first place, and match.
+
+    The match is the place of an earlier set that is similar, null if there is none.
+    """
+    lines = cut_lineage(_lines(documents), "lines")
     sets = lines.groupBy("set_id").agg(
         F.min(F.struct("doc_id", "line_no")).alias("first"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix")
     )
     sets = cut_lineage(sets, "line_sets")
+    firsts = sets.select("set_id", "first")
 
     met = sets.select("set_id", "n", "bits", F.posexplode("prefix").alias("pos", "token"))
-    short, long = met.alias("x"), met.alias("y")
-    need = _ceil(f"{PERCENT} * (x.n + y.n)", 100 + PERCENT)
-    close = short.join(long, F.col("x.token") == F.col("y.token")).where(
-        f"(x.n < y.n OR (x.n = y.n AND x.set_id < y.set_id)) AND 100 * x.n >= {PERCENT} * y.n "
-        f"AND least(x.n - x.pos, y.n - y.pos) >= {need} - x.n div {MORE} AND x.n + y.n - bit_count(x.bits ^ y.bits) >= 2 * {need}"
-    )
-    shared = close.selectExpr("x.set_id AS a", "y.set_id AS b", f"x.n div {MORE} AS more").groupBy("a", "b").agg(F.count("*").alias("shared"), F.first("more").alias("more"))
-    pairs = cut_lineage(shared.where("shared > more").select("a", "b"), "line_pairs")
-
-    firsts = sets.select("set_id", "first")
-    asked = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct().join(firsts, "set_id")
-    asked = cut_lineage(asked.select("set_id", "first.doc_id", "first.line_no"), "line_asked")
-    found = cut_lineage(asked.join(_marked(documents, asked), ["doc_id", "line_no"]).dropDuplicates(["set_id"]).select("set_id", "tokens"), "line_tokens")
-    one = pairs.join(found.select(F.col("set_id").alias("a"), F.col("tokens").alias("s")), "a")
-    both = one.join(found.select(F.col("set_id").alias("b"), F.col("tokens").alias("t")), "b")
-    both = both.withColumn("common", F.size(F.array_intersect("s", "t")))
-    similar = both.where(f"100 * common >= {PERCENT} * (size(s) + size(t) - common)").select("a", "b")
-    similar = cut_lineage(similar, "line_links")
-    sided = similar.select(F.col("a").alias("set_id"), F.col("b").alias("other")).union(similar.select("b", "a"))
-    matches = sided.join(firsts.select(F.col("set_id").alias("other"), F.col("first").alias("theirs")), "other").groupBy("set_id").agg(F.min("theirs").alias("match"))
+    frequent = cut_lineage(met.groupBy("token").agg(F.count("*").alias("c")).where(F.col("c") > FREQUENT).select("token"), "frequent_tokens")
+    often = marked(frequent, "token")
+
+    # Sets on frequent tokens first meet the earliest of their token and length, which settles copies of one line.
+    hot = sets.select("set_id", "n", "bits", "first", F.posexplode("prefix").alias("pos", "token")).where(often)
+    hot = cut_lineage(hot.withColumn("band", F.floor(F.log(F.col("n")) / math.log(100 / PERCENT)).cast("int")), "frequent")
+    pivots = hot.groupBy("token", "band").agg(F.min_by(F.struct("set_id", "n", "bits", "pos"), "first").alias("p"))
+    pivots = pivots.select("token", "band", "p.*")
+    x, y = pivots.alias("x"), hot.alias("y")
+    tried = x.join(y, F.expr(f"x.token = y.token AND x.band = y.band AND x.set_id <> y.set_id AND {_close()}")).selectExpr("x.set_id AS a", "y.set_id AS b")
+    settled = _verified(cut_lineage(tried.distinct(), "pivot_pairs"), documents, sets)
+
+    # The others meet every earlier set of their frequent tokens, and on other tokens all sets meet.
+    x, y = hot.alias("x"), hot.join(settled.select("set_id"), "set_id", "left_anti").alias("y")
+    pairs = x.join(y, F.expr(f"x.token = y.token AND x.first < y.first AND {_close()}"))
+    pairs = pairs.selectExpr("least(x.set_id, y.set_id) AS a", "greatest(x.set_id, y.set_id) AS b", f"least(x.n, y.n) div {MORE} AS more")
+    rest = met.where(~often)
+    x, y = rest.alias("x"), rest.alias("y")
+    pairs = pairs.union(x.join(y, F.expr(f"x.token = y.token AND x.set_id < y.set_id AND {_close()}")).selectExpr("x.set_id AS a", "y.set_id AS b", f"least(x.n, y.n) div {MORE} AS more"))
+    shared = pairs.groupBy("a", "b").agg(F.count("*").alias("shared"), F.first("more").alias("more"))
+    found = _verified(cut_lineage(shared.where("shared > more").select("a", "b"), "line_pairs"), documents, sets)
+
+    matches = settled.union(found).groupBy("set_id").agg(F.min("match").alias("match"))
     return lines.select("doc_id", "line_no", "set_id"), firsts.join(matches, "set_id", "left")
 
 
@@ -103,14 +159,8 @@ def _ceil(value: str, divisor: int) -> str:
     return f"cast(({value} + {divisor - 1}) div {divisor} as int)"
 
 
-def _marked(documents: DataFrame, asked: DataFrame) -> DataFrame:
-    """Tokens of the lines at the places of ``asked``, and of few others."""
-    rows = line_rows(documents).where(marked(asked, "doc_id", "line_no"))
-    return rows.select("doc_id", "line_no", tokens().alias("tokens"))
-
-
 def removed_lines(documents: DataFrame) -> DataFrame:
-    """doc_id and line_no of every line to remove, and the place of the first line it is like.
+    """doc_id and line_no of every line to remove, and the place of an earlier line it is like.
 
     A line without words is never removed. Repeated rows of a document stand at the same
     places and do not remove each other.

@@ -91,7 +91,9 @@ def test_exact_index(spark, docs):
     assert sorted((r.doc_id or 0, r.text) for r in kept.collect()) == sorted((i or 0, t) for i, t in [(c[0], c[1]) for c in CASES[1:2] + CASES[4:9] + CASES[10:]])
 
 
-def test_line_dedup_against_all_pairs(spark):
+@pytest.mark.parametrize("frequent", [3, 1000])
+def test_line_dedup_against_all_pairs(spark, monkeypatch, frequent):
+    monkeypatch.setattr(lines, "FREQUENT", frequent)
     rng = random.Random(5)
     words = [f"t{i}" for i in range(40)]
     base = [" ".join(rng.sample(words, rng.randint(1, 20))) for _ in range(25)] + [" ".join(f"z{i}" for i in range(300))]
