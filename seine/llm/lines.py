@@ -34,7 +34,7 @@ COUNTERS = 1 << 16
 # A prefix is longer by one token per so many, and pairs must share as many tokens more.
 MORE = 32
 # Sets on a prefix token of more sets than this meet a pivot before they meet each other.
-FREQUENT = 1000
+FREQUENT = 256
 BLANKS = " \t\r\f\x0b"
 
 
@@ -101,8 +101,8 @@ def _verified(pairs: DataFrame, documents: DataFrame, sets: DataFrame) -> DataFr
     """set_id, first and match of ``pairs`` (a, b) that are similar: the later set's, and where the earlier stands."""
     asked = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct().join(sets, "set_id")
     asked = cut_lineage(asked.select("set_id", "first.doc_id", "first.line_no", "n", "bits"), "line_asked")
-    rows = worded_lines(documents).where(marked(asked, "doc_id", "line_no")).join(asked, ["doc_id", "line_no"])
-    rows = rows.select("set_id", F.struct("doc_id", "line_no").alias("first"), "n", "bits", tokens().alias("tokens"))
+    rows = worded_lines(documents).where(marked(asked, "doc_id", "line_no")).select("doc_id", "line_no", tokens().alias("tokens"))
+    rows = rows.join(asked, ["doc_id", "line_no"]).select("set_id", F.struct("doc_id", "line_no").alias("first"), "n", "bits", "tokens")
     # Rows that share a doc_id may put several lines at one place; the size and the map tell them apart.
     map_of = "aggregate(tokens, 0L, (a, t) -> a ^ shiftleft(1L, cast(shiftrightunsigned(t, 6) & 63 as int)))"
     found = rows.where(f"size(tokens) = n AND {map_of} = bits").dropDuplicates(["set_id"]).select("set_id", "first", "tokens")
