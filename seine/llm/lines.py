@@ -9,8 +9,8 @@ is removed if an earlier one, by doc_id and line number, is similar enough, whet
 one is itself removed or not.
 
 A prefix token of very many sets would make all pairs of a group of near copies, whose
-verdict is the same. Its sets are first compared with the earliest of the token and of
-about their length; those similar to it are removed, and only the others look for an
+verdict is the same. Its sets are first compared with a few early ones of the token and
+of about their length; those similar to one are removed, and only the others look for an
 earlier match among all sets of the token.
 
 Lines with equal tokens are one set, which its first occurrence stands for. Rarity comes
@@ -33,8 +33,10 @@ PERCENT = 80
 COUNTERS = 1 << 16
 # A prefix is longer by one token per so many, and pairs must share as many tokens more.
 MORE = 32
-# Sets on a prefix token of more sets than this meet a pivot before they meet each other.
+# Sets on a prefix token of more sets than this meet pivots before they meet each other.
 FREQUENT = 256
+# Pivots of a token and length: the earliest sets of so many parts.
+PIVOTS = 8
 BLANKS = " \t\r\f\x0b"
 
 
@@ -132,13 +134,14 @@ def similar_lines(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     frequent = cut_lineage(met.groupBy("token").agg(F.count("*").alias("c")).where(F.col("c") > FREQUENT).select("token"), "frequent_tokens")
     often = marked(frequent, "token")
 
-    # Sets on frequent tokens first meet the earliest of their token and length, which settles copies of one line.
+    # Sets on frequent tokens first meet some early ones of their token and length, which settles copies of one line.
     hot = sets.select("set_id", "n", "bits", "first", F.posexplode("prefix").alias("pos", "token")).where(often)
     hot = cut_lineage(hot.withColumn("band", F.floor(F.log(F.col("n")) / math.log(100 / PERCENT)).cast("int")), "frequent")
-    pivots = hot.groupBy("token", "band").agg(F.min_by(F.struct("set_id", "n", "bits", "pos"), "first").alias("p"))
+    part = F.pmod(F.xxhash64("set_id"), F.lit(PIVOTS)).alias("part")
+    pivots = hot.groupBy("token", "band", part).agg(F.min_by(F.struct("set_id", "n", "bits", "pos", "first"), "first").alias("p"))
     pivots = pivots.select("token", "band", "p.*")
     x, y = pivots.alias("x"), hot.alias("y")
-    tried = x.join(y, F.expr(f"x.token = y.token AND x.band = y.band AND x.set_id <> y.set_id AND {_close()}")).selectExpr("x.set_id AS a", "y.set_id AS b")
+    tried = x.join(y, F.expr(f"x.token = y.token AND x.band = y.band AND x.first < y.first AND {_close()}")).selectExpr("x.set_id AS a", "y.set_id AS b")
     settled = _verified(cut_lineage(tried.distinct(), "pivot_pairs"), documents, sets)
 
     # The others meet every earlier set of their frequent tokens, and on other tokens all sets meet.
