@@ -62,8 +62,8 @@ def ordered_columns(
     maximum is the one a hash aggregate can take before the shuffle.
     ``running_sum`` maps an output name to a column summed up to and including the
     row. ``last_row`` names a flag for the last row of a key. ``heavy`` comes from
-    :func:`heavy_keys`. ``bucket`` must rise with ``order``, and ``keys`` must not
-    be null.
+    :func:`heavy_keys`. ``bucket`` must rise with ``order`` and be null where
+    ``order`` begins with a null, which comes first; ``keys`` must not be null.
     """
     last_before, max_before, running_sum = dict(last_before or {}), dict(max_before or {}), dict(running_sum or {})
     keys, split = list(keys), heavy is not None
@@ -73,7 +73,10 @@ def ordered_columns(
         # A key that is not heavy has the null bucket, which takes no carry.
         marked = rows.join(names, keys, "left").withColumn("_bucket", F.when(F.col("_heavy"), bucket))
         carried = _carried(rows.join(names, keys).withColumn("_bucket", bucket), keys, order, last_before, max_before, running_sum)
-        marked = marked.join(carried, [*keys, "_bucket"], "left")
+        # Rows without an order value are a bucket too, the first, so it joins null-safe.
+        carried = carried.withColumnsRenamed({c: f"_at_{c}" for c in [*keys, "_bucket"]})
+        same = [F.col(k) == F.col(f"_at_{k}") for k in keys] + [F.col("_bucket").eqNullSafe(F.col("_at__bucket"))]
+        marked = marked.join(carried, same, "left")
 
     inside = Window.partitionBy(*keys, *(["_bucket"] if split else [])).orderBy(*order)
     before, upto = inside.rowsBetween(Window.unboundedPreceding, -1), inside.rowsBetween(Window.unboundedPreceding, 0)

@@ -143,6 +143,20 @@ def test_attempts_from_outcomes(spark, heavy):
     assert [r.wait_s for r in rows] == [1, 2, None, 1, None, None, None]
 
 
+@pytest.mark.parametrize("heavy", [0, 10**6])
+def test_attempts_of_rows_without_a_time(spark, heavy):
+    """Null times come first, on the plain and on the bucketed path; a key of null times only ends in its last one."""
+    bad = "TransientError"
+    events = [("a", 0, bad, 503), ("a", 0, bad, 503), ("a", 1, bad, 503), ("a", 9000, bad, 503), ("b", 0, bad, 503), ("b", 0, bad, 503)]
+    log = log_of(spark, events).withColumn("ts", F.when(~F.col("seq").isin(0, 1, 4, 5), F.col("ts")))
+    rows = number_attempts(log, RetryPolicy(max_retries=9), bucket_s=2, heavy_rows=heavy).orderBy("seq").collect()
+    assert [r.attempt for r in rows] == [0, 1, 2, 3, 0, 1]
+    assert [r.is_final for r in rows] == [False, False, False, True, False, True]
+    assert [r.wait_s is None for r in rows] == [False, False, False, True, False, True]
+    audited = audit_pace(log, PacePolicy(10), bucket_s=2, heavy_rows=heavy).orderBy("seq").collect()
+    assert [r.gap_s for r in audited] == [None, None, None, 8999, None, None]
+
+
 @pytest.mark.parametrize("heavy", [0, 10**6])
 def test_pacing(spark, heavy):
     requests = log_of(spark, [("a", 0, None, 200), ("a", 0.05, None, 200), ("b", 0.06, None, 200), ("a", 5000, None, 200)])
