@@ -41,9 +41,14 @@ BLANKS = " \t\r\f\x0b"
 
 
 def line_rows(documents: DataFrame) -> DataFrame:
-    """doc_id, line_no and line of every line; a null text has none."""
-    rows = documents.where("text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.split("text", "\n", -1).alias("lines"))
-    return rows.select("doc_id", F.posexplode("lines").alias("line_no", "line"))
+    """doc_id, text_id, line_no and line of every line; a null text has none.
+
+    The text_id is a hash of the whole text: it tells rows that share a doc_id, or have none, apart.
+    """
+    rows = documents.where("text IS NOT NULL").select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_id"), F.split("text", "\n", -1).alias("lines")
+    )
+    return rows.select("doc_id", "text_id", F.posexplode("lines").alias("line_no", "line"))
 
 
 def words(line="line"):
@@ -78,13 +83,13 @@ def _lines(documents: DataFrame) -> DataFrame:
     view = f"rarity_{uuid.uuid4().hex}"
     cut_lineage(_counters(documents), "rarity").createOrReplaceTempView(view)
     # The one row of ranks is a scalar subquery: a constant of fixed size in the plan.
-    rare = worded_lines(documents).select("doc_id", "line_no", tokens().alias("tokens"), F.expr(f"(SELECT ranks FROM {view})").alias("ranks"))
+    rare = worded_lines(documents).select("doc_id", "text_id", "line_no", tokens().alias("tokens"), F.expr(f"(SELECT ranks FROM {view})").alias("ranks"))
     ordered = rare.selectExpr(
-        "doc_id", "line_no",
+        "doc_id", "text_id", "line_no",
         f"sort_array(transform(tokens, t -> shiftleft(ranks[cast(pmod(t, {COUNTERS}) as int)], 58) | shiftrightunsigned(t, 6))) AS tokens",
     )
     return ordered.selectExpr(
-        "doc_id", "line_no", "xxhash64(tokens) AS set_id", "size(tokens) AS n",
+        "doc_id", "text_id", "line_no", "xxhash64(tokens) AS set_id", "size(tokens) AS n",
         "aggregate(tokens, 0L, (a, t) -> a ^ shiftleft(1L, cast(t & 63 as int))) AS bits",
         f"slice(tokens, 1, size(tokens) - {_ceil(f'size(tokens) * {PERCENT}', 100)} + 1 + cast(size(tokens) div {MORE} as int)) AS prefix",
     )
@@ -102,12 +107,11 @@ def _close() -> str:
 def _verified(pairs: DataFrame, documents: DataFrame, sets: DataFrame) -> DataFrame:
     """set_id, first and match of ``pairs`` (a, b) that are similar: the later set's, and where the earlier stands."""
     asked = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct().join(sets, "set_id")
-    asked = cut_lineage(asked.select("set_id", "first.doc_id", "first.line_no", "n", "bits"), "line_asked")
-    rows = worded_lines(documents).where(marked(asked, "doc_id", "line_no")).select("doc_id", "line_no", tokens().alias("tokens"))
-    rows = rows.join(asked, ["doc_id", "line_no"]).select("set_id", F.struct("doc_id", "line_no").alias("first"), "n", "bits", "tokens")
-    # Rows that share a doc_id may put several lines at one place; the size and the map tell them apart.
-    map_of = "aggregate(tokens, 0L, (a, t) -> a ^ shiftleft(1L, cast(shiftrightunsigned(t, 6) & 63 as int)))"
-    found = rows.where(f"size(tokens) = n AND {map_of} = bits").dropDuplicates(["set_id"]).select("set_id", "first", "tokens")
+    asked = cut_lineage(asked.select("set_id", "first.doc_id", "text_id", "first.line_no"), "line_asked")
+    rows = worded_lines(documents).where(marked(asked, "doc_id", "text_id", "line_no")).select("doc_id", "text_id", "line_no", tokens().alias("tokens"))
+    x, y = asked.alias("x"), rows.alias("y")
+    found = x.join(y, F.expr("x.doc_id <=> y.doc_id AND x.text_id = y.text_id AND x.line_no = y.line_no"))
+    found = found.select("set_id", F.struct("x.doc_id", "x.line_no").alias("first"), "tokens").dropDuplicates(["set_id"])
     found = cut_lineage(found, "line_tokens")
     one = pairs.join(found.select(F.col("set_id").alias("a"), F.col("tokens").alias("s"), F.col("first").alias("f")), "a")
     both = one.join(found.select(F.col("set_id").alias("b"), F.col("tokens").alias("t"), F.col("first").alias("g")), "b")
@@ -125,9 +129,10 @@ def similar_lines(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     lines = cut_lineage(_lines(documents), "lines")
     sets = lines.groupBy("set_id").agg(
-        F.min(F.struct("doc_id", "line_no")).alias("first"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix")
+        F.min(F.struct("doc_id", "line_no", "text_id")).alias("place"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix")
     )
-    sets = cut_lineage(sets, "line_sets")
+    first = F.struct("place.doc_id", "place.line_no").alias("first")
+    sets = cut_lineage(sets.select("set_id", first, "place.text_id", "n", "bits", "prefix"), "line_sets")
     firsts = sets.select("set_id", "first")
 
     met = sets.select("set_id", "n", "bits", F.posexplode("prefix").alias("pos", "token"))

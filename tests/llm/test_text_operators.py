@@ -114,6 +114,16 @@ def test_line_dedup_against_all_pairs(spark, monkeypatch, frequent):
     assert all(r.n_kept == r.n_lines - len(r.removed) for r in got)
 
 
+@pytest.mark.parametrize("frequent", [1, 1000])
+def test_line_dedup_of_rows_without_an_id(spark, monkeypatch, frequent):
+    """Near copies of a line that first stands in one of several rows with a null doc_id go too."""
+    monkeypatch.setattr(lines, "FREQUENT", frequent)
+    base, other = [f"a{i}" for i in range(10)], [f"b{i}" for i in range(10)]
+    texts = [(None, " ".join(base) + "\nonly here"), (None, " ".join(other) + "\nmore text"), (1, " ".join(base[:9])), (2, "x y z\n" + " ".join(other[1:]))]
+    got = lines.clean(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_lines, r.n_kept, r.removed) for r in got} == {None: (4, 4, []), 1: (1, 0, [0]), 2: (2, 1, [1])}
+
+
 def test_packing_covers_every_id_once(docs):
     path = catalog.tokenizer_path("word_bpe_49k.json")
     plain = Tokenizer.from_file(path)
