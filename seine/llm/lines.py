@@ -123,7 +123,7 @@ def _verified(pairs: DataFrame, documents: DataFrame, sets: DataFrame) -> DataFr
 
 
 def similar_lines(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Every line with words (doc_id, line_no, set_id), and every set: set_id, first place, and match.
+    """Every line with words (doc_id, text_id, line_no, set_id), and every set: set_id, first place, and match.
 
     The match is the place of an earlier set that is similar, null if there is none.
     """
@@ -160,7 +160,7 @@ def similar_lines(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     found = _verified(cut_lineage(shared.where("shared > more").select("a", "b"), "line_pairs"), documents, sets)
 
     matches = settled.union(found).groupBy("set_id").agg(F.min("match").alias("match"))
-    return lines.select("doc_id", "line_no", "set_id"), firsts.join(matches, "set_id", "left")
+    return lines.select("doc_id", "text_id", "line_no", "set_id"), firsts.join(matches, "set_id", "left")
 
 
 def _ceil(value: str, divisor: int) -> str:
@@ -168,7 +168,7 @@ def _ceil(value: str, divisor: int) -> str:
 
 
 def removed_lines(documents: DataFrame) -> DataFrame:
-    """doc_id and line_no of every line to remove, and the place of an earlier line it is like.
+    """doc_id, text_id and line_no of every line to remove, and the place of an earlier line it is like.
 
     A line without words is never removed. Repeated rows of a document stand at the same
     places and do not remove each other.
@@ -178,20 +178,51 @@ def removed_lines(documents: DataFrame) -> DataFrame:
     joined = lines.join(sets, "set_id")
     gone = joined.where((here > F.col("first")) | (F.col("match") < here))
     like = F.least("first", "match")
-    return gone.select("doc_id", "line_no", like["doc_id"].alias("like_doc_id"), like["line_no"].alias("like_line_no"))
+    return gone.select("doc_id", "text_id", "line_no", like["doc_id"].alias("like_doc_id"), like["line_no"].alias("like_line_no"))
+
+
+def _judged(documents: DataFrame) -> DataFrame:
+    """The documents, every column kept, with ``_lines`` of the text, ``_gone`` and ``_kept``, line numbers in order.
+
+    A null text has no lines.
+    """
+    gone = removed_lines(documents).groupBy("doc_id", "text_id").agg(F.array_sort(F.collect_set("line_no")).alias("_gone"))
+    gone = cut_lineage(gone.withColumnsRenamed({"doc_id": "_d", "text_id": "_t"}), "lines_gone")
+    own, text_id = F.col("doc_id").cast("long"), F.xxhash64("text")
+    # Texts without a removed line need no join, so they are not exchanged.
+    touched = F.col("text").isNotNull() & marked(gone, "_d", "_t")
+    keyed = documents.withColumns({"_d": own, "_t": text_id}).withColumn("_touched", touched)
+    found = keyed.where("_touched").withColumnsRenamed({"_d": "_own_d", "_t": "_own_t"})
+    found = found.join(gone, F.expr("_own_d <=> _d AND _own_t = _t"), "left").select(*documents.columns, "_gone")
+    whole = keyed.where("NOT _touched").select(*documents.columns, F.lit(None).cast("array<int>").alias("_gone"))
+    rows = found.union(whole).withColumns({
+        "_lines": F.when(F.col("text").isNotNull(), F.split("text", "\n", -1)), "_gone": F.coalesce("_gone", F.array().cast("array<int>")),
+    })
+    every = F.when(F.col("text").isNull(), F.array().cast("array<int>")).otherwise(F.sequence(F.lit(0), F.size("_lines") - 1))
+    return rows.withColumn("_kept", F.array_except(every, F.col("_gone")))
+
+
+def without_lines(documents: DataFrame) -> DataFrame:
+    """The documents, every row and column kept, their texts without the lines to remove.
+
+    A text all of whose lines go is empty; a null text stays null.
+    """
+    text = F.array_join(F.transform("_kept", lambda i: F.col("_lines")[i]), "\n")
+    rows = _judged(documents).withColumn("text", F.when(F.col("text").isNotNull(), text))
+    return rows.select(*documents.columns)
 
 
 def clean(documents: DataFrame) -> DataFrame:
     """Per document: doc_id, n_lines, n_kept and the sorted numbers of the lines removed.
 
     Rows that share a doc_id are taken together; a document without text has no lines.
+    ``without_lines`` gives the texts themselves.
     """
-    gone = removed_lines(documents).groupBy("doc_id").agg(F.array_sort(F.collect_set("line_no")).alias("removed"), F.count("*").alias("n_gone"))
-    size = F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0))
-    size = F.when(F.col("text").isNull(), 0).otherwise(size)
-    counts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), size.cast("long").alias("n")).groupBy("doc_id").agg(F.sum("n").alias("n_lines"))
-    gone = gone.withColumnRenamed("doc_id", "d")
-    out = counts.join(gone, F.col("doc_id").eqNullSafe(F.col("d")), "left")
-    return out.select(
-        "doc_id", "n_lines", (F.col("n_lines") - F.coalesce("n_gone", F.lit(0))).alias("n_kept"), F.coalesce("removed", F.array().cast("array<int>")).alias("removed")
+    rows = _judged(documents.select("doc_id", "text")).select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.size("_kept").alias("kept"), F.size("_gone").alias("gone"), F.posexplode_outer("_gone").alias("pos", "line_no")
+    )
+    # A row's numbers count with its first removed line, or without any.
+    once = lambda n: F.sum(F.when(F.coalesce("pos", F.lit(0)) == 0, n).otherwise(0))
+    return rows.groupBy("doc_id").agg(
+        once(F.col("kept") + F.col("gone")).alias("n_lines"), once(F.col("kept")).alias("n_kept"), F.array_sort(F.collect_set("line_no")).alias("removed")
     )

@@ -124,6 +124,20 @@ def test_line_dedup_of_rows_without_an_id(spark, monkeypatch, frequent):
     assert {r.doc_id: (r.n_lines, r.n_kept, r.removed) for r in got} == {None: (4, 4, []), 1: (1, 0, [0]), 2: (2, 1, [1])}
 
 
+def test_texts_without_their_removed_lines(spark):
+    """Each row's own text is rebuilt, also of rows that share an id or have none, with every column kept."""
+    line = "one two three four five"
+    rows = [(1, f"{line}\n\nown", "p"), (2, f"x\n{line.upper()}\ny\n", "q"), (3, line, None), (4, f"{line}\nrest", "r"), (4, f"other\n{line}", "s"), (4, f"other\n{line}", "t")]
+    rows += [(5, None, "u"), (6, "", "v"), (None, f"{line} six\nno id", "w"), (None, "second", "x")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    got = lines.without_lines(table)
+    assert got.columns == table.columns
+    want = [(1, "\nown", "p"), (2, "x\ny\n", "q"), (3, "", None), (4, "rest", "r"), (4, "other", "s"), (4, "other", "t"), (5, None, "u"), (6, "", "v"), (None, f"{line} six\nno id", "w"), (None, "second", "x")]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+    counts = {r.doc_id: (r.n_lines, r.n_kept, r.removed) for r in lines.clean(table).collect()}
+    assert counts == {1: (3, 2, [0]), 2: (4, 3, [1]), 3: (1, 0, [0]), 4: (6, 3, [0, 1]), 5: (0, 0, []), 6: (1, 1, []), None: (3, 3, [])}
+
+
 def test_packing_covers_every_id_once(docs):
     path = catalog.tokenizer_path("word_bpe_49k.json")
     plain = Tokenizer.from_file(path)
