@@ -30,14 +30,15 @@ class Settings:
     hidden: int = 8
     window: int = 128  # bytes of a text read in one go when predicting
     docs_per_lang: int = 160  # the bound of the training sample
-    max_langs: int = 64
+    max_docs: int = 10_240  # the bound over all languages; each has one document at least
     train_window: int = 64
     windows_per_doc: int = 6
     batch: int = 128
     steps: int = 260
     rate: float = 0.02
     seed: int = 7
-    lanes: int = 2048  # windows stepped together when predicting
+    lanes: int = 2048  # windows stepped together when predicting; fewer from 64 languages
+    steps_per_lang: int = 20  # training takes at least so many steps
 
 
 def soft(x):
@@ -145,11 +146,12 @@ class Network:
         """Adam over random batches of windows (lane, time)."""
         s, rng = self.settings, np.random.default_rng(self.settings.seed)
         first, second = ([np.zeros_like(p) for p in self.parameters()] for _ in range(2))
-        for step in range(1, s.steps + 1):
+        steps = max(s.steps, s.steps_per_lang * len(self.langs))
+        for step in range(1, steps + 1):
             pick = rng.integers(0, len(windows), s.batch)
             _, grads = self.gradients(windows[pick].T.astype(np.intp), target[pick])
             norm = np.sqrt(sum(float((g * g).sum()) for g in grads))
-            rate = s.rate * min(1.0, 2 * (1 - (step - 1) / s.steps))
+            rate = s.rate * min(1.0, 2 * (1 - (step - 1) / steps))
             for p, g, m, v in zip(self.parameters(), grads, first, second, strict=True):
                 g = g * min(1.0, 1.0 / (norm + 1e-9))
                 m += 0.1 * (g - m)
@@ -191,7 +193,9 @@ class Network:
         """
         if not self.langs:
             return [(UNKNOWN, 0.0)] * len(texts)
-        width, lanes = self.settings.window, self.settings.lanes
+        width = self.settings.window
+        # The work space holds a number for each lane, language and position.
+        lanes = max(1, min(self.settings.lanes, self.settings.lanes * 64 // len(self.langs)))
         known = [i for i, x in enumerate(texts) if x and _LETTER.search(x.decode("utf-8", "ignore"))]
         sums, doc, codes, lengths = np.zeros((len(texts), len(self.langs))), [], [], []
         held = 0
@@ -237,15 +241,17 @@ def held_out(doc_id="doc_id"):
 def train(documents: DataFrame, settings: Settings = Settings()) -> Network:
     """Fit a network on at most ``docs_per_lang`` training documents of each language.
 
-    The sample takes the documents first in order of a hash of their id, for up to
-    ``max_langs`` languages; its texts alone come to the driver, cut to windows in the
-    tasks. With no labelled document the network knows no language.
+    The sample takes the documents first in order of a hash of their id, of every language;
+    above ``max_docs`` in all, each language has an equal share. Its texts alone come to the
+    driver, cut to windows in the tasks. With no labelled document the network knows no language.
     """
     small_batches(documents.sparkSession)
     rows = documents.where(~held_out() & F.col("lang").isNotNull() & (F.length("text") > 0))
     ids = rows.select("doc_id", "lang", F.xxhash64("doc_id").alias("h"))
     ranked = ids.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id")))
-    chosen = ranked.where(F.col("n") <= settings.docs_per_lang).select("doc_id").distinct()
+    first = cut_lineage(ranked.where(F.col("n") <= settings.docs_per_lang).select("doc_id", "lang", "n"), "language_firsts")
+    share = max(1, settings.max_docs // max(1, first.select("lang").distinct().count()))
+    chosen = first.where(F.col("n") <= share).select("doc_id").distinct()
     width, most = settings.train_window, settings.windows_per_doc
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,8 +267,7 @@ def train(documents: DataFrame, settings: Settings = Settings()) -> Network:
     # The mark spares the other documents' texts the exchange of the join.
     sample = rows.where(marked(chosen, "doc_id")).join(chosen, "doc_id", "left_semi").select("lang", F.col("text").cast("binary").alias("text"))
     pieces = sample.mapInArrow(cut, "lang string, piece binary").toPandas().sort_values(["lang", "piece"])
-    langs = sorted(pieces["lang"].unique())[: settings.max_langs]
-    pieces = pieces[pieces["lang"].isin(langs)]
+    langs = sorted(pieces["lang"].unique())
     network = Network(langs, settings)
     if len(langs) > 1:
         windows = np.stack([np.frombuffer(bytes(x), np.uint8) for x in pieces["piece"]])
@@ -287,9 +292,14 @@ def predict(documents: DataFrame, network: Network) -> DataFrame:
 
 
 def keep_known(documents: DataFrame, network: Network, min_score: float = 0.3) -> DataFrame:
-    """The documents with a language: those that are ``und`` or score below ``min_score`` go."""
+    """The documents with a language: those that are ``und`` or score below ``min_score`` go.
+
+    Of more than four languages, whose mean probabilities are spread more thinly, the score
+    needed is 1.2 times that of chance.
+    """
+    least = min(min_score, 1.2 / max(1, len(network.langs)))
 
     def keeps(texts):
-        return [lang != UNKNOWN and score >= min_score for lang, score in network.label(texts)]
+        return [lang != UNKNOWN and score >= least for lang, score in network.label(texts)]
 
     return keep_rows(documents, keeps)

@@ -235,6 +235,20 @@ def test_language_network_learns(spark):
     assert langid.predict(table, langid.train(table.limit(0))).first().lang_pred == "und"
 
 
+def test_every_language_is_learned(spark):
+    """More languages than 64, of one letter each; the sample's bound is shared by all."""
+    rng = random.Random(6)
+    rows = [(i, " ".join(chr(0x4E00 + 97 * (i % 70)) * rng.randint(2, 6) for _ in range(40)), f"l{i % 70:02}") for i in range(700)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    network = langid.train(table, langid.Settings(max_docs=350))
+    assert network.langs == [f"l{k:02}" for k in range(70)]
+    got = {r.doc_id: r for r in langid.predict(table, network).collect()}
+    right = {i for i, _, lang in rows if got[i].lang_pred == lang}
+    assert len(right) >= 560 and sum(i % 70 >= 64 for i in right) >= 45
+    kept = {r.doc_id for r in langid.keep_known(table, network).collect()}
+    assert len(kept) >= 690
+
+
 def test_gradients_match_differences():
     network = langid.Network(["a", "b"], langid.Settings(hidden=3))
     rng = np.random.default_rng(0)
