@@ -13,6 +13,7 @@ takes a bounded sample of labelled rows; scoring reads every whole text where it
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -24,7 +25,12 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 from .common import keep_rows, marked, small_batches
 
-_WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
+# Combining marks do not end a word.
+_MARKS = "".join(c for c in map(chr, range(0x300, 0x10000)) if unicodedata.category(c)[0] == "M")
+_WORD = re.compile(rf"[^\W_](?:[^\W_]|[{re.escape(_MARKS)}])*")
+_PLAIN = re.compile(r"[0-9a-z]+")
+# Han, kana, Thai, Lao, Burmese and Khmer, written without spaces.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]{2,}")
 
 
 @dataclass(frozen=True)
@@ -38,13 +44,22 @@ class Settings:
     threshold: float = 0.5
 
 
-def words_of(text: bytes) -> set[bytes]:
-    """The distinct words of a text and their beginnings of 4 and 5 bytes, marked by a star.
+def _whole_words(text: bytes) -> set[str]:
+    """The distinct words of a text: runs of letters and digits by Unicode class, lower-cased.
 
-    Words are runs of letters and digits, A-Z lower-cased.
+    Of a run in a script without spaces, every two neighbouring characters are a word as well.
     """
-    words = set(_WORD.findall(text.lower()))
-    words.update([w[:n] + b"*" for w in words for n in (4, 5) if len(w) > n])
+    if text.isascii():
+        return set(_PLAIN.findall(text.decode().lower()))
+    words = set(_WORD.findall(text.decode("utf-8", "replace").lower()))
+    words.update([run[i : i + 2] for w in words if not w.isascii() for run in _UNSPACED.findall(w) for i in range(len(run) - 1)])
+    return words
+
+
+def words_of(text: bytes) -> set[str]:
+    """The distinct words of a text and their beginnings of 4 and 5 characters, marked by a star."""
+    words = _whole_words(text)
+    words.update([w[:n] + "*" for w in words for n in (4, 5) if len(w) > n])
     return words
 
 
@@ -76,9 +91,9 @@ def fit_linear(x: np.ndarray, y: np.ndarray, settings: Settings) -> np.ndarray:
 @dataclass
 class Chain:
     categories: list[str]
-    words: dict[bytes, int] = field(default_factory=dict)
+    words: dict[str, int] = field(default_factory=dict)
     weights: list[np.ndarray] = field(default_factory=list)
-    stems: dict[int, set[bytes]] = field(default_factory=dict)
+    stems: dict[int, set[str]] = field(default_factory=dict)
 
     def fit(self, x: np.ndarray, y: np.ndarray, fold: np.ndarray, settings: Settings) -> Chain:
         earlier = np.zeros((len(x), 0), "f4")
@@ -96,15 +111,15 @@ class Chain:
 
     def present(self, text: bytes) -> list[int]:
         """Numbers of the chain's words and beginnings that a text has."""
-        words, known = set(_WORD.findall(text.lower())), self.words
+        words, known = _whole_words(text), self.words
         found = [known[w] for w in known.keys() & words]
         for n in (4, 5):
-            found += [known[stem + b"*"] for stem in self._stems(n) & {w[:n] for w in words if len(w) > n}]
+            found += [known[stem + "*"] for stem in self._stems(n) & {w[:n] for w in words if len(w) > n}]
         return sorted(found)
 
-    def _stems(self, n: int) -> set[bytes]:
+    def _stems(self, n: int) -> set[str]:
         if n not in self.stems:
-            self.stems[n] = {w[:-1] for w in self.words if w.endswith(b"*") and len(w) == n + 1}
+            self.stems[n] = {w[:-1] for w in self.words if w.endswith("*") and len(w) == n + 1}
         return self.stems[n]
 
     def score(self, texts: list[bytes | None]) -> np.ndarray:
@@ -137,10 +152,10 @@ def train(documents: DataFrame, labels: DataFrame, categories: dict[str, Column]
     texts = cut_lineage(texts.join(sample, "doc_id").select("h", "text", F.array(*ys).alias("y")), "labelled_texts")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[bytes, np.ndarray] = {}
+        counts: dict[str, np.ndarray] = {}
 
         def out():
-            batch = pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array([c.tolist() for c in counts.values()], pa.list_(pa.int64()))], ["word", "n"])
+            batch = pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array([c.tolist() for c in counts.values()], pa.list_(pa.int64()))], ["word", "n"])
             counts.clear()
             return batch
 
@@ -160,7 +175,7 @@ def train(documents: DataFrame, labels: DataFrame, categories: dict[str, Column]
     total, positives = totals[0], [x or 0 for x in totals[1:]]
     chain = Chain(names)
     if total:
-        counted = texts.mapInArrow(count, "word binary, n array<long>").groupBy("word").agg(*[F.sum(F.col("n")[j]).alias(f"n{j}") for j in range(len(names) + 1)])
+        counted = texts.mapInArrow(count, "word string, n array<long>").groupBy("word").agg(*[F.sum(F.col("n")[j]).alias(f"n{j}") for j in range(len(names) + 1)])
         n = F.col("n0").cast("double")
         chi2 = []
         for j, p in enumerate(positives, 1):
@@ -169,7 +184,7 @@ def train(documents: DataFrame, labels: DataFrame, categories: dict[str, Column]
             chi2.append(F.when(spread > 0, total * F.pow(both * total - n * p, 2) / spread).otherwise(0.0))
         best = F.greatest(*chi2) if len(chi2) > 1 else chi2[0]
         chosen = counted.select("word", best.alias("c")).where(F.col("c") >= settings.least_chi2).orderBy(F.desc("c"), "word").limit(settings.max_words).collect()
-        chain.words = {bytes(r["word"]): i for i, r in enumerate(chosen)}
+        chain.words = {r["word"]: i for i, r in enumerate(chosen)}
     known = chain.words
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

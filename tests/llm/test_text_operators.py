@@ -277,6 +277,18 @@ def test_toxicity_chain(spark):
     assert toxicity.score(table, empty).where("flagged").count() == 0
 
 
+def test_toxic_words_beside_other_characters(spark):
+    """Quotes, dashes, no-break spaces and inverted marks end a word; capitals fold, stems are of characters."""
+    rows = [(i, f"some plain words {i % 7} here" + (" you utter éçàüword" if i % 5 == 0 else "")) for i in range(200)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = table.select("doc_id", (F.col("doc_id") % 5 == 0).cast("int").alias("toxic"), F.lit(1).alias("quality"))
+    chain = toxicity.train(table, labels, catalog.categories())
+    texts = ["some “you” «utter» ¡éçàüword! here", "you\u00a0utter\u00a0éçàüword—plain", "YOU UTTER ÉÇÀÜWORD", "you… utter… éçàüwords", "plain “words” – here"]
+    assert [p >= 0.5 for p in chain.score([t.encode() for t in texts])[:, 0]] == [True, True, True, True, False]
+    assert toxicity.words_of("हिन्दी e\u0301te_x".encode()) == {"हिन्दी", "हिन्द*", "हिन्*", "e\u0301te", "x"}
+    assert {"坏话", "他说坏话"} <= toxicity.words_of("“他说坏话”。".encode()) and toxicity.words_of(b"\xff a\xff") == {"a"}
+
+
 def test_lattice_against_all_pairs(spark):
     rng = np.random.default_rng(1)
     base = rng.normal(size=(40, 64))
