@@ -49,7 +49,7 @@ STAGES = [
     ("packing", packed),
 ]
 
-# Trained models and packing have no SQL form; the tests hold run() against plain versions.
+# Trained models and packing have no SQL form; the tests hold the dedup stages against plain versions.
 ORACLE_SQL = None
 
 
