@@ -37,7 +37,10 @@ def sink_fan_out(spark, sf_dir):
 
 
 def earliest_record(spark, sf_dir):
-    return flat_records(earliest_records(records_of(spark, sf_dir)))
+    """The earliest record of those a sink saved, read back from its files."""
+    path = scratch_path(spark, "jsonl")
+    JsonLinesSink(path).write(records_of(spark, sf_dir), 0)
+    return flat_records(earliest_records(read_jsonl_records(spark, path)))
 
 
 _UPDATES = schemas.T.StructType([

@@ -265,3 +265,14 @@ def test_continuous_save(spark, tmp_path):
         save_stream(stream, sink, str(tmp_path / "state")).awaitTermination()
     assert read_jsonl_records(spark, str(tmp_path / "j")).count() == 2
     assert {r.url for r in sink.sinks[1].read(spark).collect()} == {"a", "b"}
+
+
+def test_the_earliest_record_comes_from_the_files(spark, monkeypatch):
+    from seine.catalog import saving
+
+    written = []
+    read = saving.read_jsonl_records
+    monkeypatch.setattr(saving, "read_jsonl_records", lambda spark, path: written.append(path) or read(spark, path))
+    got = saving.earliest_record(spark, "/root/testdata/sf0.001").collect()
+    want = saving.flat_records(saving.earliest_records(saving.records_of(spark, "/root/testdata/sf0.001"))).collect()
+    assert len(written) == 1 and got == want and len(got) == 1
