@@ -14,7 +14,6 @@ from ..operators.breaker import BreakerPolicy
 from ..operators.breaker import breaker_states as states_of
 from ..operators.breaker import replay_breaker
 from ..operators.filters import skip_open_circuits
-from ..operators.ordered import number_bucket
 from ..operators.politeness import PacePolicy, audit_pace, paced_fetch_list
 from ..plans.report import bar_widths, html_report
 from ..plans.summary import run_summary as summary_of
@@ -115,7 +114,7 @@ def progress_metrics(spark, sf_dir):
 
 
 def _attempts(spark, sf_dir):
-    return number_attempts(_log(spark, sf_dir), RETRIES, bucket_s=86_400)
+    return number_attempts(_log(spark, sf_dir), RETRIES)
 
 
 def attempt_numbering(spark, sf_dir):
@@ -139,7 +138,7 @@ def politeness_global(spark, sf_dir):
 
 def _audit(spark, sf_dir, policy):
     delay = F.when(F.col("host").endswith("3.example.com"), F.lit(10_000.0))
-    audit = audit_pace(_log(spark, sf_dir), policy, crawl_delay=delay, bucket_s=86_400)
+    audit = audit_pace(_log(spark, sf_dir), policy, crawl_delay=delay)
     return audit.select(
         "seq", "pace_key", F.round("gap_s", 3).alias("gap_s"), F.round("required_s", 3).alias("required_s"),
         F.round("wait_s", 3).alias("wait_s"), "violation",
@@ -149,7 +148,7 @@ def _audit(spark, sf_dir, policy):
 def polite_fetch_list(spark, sf_dir):
     pages = inputs.pages(spark, sf_dir).select("page_id", hostname("url").alias("host"))
     paced = paced_fetch_list(
-        pages, PacePolicy(requests_per_second=4, min_delay=0.5), ["page_id"], number_bucket(F.col("page_id"), 1000)
+        pages, PacePolicy(requests_per_second=4, min_delay=0.5), ["page_id"]
     )
     return paced.select("page_id", "host", "rank", "send_offset_s")
 

@@ -1,17 +1,18 @@
 """Per-host circuit breaker replayed over an ordered outcome log.
 
-The breaker is a fold over a host's events. Hosts of moderate size are folded whole,
-many to a task. A hot host's log is cut into chunks of time, since the fold splits:
-each chunk is a small function from the state it starts in to the state it ends in.
-The state is either closed with a failure count below the threshold, or open since
-some instant, of which only the first event at or after the recovery counts. So
-
-1. per chunk of a hot host: the chunk's function, in numpy, over that chunk's rows;
-2. per hot host: run the few chunk functions in order to get each chunk's start;
-3. per host or chunk: walk its rows from the start and mark every one.
-
-No task ever holds more than one host of moderate size or one chunk of a hot one at a
-time, and results are exactly those of the sequential fold.
+The breaker is a fold over a host's events. Rows are sorted by host and time and walked
+batch by batch, carrying only the instant of opening and the failure count. The log of a
+hot host is cut by rows into parts, since the fold splits: each part is a function from
+the state it starts in to the state it ends in. The state is either closed with a failure
+count below the threshold, or open since some instant, of which only the first event at or
+after the recovery counts. So
+
+1. per part of a hot host: the part's function, in numpy, over its times and outcomes;
+2. per hot host: run its part functions in order to get each part's start;
+3. per host or part: walk its rows from the start and mark every one.
+
+A part has a bounded number of rows however they bunch in time, and results are exactly
+those of the sequential fold.
 """
 
 from __future__ import annotations
@@ -27,7 +28,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .ordered import HEAVY_ROWS, heavy_keys
+from ..session import cut_lineage
+from .ordered import HEAVY_ROWS, null_safe, range_parts, split_heavy
 
 CLOSED, OPEN, HALF_OPEN = "closed", "open", "half_open"
 
@@ -94,7 +96,7 @@ def walk(ts: np.ndarray, ok: np.ndarray, opened_at: int | None, failures: int, p
 
 
 def chunk_function(ts: np.ndarray, ok: np.ndarray, start_us: int, policy: BreakerPolicy) -> dict:
-    """What a chunk does to every state it can start in.
+    """What a part does to every state it can start in.
 
     ``closed_open[f]``/``closed_failures[f]``: the end after starting closed with f
     failures. ``step_until``/``step_open``/``step_failures``: the end after starting
@@ -153,7 +155,7 @@ def chunk_function(ts: np.ndarray, ok: np.ndarray, start_us: int, policy: Breake
 
 _FUNCTION = T.StructType([
     T.StructField("_host", T.StringType()),
-    T.StructField("_chunk", T.LongType()),
+    T.StructField("_part", T.IntegerType()),
     T.StructField("closed_open", T.ArrayType(T.LongType())),
     T.StructField("closed_failures", T.ArrayType(T.IntegerType())),
     T.StructField("step_until", T.ArrayType(T.LongType())),
@@ -162,63 +164,32 @@ _FUNCTION = T.StructType([
 ])
 _START = T.StructType([
     T.StructField("_host", T.StringType()),
-    T.StructField("_chunk", T.LongType()),
+    T.StructField("_part", T.IntegerType()),
     T.StructField("_opened_at", T.LongType()),
     T.StructField("_failures", T.IntegerType()),
 ])
 
 
-def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
-    """Tables of whole (_host, _chunk) groups with their edges, from sorted batches.
-
-    A group may span batches; only the last, unfinished group is held back.
-    """
-    held: list[pa.RecordBatch] = []
-    held_rows, last_key = 0, None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        host, chunk = batch.column("_host"), batch.column("_chunk").to_numpy()
-        codes = host.dictionary_encode().indices.to_numpy()
-        edges = np.flatnonzero((codes[1:] != codes[:-1]) | (chunk[1:] != chunk[:-1])) + 1
-        first_key = (host[0].as_py(), int(chunk[0]))
-        starts = edges if first_key == last_key or not held else np.insert(edges, 0, 0)
-        last_key = (host[-1].as_py(), int(chunk[-1]))
-        if len(starts):
-            cut = int(starts[-1])
-            done = pa.Table.from_batches([*held, batch.slice(0, cut)])
-            if done.num_rows:
-                yield done, np.concatenate(([0], starts + held_rows))
-            held, held_rows = [], 0
-            batch = batch.slice(cut)
-        held.append(batch)
-        held_rows += batch.num_rows
-    if held:
-        yield pa.Table.from_batches(held), np.array([0, held_rows])
-
-
-def _values(table: pa.Table, name: str) -> np.ndarray:
-    return table.column(name).combine_chunks().to_numpy(zero_copy_only=False)
+def _flags(column: pa.Array) -> np.ndarray:
+    """A boolean column; null is false."""
+    return column.fill_null(False).to_numpy(zero_copy_only=False)
 
 
 def _summarise(policy: BreakerPolicy):
+    """The function of one part of a host, from its sorted times and outcomes."""
     arrow = to_arrow_schema(_FUNCTION)
 
-    def run(batches):
-        for table, edges in _whole_groups(batches):
-            ts, ok = _values(table, "_us"), _values(table, "_ok").astype(bool)
-            hosts, chunks, starts = table.column("_host"), _values(table, "_chunk"), _values(table, "_start")
-            rows = []
-            for low, high in zip(edges[:-1], edges[1:]):
-                made = chunk_function(ts[low:high], ok[low:high], int(starts[low]), policy)
-                rows.append({"_host": hosts[int(low)].as_py(), "_chunk": int(chunks[low]), **made})
-            yield from pa.Table.from_pylist(rows, schema=arrow).to_batches()
+    def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [(b.column("_us").to_numpy(), _flags(b.column("_ok"))) for b in batches]
+        ts, ok = (np.concatenate(x) for x in zip(*held))
+        made = chunk_function(ts, ok, int(ts[0]), policy)
+        yield pa.RecordBatch.from_pylist([{"_host": key[1].as_py(), "_part": key[0].as_py(), **made}], schema=arrow)
 
     return run
 
 
 def starting_states(policy: BreakerPolicy):
-    """Run chunk functions, sorted by host and chunk, to the state each chunk starts in."""
+    """Run part functions, sorted by host and part, to the state each part starts in."""
     arrow = to_arrow_schema(_START)
 
     def run(batches):
@@ -228,7 +199,7 @@ def starting_states(policy: BreakerPolicy):
             for f in batch.to_pylist():
                 if f["_host"] != host:
                     host, opened, failures = f["_host"], -1, 0
-                rows.append({"_host": host, "_chunk": f["_chunk"], "_opened_at": opened, "_failures": failures})
+                rows.append({"_host": host, "_part": f["_part"], "_opened_at": opened, "_failures": failures})
                 if opened < 0:
                     opened, failures = f["closed_open"][failures], f["closed_failures"][failures]
                     continue
@@ -240,25 +211,31 @@ def starting_states(policy: BreakerPolicy):
     return run
 
 
-def _mark(policy: BreakerPolicy, ok: str, names: list[str], arrow: pa.Schema):
-    def run(batches):
-        for table, edges in _whole_groups(batches):
-            # A header row, the first of its group, carries the starting state.
-            header = table.column("_us").is_null().to_numpy()
-            opened, failures = _values(table, "_opened_at"), _values(table, "_failures")
-            above = np.concatenate(([0], np.cumsum(header)))
-            rows, bounds = table.filter(pa.array(~header)), edges - above[edges]
-            ts, good = _values(rows, "_us"), _values(rows, ok).astype(bool)
+def mark(policy: BreakerPolicy, names: list[str], arrow: pa.Schema):
+    """Walk batches sorted by host and time, carrying the state from batch to batch.
+
+    A host starts in the state of its first row's ``_opened_at`` and ``_failures``.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        host, opened, failures = None, None, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            hosts = batch.column("_host")
+            codes = hosts.dictionary_encode().indices.to_numpy()
+            edges = [0, *(np.flatnonzero(codes[1:] != codes[:-1]) + 1).tolist(), batch.num_rows]
+            ts, ok = batch.column("_us").to_numpy(), _flags(batch.column("_ok"))
             allowed, is_open = np.empty(len(ts), bool), np.empty(len(ts), bool)
-            for first, low, high in zip(edges[:-1], bounds[:-1], bounds[1:]):
-                known = header[first] and opened[first] >= 0
-                allowed[low:high], is_open[low:high], _, _ = walk(
-                    ts[low:high], good[low:high], int(opened[first]) if known else None,
-                    int(failures[first]) if header[first] else 0, policy,
-                )
-            out = rows.select(names).append_column("allowed", pa.array(allowed))
-            out = out.append_column("state_after", pa.array(np.where(is_open, OPEN, CLOSED)))
-            yield from out.cast(arrow).combine_chunks().to_batches()
+            for low, high in zip(edges[:-1], edges[1:]):
+                if hosts[low].as_py() != host:
+                    host, since = hosts[low].as_py(), batch.column("_opened_at")[low].as_py()
+                    opened, failures = None if since < 0 else since, batch.column("_failures")[low].as_py()
+                allowed[low:high], is_open[low:high], opened, failures = walk(ts[low:high], ok[low:high], opened, failures, policy)
+            columns = [batch.column(n) for n in names]
+            yield pa.RecordBatch.from_arrays(
+                [*columns, pa.array(allowed), pa.array(np.where(is_open, OPEN, CLOSED).tolist(), pa.string())], schema=arrow
+            )
 
     return run
 
@@ -275,41 +252,34 @@ def replay_breaker(
 ) -> DataFrame:
     """Add ``allowed`` and ``state_after`` to every row of an outcome log.
 
-    Rows are taken per ``host`` in (``ts``, ``seq``) order. A denied row does not
-    touch the state. A host of more than ``heavy_rows`` rows is cut into chunks of
-    about that many, but never shorter than several recovery times, which keeps the
-    chunk functions short.
-
-    The starting states reach their chunks as header rows in the same exchange as
-    the log, not by a join: a join could be split for skew, and a group with it.
+    Rows are taken per ``host`` in (``ts``, ``seq``) order; null hosts are the empty one. A
+    denied row does not touch the state, and a null ``ok`` counts as a failure. Rows without
+    a time come before all others: they are allowed and leave the breaker closed as it
+    starts. A host of more than ``heavy_rows`` rows is cut into parts of about half as many.
     """
-    us = F.unix_micros(F.col(ts).cast("timestamp"))
-    timed = log.withColumns({"_host": F.coalesce(F.col(host), F.lit("")), "_us": us})
-    groups = ["_host", "_chunk"]
-    heavy = heavy_keys(
-        timed, ["_host"], heavy_rows, F.min("_us").alias("_first"), (F.max("_us") - F.min("_us")).alias("_span")
-    )
-    keyed = timed.withColumn("_chunk", F.lit(-1).cast("long"))
-    starts = log.sparkSession.createDataFrame([], _START)
-    if heavy is not None:
-        even = F.ceil(F.col("_span") / F.col("_rows") * heavy_rows)
-        heavy = heavy.select("_host", "_first", F.greatest(even, F.lit(16 * policy.recovery_us), F.lit(1)).alias("_width"))
-        chunk = F.floor((F.col("_us") - F.col("_first")) / F.col("_width"))
-        keyed = timed.join(heavy, "_host", "left").withColumn("_chunk", F.coalesce(chunk, F.lit(-1))).drop("_first", "_width")
-
-        slim = timed.select("_host", "_us", F.col(seq).alias("_seq"), F.col(ok).alias("_ok")).join(heavy, "_host")
-        slim = slim.withColumns({"_chunk": chunk, "_start": F.col("_first") + chunk * F.col("_width")}).drop("_first", "_width")
-        slim = slim.repartition(*groups).sortWithinPartitions(*groups, "_us", "_seq")
-        functions = slim.mapInArrow(_summarise(policy), _FUNCTION)
-        starts = functions.repartition("_host").sortWithinPartitions(*groups).mapInArrow(starting_states(policy), _START)
+    timed = log.withColumns({
+        "_host": F.coalesce(F.col(host), F.lit("")), "_us": F.unix_micros(F.col(ts).cast("timestamp")), "_seq": F.col(seq), "_ok": F.col(ok),
+    })
+    untimed = log.where(F.col(ts).isNull()).withColumns({"allowed": F.lit(True), "state_after": F.lit(CLOSED)})
+    light, hot, parts = split_heavy(timed.where("_us IS NOT NULL"), ["_host"], heavy_rows)
 
     out_schema = T.StructType([T.StructField(f.name, f.dataType) for f in log.schema] + [
         T.StructField("allowed", T.BooleanType()),
         T.StructField("state_after", T.StringType()),
     ])
-    headed = keyed.unionByName(starts, allowMissingColumns=True)
-    headed = headed.repartition(*groups).sortWithinPartitions(*groups, F.col("_us").asc_nulls_first(), seq)
-    return headed.mapInArrow(_mark(policy, ok, log.columns, to_arrow_schema(out_schema)), out_schema)
+    marking = mark(policy, log.columns, to_arrow_schema(out_schema))
+    closed = {"_opened_at": F.lit(-1).cast("long"), "_failures": F.lit(0)}
+    done = light.repartition("_host").sortWithinPartitions("_host", "_us", "_seq").withColumns(closed).mapInArrow(marking, out_schema)
+    if hot is not None:
+        held = range_parts(hot, ["_host", "_us", "_seq"], parts, "_host", "_us", "_seq")
+        # Sorted rows reach their group in this order, and the bucketed table spares both groupings an exchange.
+        slim = held.select("_part", "_host", "_us", "_seq", "_ok").sortWithinPartitions("_part", "_host", "_us", "_seq")
+        functions = slim.groupBy("_part", "_host").applyInArrow(_summarise(policy), _FUNCTION)
+        starts = functions.repartition("_host").sortWithinPartitions("_host", "_part").mapInArrow(starting_states(policy), _START)
+        started = null_safe(held, cut_lineage(starts, "breaker_starts"), ["_part", "_host"], "inner")
+        started = started.sortWithinPartitions("_part", "_host", "_us", "_seq")
+        done = done.unionByName(started.groupBy("_part", "_host").applyInArrow(marking, out_schema))
+    return done.unionByName(untimed.select(*out_schema.names))
 
 
 def breaker_states(replayed: DataFrame, host: str = "host", ts: str = "ts", seq: str = "seq") -> DataFrame:

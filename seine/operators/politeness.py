@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ordered import HEAVY_ROWS, heavy_keys, number_rows, ordered_columns, time_bucket
+from .ordered import HEAVY_ROWS, Ordered, number_rows
 
 
 @dataclass(frozen=True)
@@ -36,18 +36,15 @@ def audit_pace(
     *,
     crawl_delay: Column | None = None,
     host: str = "host",
-    bucket_s: float = 3600.0,
     heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Add pace_key, gap_s, required_s, wait_s and violation to timed requests.
 
     The gap is to the request before on the same key, null for the first. Global
-    pacing has a single key, which the time buckets spread like any hot host.
+    pacing has a single key, whose rows are cut like any hot host's.
     """
     keyed = requests.withColumns({"pace_key": policy.key(host), "_us": F.unix_micros(F.col("ts").cast("timestamp"))})
-    bucket = time_bucket(F.col("ts").cast("timestamp"), bucket_s)
-    heavy = heavy_keys(keyed, ["pace_key"], heavy_rows)
-    lagged = ordered_columns(keyed, ["pace_key"], ["ts", "seq"], bucket, heavy, max_before={"_prev": "_us"})
+    lagged = Ordered(keyed, ["pace_key"], ["ts", "seq"], heavy_rows).add(max_before={"_prev": "_us"}).rows()
     gap, required = (F.col("_us") - F.col("_prev")) / F.lit(1_000_000.0), policy.required(crawl_delay)
     return lagged.withColumns({
         "gap_s": gap,
@@ -61,7 +58,6 @@ def paced_fetch_list(
     urls: DataFrame,
     policy: PacePolicy,
     order: list[str],
-    bucket: Column,
     *,
     crawl_delay: Column | None = None,
     host: str = "host",
@@ -69,5 +65,5 @@ def paced_fetch_list(
 ) -> DataFrame:
     """Add the rank of each URL within its host and its earliest send offset."""
     keyed = urls.withColumn("pace_key", policy.key(host))
-    ranked = number_rows(keyed, ["pace_key"], order, bucket, out="rank", heavy_rows=heavy_rows)
+    ranked = number_rows(keyed, ["pace_key"], order, out="rank", heavy_rows=heavy_rows)
     return ranked.withColumn("send_offset_s", (F.col("rank") - 1) * policy.required(crawl_delay))
