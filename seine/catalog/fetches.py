@@ -22,6 +22,9 @@ from . import inputs
 RETRIES = RetryPolicy(max_retries=2)
 BREAKER = BreakerPolicy(threshold=3, recovery_s=86_400)
 PACE = PacePolicy(requests_per_second=0.001, min_delay=7_200)
+# The skewed log's bound: a key of more rows than this is cut into parts of about half as many.
+SKEW_ROWS = 2_000
+SKEW_BREAKER = BreakerPolicy(threshold=3, recovery_s=20)
 
 
 def _log(spark, sf_dir):
@@ -117,10 +120,17 @@ def _attempts(spark, sf_dir):
     return number_attempts(_log(spark, sf_dir), RETRIES)
 
 
+def _numbered(attempts):
+    return attempts.select("seq", F.col("op_start").cast("bigint").alias("op_start"), "attempt", "is_final", "gave_up", "wait_s")
+
+
 def attempt_numbering(spark, sf_dir):
-    return _attempts(spark, sf_dir).select(
-        "seq", F.col("op_start").cast("bigint").alias("op_start"), "attempt", "is_final", "gave_up", "wait_s"
-    )
+    return _numbered(_attempts(spark, sf_dir))
+
+
+def skew_attempts(spark, sf_dir):
+    """Attempts where one host has nine tenths of the log within one hour, and some rows have no time."""
+    return _numbered(number_attempts(inputs.skewed_log(spark, sf_dir), RETRIES, heavy_rows=SKEW_ROWS))
 
 
 def retry_stats(spark, sf_dir):
@@ -128,17 +138,25 @@ def retry_stats(spark, sf_dir):
 
 
 def politeness_audit(spark, sf_dir):
-    return _audit(spark, sf_dir, PACE)
+    return _audit(_log(spark, sf_dir), PACE)
 
 
 def politeness_global(spark, sf_dir):
     """All requests share one key."""
-    return _audit(spark, sf_dir, PacePolicy(requests_per_second=0.005, per_host=False))
+    return _audit(_log(spark, sf_dir), PacePolicy(requests_per_second=0.005, per_host=False))
+
+
+def skew_politeness(spark, sf_dir):
+    return _audit(inputs.skewed_log(spark, sf_dir), PACE, heavy_rows=SKEW_ROWS)
+
 
+def skew_politeness_global(spark, sf_dir):
+    return _audit(inputs.skewed_log(spark, sf_dir), PacePolicy(requests_per_second=0.005, per_host=False), heavy_rows=SKEW_ROWS)
 
-def _audit(spark, sf_dir, policy):
+
+def _audit(log, policy, **bound):
     delay = F.when(F.col("host").endswith("3.example.com"), F.lit(10_000.0))
-    audit = audit_pace(_log(spark, sf_dir), policy, crawl_delay=delay)
+    audit = audit_pace(log, policy, crawl_delay=delay, **bound)
     return audit.select(
         "seq", "pace_key", F.round("gap_s", 3).alias("gap_s"), F.round("required_s", 3).alias("required_s"),
         F.round("wait_s", 3).alias("wait_s"), "violation",
@@ -162,6 +180,13 @@ def breaker_replay(spark, sf_dir):
     return _replayed(spark, sf_dir).select("seq", "host", "ok", "allowed", "state_after")
 
 
+def skew_breaker(spark, sf_dir):
+    """The breaker where one host has nine tenths of the log within one hour, and some rows have no time."""
+    log = inputs.skewed_log(spark, sf_dir).select("seq", "host", "ts", fetchlog.good().alias("ok"))
+    replayed = replay_breaker(log, SKEW_BREAKER, heavy_rows=SKEW_ROWS)
+    return replayed.select("seq", "host", "ok", "allowed", "state_after")
+
+
 def breaker_states(spark, sf_dir):
     return states_of(_replayed(spark, sf_dir))
 
@@ -204,6 +229,10 @@ QUERIES = {
     "politeness_global": politeness_global,
     "polite_fetch_list": polite_fetch_list,
     "breaker_replay": breaker_replay,
+    "skew_attempts": skew_attempts,
+    "skew_politeness": skew_politeness,
+    "skew_politeness_global": skew_politeness_global,
+    "skew_breaker": skew_breaker,
     "breaker_states": breaker_states,
     "circuit_skips": circuit_skips,
     "report_bars": report_bars,
@@ -218,43 +247,51 @@ _TOP = "SELECT host, count(*) AS n FROM log WHERE error_class IS NULL GROUP BY h
 _CODES = "SELECT status, count(*) AS n FROM log WHERE status IS NOT NULL GROUP BY status"
 _RETRYABLE = "coalesce(error_class IN ('TransientError', 'NetworkError'), false)"
 
-ATTEMPTS_CTE = f"""
-  {_LOG}, marked AS (
+_SKEWED = f"log AS ({inputs.SKEWED_LOG_SQL})"
+
+_ATTEMPTS = f"""
+  marked AS (
     SELECT *, {_RETRYABLE} AS again, row_number() OVER w AS rn,
-      count(*) FILTER (NOT {_RETRYABLE}) OVER (PARTITION BY host ORDER BY ts, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS island,
-      lead(seq) OVER w IS NULL AS at_end FROM log WINDOW w AS (PARTITION BY host ORDER BY ts, seq)),
+      count(*) FILTER (NOT {_RETRYABLE}) OVER (PARTITION BY host ORDER BY ts NULLS FIRST, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS island,
+      lead(seq) OVER w IS NULL AS at_end FROM log WINDOW w AS (PARTITION BY host ORDER BY ts NULLS FIRST, seq)),
   placed AS (SELECT *, (row_number() OVER (PARTITION BY host, island ORDER BY rn) - 1) % 3 AS a FROM marked),
   attempts AS (
     SELECT *, NOT again OR a >= 2 OR at_end AS is_final, again AND a >= 2 AS gave_up,
       CASE WHEN again AND NOT (a >= 2 OR at_end) THEN least(power(2.0, a) * CASE WHEN status = 429 THEN 3 ELSE 1 END, 60.0) END AS wait_s
     FROM placed)
 """
+ATTEMPTS_CTE = f"{_LOG}, {_ATTEMPTS}"
+_NUMBERED = "SELECT seq, rn - a AS op_start, CAST(a AS INT) AS attempt, is_final, gave_up, wait_s FROM attempts"
 
 
-def _audit_sql(key: str, floor: float) -> str:
+def _audit_sql(key: str, floor: float, log: str = _LOG) -> str:
     return f"""
-      WITH {_LOG}, gaps AS (
-        SELECT seq, {key} AS pace_key, (epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY {key} ORDER BY ts, seq)) / 1000000.0 AS gap,
+      WITH {log}, gaps AS (
+        SELECT seq, {key} AS pace_key, (epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY {key} ORDER BY ts NULLS FIRST, seq)) / 1000000.0 AS gap,
           CASE WHEN host LIKE '%3.example.com' THEN greatest({floor}, 10000.0) ELSE {floor} END AS need FROM log)
       SELECT seq, pace_key, round(CAST(gap AS DOUBLE), 3) AS gap_s, round(CAST(need AS DOUBLE), 3) AS required_s,
         round(CAST(coalesce(greatest(need - gap, 0), 0) AS DOUBLE), 3) AS wait_s, coalesce(gap < need, false) AS violation FROM gaps"""
 
 
-BREAKER_CTE = f"""
-  {_LOG}, ordered AS MATERIALIZED (
-    SELECT seq, host, epoch_us(ts) AS us, error_class IS NULL AS ok, row_number() OVER (PARTITION BY host ORDER BY ts, seq) AS rn FROM log),
+def _breaker_cte(log: str, recovery_us: int) -> str:
+    return f"""
+  {log}, ordered AS MATERIALIZED (
+    SELECT seq, host, epoch_us(ts) AS us, error_class IS NULL AS ok, row_number() OVER (PARTITION BY host ORDER BY ts, seq) AS rn FROM log WHERE ts IS NOT NULL),
   steps(seq, host, us, ok, rn, allowed, opened, fails) AS (
     SELECT seq, host, us, ok, rn, true, CAST(NULL AS BIGINT), CASE WHEN ok THEN 0 ELSE 1 END FROM ordered WHERE rn = 1
     UNION ALL
-    SELECT o.seq, o.host, o.us, o.ok, o.rn, s.opened IS NULL OR o.us - s.opened >= 86400000000,
-      CASE WHEN s.opened IS NOT NULL AND o.us - s.opened < 86400000000 THEN s.opened
+    SELECT o.seq, o.host, o.us, o.ok, o.rn, s.opened IS NULL OR o.us - s.opened >= {recovery_us},
+      CASE WHEN s.opened IS NOT NULL AND o.us - s.opened < {recovery_us} THEN s.opened
            WHEN o.ok THEN NULL WHEN s.opened IS NOT NULL OR s.fails + 1 >= 3 THEN o.us END,
-      CASE WHEN s.opened IS NOT NULL AND o.us - s.opened < 86400000000 THEN s.fails
+      CASE WHEN s.opened IS NOT NULL AND o.us - s.opened < {recovery_us} THEN s.fails
            WHEN o.ok THEN 0 WHEN s.opened IS NOT NULL THEN s.fails ELSE s.fails + 1 END
     FROM steps s JOIN ordered o ON o.host = s.host AND o.rn = s.rn + 1),
   replay AS (SELECT *, CASE WHEN opened IS NULL THEN 'closed' ELSE 'open' END AS state_after FROM steps)
 """
 
+
+BREAKER_CTE = _breaker_cte(_LOG, 86_400_000_000)
+
 ORACLES = {
     "status_class": f"""
       WITH {_LOG}, moved AS (SELECT seq, CAST(coalesce(status, 599) + seq % 7 AS INT) AS status FROM log)
@@ -309,8 +346,8 @@ ORACLES = {
       WITH {_LOG}, c AS (SELECT count(*) AS n, round(CAST({_ELAPSED} AS DOUBLE), 2) AS s FROM log)
       SELECT n AS processed, round(n / 1000000000.0 * 100, 6) AS percent, round(n / s, 6) AS rate,
         round((1000000000 - n) / (n / s) / 1e6, 2) AS eta_ms FROM c""",
-    "attempt_numbering": f"""
-      WITH {ATTEMPTS_CTE} SELECT seq, rn - a AS op_start, CAST(a AS INT) AS attempt, is_final, gave_up, wait_s FROM attempts""",
+    "attempt_numbering": f"WITH {ATTEMPTS_CTE} {_NUMBERED}",
+    "skew_attempts": f"WITH {_SKEWED}, {_ATTEMPTS} {_NUMBERED}",
     "retry_stats": f"""
       WITH {ATTEMPTS_CTE} SELECT count(wait_s) AS retries_attempted,
         count(*) FILTER (error_class IS NULL AND a > 0) AS retry_successes, sum(wait_s) AS total_retry_wait,
@@ -322,6 +359,11 @@ ORACLES = {
       SELECT page_id, host, row_number() OVER (PARTITION BY host ORDER BY page_id) AS rank,
         (row_number() OVER (PARTITION BY host ORDER BY page_id) - 1) * CAST(0.5 AS DOUBLE) AS send_offset_s FROM ranked""",
     "breaker_replay": f"WITH RECURSIVE {BREAKER_CTE} SELECT seq, host, ok, allowed, state_after FROM replay",
+    "skew_politeness": _audit_sql("host", 7200.0, _SKEWED),
+    "skew_politeness_global": _audit_sql("'__global__'", 200.0, _SKEWED),
+    "skew_breaker": f"""
+      WITH RECURSIVE {_breaker_cte(_SKEWED, 20_000_000)} SELECT seq, host, ok, allowed, state_after FROM replay
+      UNION ALL SELECT seq, host, error_class IS NULL, true, 'closed' FROM log WHERE ts IS NULL""",
     "breaker_states": f"""
       WITH RECURSIVE {BREAKER_CTE} SELECT host, arg_max(state_after, rn) AS state, count(*) FILTER (NOT allowed) AS denied
       FROM replay GROUP BY host""",

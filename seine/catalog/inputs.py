@@ -66,6 +66,16 @@ def fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_fetch_log(table(spark, sf_dir, "events"))
 
 
+def skewed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fetch log with nine tenths of its rows on one host within one hour; some rows have no time."""
+    log, hot = fetch_log(spark, sf_dir), F.col("seq") % 10 < 9
+    burst = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=(F.col("seq") * 7919) % 3600)
+    return log.withColumns({
+        "host": F.when(hot, "hot.example.com").otherwise(F.col("host")),
+        "ts": F.when(F.col("seq") % 31 != 0, F.when(hot, burst).otherwise(F.col("ts"))),
+    })
+
+
 FETCH_LOG_SQL = """
   SELECT event_id AS seq, ts, concat('u', user_id, '.example.com') AS host,
     concat('http://u', user_id, '.example.com/p', event_id % 40) AS url,
@@ -78,6 +88,12 @@ FETCH_LOG_SQL = """
   FROM events
 """
 
+SKEWED_LOG_SQL = f"""
+  SELECT * REPLACE (CASE WHEN seq % 10 < 9 THEN 'hot.example.com' ELSE host END AS host,
+    CASE WHEN seq % 31 = 0 THEN NULL WHEN seq % 10 < 9 THEN TIMESTAMP '2024-01-01 00:00:00' + INTERVAL 1 SECOND * ((seq * 7919) % 3600) ELSE ts END AS ts)
+  FROM ({FETCH_LOG_SQL})
+"""
+
 HOST_SQL = "lower(regexp_extract(url, '^https?://([^/?#:]+)', 1))"
 
 ROBOTS_TEXT = "\n".join([
