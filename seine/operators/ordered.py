@@ -49,7 +49,7 @@ def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str)
     return left.join(named, same, how).drop(*[f"_same_{k}" for k in keys])
 
 
-def split_heavy(rows: DataFrame, keys: Sequence[str], heavy_rows: int) -> tuple[DataFrame, DataFrame | None, int]:
+def split_heavy(rows: DataFrame, keys: Sequence[str], heavy_rows: int = HEAVY_ROWS) -> tuple[DataFrame, DataFrame | None, int]:
     """Rows of the light keys, those of keys with more than ``heavy_rows`` rows (None if none), and parts to cut these into.
 
     The list of heavy keys is written, not kept as a plan: its real size then decides how it
@@ -72,9 +72,15 @@ class Ordered:
     once, those of heavy keys cut once. Nulls of ``order`` come first; null keys are one key.
     """
 
-    def __init__(self, rows: DataFrame, keys: Sequence[str], order: Sequence[str], heavy_rows: int = HEAVY_ROWS) -> None:
+    def __init__(
+        self, rows: DataFrame, keys: Sequence[str], order: Sequence[str], heavy_rows: int = HEAVY_ROWS, *, parts: int | None = None
+    ) -> None:
+        """``parts``, if given, cuts all rows into so many, for keys known to be few and large."""
         self.keys, self.order = list(keys), list(order)
-        self.light, hot, parts = split_heavy(rows, keys, heavy_rows)
+        if parts:
+            self.light, hot = rows.limit(0), rows
+        else:
+            self.light, hot, parts = split_heavy(rows, keys, heavy_rows)
         self.hot = None if hot is None else range_parts(hot, [*keys, *order], parts, *keys, *order)
 
     def map(self, change: Callable[[DataFrame], DataFrame]) -> Ordered:
