@@ -7,7 +7,7 @@ import os
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, scratch_path
-from . import bpe, chat, exact, langid, lattice, lines, minhash, packing, toxicity, warc
+from . import bpe, centroids, chat, exact, infill, langid, lattice, lines, minhash, mixture, packing, toxicity, warc
 from .common import table
 
 TOKENIZERS = os.environ.get("SEINE_TOKENIZERS", "/opt/tokenizers")
@@ -81,13 +81,54 @@ def op10_language(spark, sf_dir):
     return langid.predict(documents, langid.train(documents))
 
 
+def op11_centroids(spark, sf_dir):
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op12_mixture(spark, sf_dir):
+    return mixture.taken(mixture.mix_sources(table(spark, sf_dir, "documents")))
+
+
+def op13_infill(spark, sf_dir):
+    return infill.digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
         op1_lattice, op2_minhash, op3_packing, op4_exact_dedup, op5_line_dedup, op6_chat, op7_toxicity, op8_bpe, op9_warc, op10_language,
+        op11_centroids, op12_mixture, op13_infill,
     )
 }
 
+
+def _centroids_sql(rounds: int) -> str:
+    """The rounds written out: centroids c0, c1, ..., and assignments a0, a1, ... to them."""
+    steps = [
+        """v AS MATERIALIZED (
+        SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+        WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64)""",
+        "f AS MATERIALIZED (SELECT x, sha256(concat('1:', vec_id)) AS h FROM v ORDER BY h LIMIT 16)",
+        "c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h) - 1 AS j, x AS c FROM f)",
+    ]
+    for i in range(rounds + 1):
+        steps.append(f"""d{i} AS (
+        SELECT vec_id, x, j, list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d FROM v, c{i})""")
+        steps.append(f"""a{i} AS MATERIALIZED (
+        SELECT vec_id, x, j, d FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d, j) AS rn FROM d{i}) WHERE rn = 1)""")
+        if i < rounds:
+            steps.append(f"""m{i} AS (
+        SELECT j, p, sum(y) AS s, count(*) AS n FROM (SELECT j, unnest(x) AS y, unnest(range(64)) AS p FROM a{i}) GROUP BY j, p)""")
+            steps.append(f"""c{i + 1} AS MATERIALIZED (
+        SELECT c.j, coalesce(n.c, c.c) AS c FROM c{i} c LEFT JOIN (
+          SELECT j, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY p) AS c FROM m{i} GROUP BY j) n ON n.j = c.j)""")
+    return f"""
+      WITH {', '.join(steps)}
+      SELECT vec_id, CAST(a.j AS INT) AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY a.j) AS BIGINT) AS cluster_inertia,
+        CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+      FROM a{rounds} a JOIN c{rounds} c ON c.j = a.j"""
+
+
 ORACLES = {
     "op4_exact_dedup": """
       WITH d AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS h FROM documents)
@@ -109,4 +150,17 @@ ORACLES = {
       SELECT page_id, n AS payload_bytes, d AS payload_digest,
         CASE WHEN n >= 1000 AND page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
         CASE WHEN n >= 1000 AND page_id < last THEN last END AS refers_to FROM w""",
+    "op11_centroids": _centroids_sql(3),
+    "op13_infill": r"""
+      WITH d AS (
+        SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u, sha256(concat('7:', doc_id)) AS h FROM documents),
+        e AS (SELECT *, len(u) AS n, CAST(concat('0x', substr(h, 1, 8)) AS BIGINT) AS h1, CAST(concat('0x', substr(h, 9, 8)) AS BIGINT) AS h2,
+          CAST(concat('0x', substr(h, 25, 8)) AS BIGINT) AS h4 FROM d),
+        f AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+          CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM e),
+        g AS (SELECT *, array_to_string(list_slice(u, 1, a), '') AS p, array_to_string(list_slice(u, a + 1, b), '') AS m,
+          array_to_string(list_slice(u, b + 1, n), '') AS s FROM f)
+      SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+        sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN concat('<P>', p, '<S>', s, '<M>', m) ELSE concat('<S>', s, '<P>', p, '<M>', m) END) AS output_sha256,
+        sha256(t) AS restored_sha256 FROM g""",
 }

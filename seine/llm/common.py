@@ -28,6 +28,16 @@ def small_batches(spark: SparkSession, rows: int = TEXT_BATCH_ROWS) -> None:
         spark.conf.set(BATCH_ROWS_KEY, str(rows))
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = TEXT_BATCH_ROWS) -> Iterator[pa.RecordBatch]:
+    """Batches of at most ``rows`` rows, so that what a worker makes of whole texts stays small.
+
+    Spark bounds the bytes of the batches it sends (spark.sql.execution.arrow.maxBytesPerBatch).
+    """
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def text_bytes(name: str = "text"):
     """A text column as its bytes; null counts as empty."""
     return F.coalesce(F.col(name).cast("binary"), F.lit(b"")).alias(name)
