@@ -8,10 +8,9 @@ similarity of what is left is computed in full. A line
 is removed if an earlier one, by doc_id and line number, is similar enough, whether that
 one is itself removed or not.
 
-A prefix token of very many sets would make all pairs of a group of near copies, whose
-verdict is the same. Its sets are first compared with a few early ones of the token and
-of about their length; those similar to one are removed, and only the others look for an
-earlier match among all sets of the token.
+A group of near copies would make all its pairs, whose verdicts are the same. So every line
+is first compared with a few before it that share a rare token and about its length; those
+similar to one are settled, and only the others look for an earlier match among all lines.
 
 Lines with equal tokens are one set, which its first occurrence stands for. Rarity comes
 from a fixed number of counters over hashed tokens: any one order is exact, and a bounded
@@ -23,20 +22,21 @@ from __future__ import annotations
 import math
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .common import marked
 
 PERCENT = 80
-COUNTERS = 1 << 16
+COUNTERS = 1 << 18
 # A prefix is longer by one token per so many, and pairs must share as many tokens more.
 MORE = 32
-# Sets on a prefix token of more sets than this meet pivots before they meet each other.
-FREQUENT = 256
-# Pivots of a token and length: the earliest sets of so many parts.
-PIVOTS = 8
+# Tokens of a set on each of which it is first compared with one of so many sets before it.
+TRIED_TOKENS = 5
+BEFORE = 8
+# Words seen more than 2 to this power times have early sets of their own in parts of about so many sets.
+PART_BITS = 12
 BLANKS = " \t\r\f\x0b"
 
 
@@ -74,44 +74,49 @@ def _counters(documents: DataFrame) -> DataFrame:
     places = documents.sparkSession.range(COUNTERS).select(F.col("id").cast("int").alias("place"))
     every = places.join(counts, "place", "left").select("place", F.coalesce("n", F.lit(0)).alias("n"))
     # Rarity by powers of two, at most 62; the packed order then is a few bits and the hash.
-    rank = F.floor(F.log2(F.col("n") + 1)).cast("long")
+    rank = F.floor(F.log2(F.col("n") + 1)).cast("tinyint")
     return every.agg(F.transform(F.array_sort(F.collect_list(F.struct("place", rank.alias("rank")))), lambda x: x["rank"]).alias("ranks"))
 
 
-def _lines(documents: DataFrame) -> DataFrame:
+def _ranked(rows: DataFrame, view: str) -> DataFrame:
+    """``rows`` of lines with their tokens in order of rarity and the id of their set.
+
+    The one row of ranks is a scalar subquery: a constant of fixed size in the plan.
+    """
+    kept = [c for c in rows.columns if c != "line"]
+    rare = rows.select(*kept, tokens().alias("tokens"), F.expr(f"(SELECT ranks FROM {view})").alias("ranks"))
+    order = f"transform(tokens, t -> shiftleft(cast(ranks[cast(pmod(t, {COUNTERS}) as int)] as bigint), 58) | shiftrightunsigned(t, 6))"
+    return rare.selectExpr(*kept, f"sort_array({order}) AS tokens").selectExpr(*kept, "tokens", "xxhash64(tokens) AS set_id")
+
+
+def _lines(documents: DataFrame, view: str) -> DataFrame:
     """Every line with words: its place, the id and size of its set, a map of the tokens and the prefix of their order."""
-    view = f"rarity_{uuid.uuid4().hex}"
-    cut_lineage(_counters(documents), "rarity").createOrReplaceTempView(view)
-    # The one row of ranks is a scalar subquery: a constant of fixed size in the plan.
-    rare = worded_lines(documents).select("doc_id", "text_id", "line_no", tokens().alias("tokens"), F.expr(f"(SELECT ranks FROM {view})").alias("ranks"))
-    ordered = rare.selectExpr(
-        "doc_id", "text_id", "line_no",
-        f"sort_array(transform(tokens, t -> shiftleft(ranks[cast(pmod(t, {COUNTERS}) as int)], 58) | shiftrightunsigned(t, 6))) AS tokens",
-    )
-    return ordered.selectExpr(
-        "doc_id", "text_id", "line_no", "xxhash64(tokens) AS set_id", "size(tokens) AS n",
+    return _ranked(worded_lines(documents), view).selectExpr(
+        "doc_id", "text_id", "line_no", "set_id", "size(tokens) AS n",
         "aggregate(tokens, 0L, (a, t) -> a ^ shiftleft(1L, cast(t & 63 as int))) AS bits",
         f"slice(tokens, 1, size(tokens) - {_ceil(f'size(tokens) * {PERCENT}', 100)} + 1 + cast(size(tokens) div {MORE} as int)) AS prefix",
     )
 
 
-def _close() -> str:
+def _close(positions: bool = True) -> str:
     """The length, positional and map filters on rows x and y of one prefix token."""
     less, need = "least(x.n, y.n)", _ceil(f"{PERCENT} * (x.n + y.n)", 100 + PERCENT)
-    return (
-        f"100 * {less} >= {PERCENT} * greatest(x.n, y.n) AND least(x.n - x.pos, y.n - y.pos) >= {need} - {less} div {MORE} "
-        f"AND x.n + y.n - bit_count(x.bits ^ y.bits) >= 2 * {need}"
-    )
+    tests = [f"100 * {less} >= {PERCENT} * greatest(x.n, y.n)", f"x.n + y.n - bit_count(x.bits ^ y.bits) >= 2 * {need}"]
+    if positions:
+        tests.insert(1, f"least(x.n - x.pos, y.n - y.pos) >= {need} - {less} div {MORE}")
+    return " AND ".join(tests)
+
 
+def _verified(pairs: DataFrame, documents: DataFrame, firsts: DataFrame, view: str) -> DataFrame:
+    """set_id and match of ``pairs`` (a, b) that are similar: the later set's, and where the earlier first stands.
 
-def _verified(pairs: DataFrame, documents: DataFrame, sets: DataFrame) -> DataFrame:
-    """set_id, first and match of ``pairs`` (a, b) that are similar: the later set's, and where the earlier stands."""
-    asked = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct().join(sets, "set_id")
-    asked = cut_lineage(asked.select("set_id", "first.doc_id", "text_id", "first.line_no"), "line_asked")
-    rows = worded_lines(documents).where(marked(asked, "doc_id", "text_id", "line_no")).select("doc_id", "text_id", "line_no", tokens().alias("tokens"))
-    x, y = asked.alias("x"), rows.alias("y")
-    found = x.join(y, F.expr("x.doc_id <=> y.doc_id AND x.text_id = y.text_id AND x.line_no = y.line_no"))
-    found = found.select("set_id", F.struct("x.doc_id", "x.line_no").alias("first"), "tokens").dropDuplicates(["set_id"])
+    Only the lines asked for are cut into words again, and only their documents into lines.
+    """
+    asked = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct().join(firsts, "set_id")
+    asked = cut_lineage(asked.select("set_id", "first", "first.doc_id", "first.line_no"), "line_asked")
+    some = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(marked(asked, "doc_id"))
+    rows = worded_lines(some).where(marked(asked, "doc_id", "line_no")).select("line")
+    found = _ranked(rows, view).join(asked.select("set_id", "first"), "set_id").dropDuplicates(["set_id"])
     found = cut_lineage(found, "line_tokens")
     one = pairs.join(found.select(F.col("set_id").alias("a"), F.col("tokens").alias("s"), F.col("first").alias("f")), "a")
     both = one.join(found.select(F.col("set_id").alias("b"), F.col("tokens").alias("t"), F.col("first").alias("g")), "b")
@@ -122,45 +127,60 @@ def _verified(pairs: DataFrame, documents: DataFrame, sets: DataFrame) -> DataFr
     return cut_lineage(matches, "line_matches")
 
 
+def _early_pairs(reps: DataFrame) -> DataFrame:
+    """Pairs (a, b) of a set and one before it with which it shares a token and about its length.
+
+    Of a prefix the tokens of least hash are tried, which near copies are likely to share
+    whatever rare words each has of its own; on each, of the sets just before and the first
+    one, that of the most similar map. The turned token begins with its hash and ends with
+    its rarity, which bounds the sets it is in: those of a frequent one are dealt to parts.
+    """
+    turned = f"slice(sort_array(transform(prefix, t -> shiftleft(t, 6) | shiftrightunsigned(t, 58))), 1, {TRIED_TOKENS})"
+    rows = reps.selectExpr(
+        "struct(set_id, n, bits) AS y", "first", f"explode({turned}) AS token", f"cast(floor(ln(n) / {math.log(100 / PERCENT)}) as int) AS band"
+    ).withColumn("part", F.expr(f"pmod(xxhash64(y.set_id), shiftleft(1L, cast(greatest((token & 63) - {PART_BITS}, 0) as int)))"))
+    order = Window.partitionBy("token", "band", "part").orderBy("first", "y.set_id")
+    some = F.array_append(F.collect_list("y").over(order.rowsBetween(-BEFORE, -1)), F.first("y").over(order))
+    near = f"filter(some, x -> x.set_id <> y.set_id AND {_close(False)})"
+    best = f"array_min(transform({near}, x -> struct(bit_count(x.bits ^ y.bits) AS apart, x.set_id)))"
+    tried = rows.select("y", some.alias("some")).where(F.size("some") > 1).selectExpr(f"{best}.set_id AS a", "y.set_id AS b")
+    return tried.where("a IS NOT NULL").distinct()
+
+
 def similar_lines(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Every line with words (doc_id, text_id, line_no, set_id), and every set: set_id, first place, and match.
+    """Every line with words (doc_id, text_id, line_no, set_id, ...), and the sets of several lines or with a match.
 
-    The match is the place of an earlier set that is similar, null if there is none.
+    The latter are set_id, the first place, and match: the place of an earlier set that is
+    similar, null if there is none.
     """
-    lines = cut_lineage(_lines(documents), "lines")
-    sets = lines.groupBy("set_id").agg(
-        F.min(F.struct("doc_id", "line_no", "text_id")).alias("place"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix")
-    )
-    first = F.struct("place.doc_id", "place.line_no").alias("first")
-    sets = cut_lineage(sets.select("set_id", first, "place.text_id", "n", "bits", "prefix"), "line_sets")
-    firsts = sets.select("set_id", "first")
-
-    met = sets.select("set_id", "n", "bits", F.posexplode("prefix").alias("pos", "token"))
-    frequent = cut_lineage(met.groupBy("token").agg(F.count("*").alias("c")).where(F.col("c") > FREQUENT).select("token"), "frequent_tokens")
-    often = marked(frequent, "token")
-
-    # Sets on frequent tokens first meet some early ones of their token and length, which settles copies of one line.
-    hot = sets.select("set_id", "n", "bits", "first", F.posexplode("prefix").alias("pos", "token")).where(often)
-    hot = cut_lineage(hot.withColumn("band", F.floor(F.log(F.col("n")) / math.log(100 / PERCENT)).cast("int")), "frequent")
-    part = F.pmod(F.xxhash64("set_id"), F.lit(PIVOTS)).alias("part")
-    pivots = hot.groupBy("token", "band", part).agg(F.min_by(F.struct("set_id", "n", "bits", "pos", "first"), "first").alias("p"))
-    pivots = pivots.select("token", "band", "p.*")
-    x, y = pivots.alias("x"), hot.alias("y")
-    tried = x.join(y, F.expr(f"x.token = y.token AND x.band = y.band AND x.first < y.first AND {_close()}")).selectExpr("x.set_id AS a", "y.set_id AS b")
-    settled = _verified(cut_lineage(tried.distinct(), "pivot_pairs"), documents, sets)
-
-    # The others meet every earlier set of their frequent tokens, and on other tokens all sets meet.
-    x, y = hot.alias("x"), hot.join(settled.select("set_id"), "set_id", "left_anti").alias("y")
-    pairs = x.join(y, F.expr(f"x.token = y.token AND x.first < y.first AND {_close()}"))
-    pairs = pairs.selectExpr("least(x.set_id, y.set_id) AS a", "greatest(x.set_id, y.set_id) AS b", f"least(x.n, y.n) div {MORE} AS more")
-    rest = met.where(~often)
-    x, y = rest.alias("x"), rest.alias("y")
-    pairs = pairs.union(x.join(y, F.expr(f"x.token = y.token AND x.set_id < y.set_id AND {_close()}")).selectExpr("x.set_id AS a", "y.set_id AS b", f"least(x.n, y.n) div {MORE} AS more"))
+    view = f"rarity_{uuid.uuid4().hex}"
+    cut_lineage(_counters(documents), "rarity").createOrReplaceTempView(view)
+    lines = cut_lineage(_lines(documents, view), "lines")
+    here = F.struct("doc_id", "line_no")
+    firsts = cut_lineage(lines.groupBy("set_id").agg(F.min(here).alias("first"), F.count("*").alias("copies")), "line_sets")
+    several = firsts.where("copies > 1").select("set_id", "first")
+    # A set's first line stands for it; repeated rows of its document do as well, which adds nothing.
+    reps = lines.select("set_id", "n", "bits", "prefix", here.alias("here")).join(several, "set_id", "left")
+    reps = reps.where("first IS NULL OR first <=> here").select("set_id", "n", "bits", "prefix", F.col("here").alias("first"))
+
+    firsts = firsts.select("set_id", "first")
+    settled = _verified(cut_lineage(_early_pairs(reps), "early_pairs"), documents, firsts, view)
+
+    # The others meet one another, and settled ones that do not stand in a later document, on every prefix token.
+    mark = settled.select("set_id", F.lit(True).alias("settled"))
+    rows = reps.join(mark, "set_id", "left").select("set_id", "n", "bits", F.col("first.doc_id").alias("doc"), "settled", F.posexplode("prefix").alias("pos", "token"))
+    rows = rows.withColumn("doc", F.coalesce("doc", F.lit(-(2**63))))
+    open_rows, done_rows = rows.where("settled IS NULL").drop("settled"), rows.where("settled").drop("settled")
+    pair = ["least(x.set_id, y.set_id) AS a", "greatest(x.set_id, y.set_id) AS b", f"least(x.n, y.n) div {MORE} AS more"]
+    x, y, z = open_rows.alias("x"), open_rows.alias("y"), done_rows.alias("x")
+    pairs = x.join(y, F.expr(f"x.token = y.token AND x.set_id < y.set_id AND {_close()}")).selectExpr(*pair)
+    pairs = pairs.union(z.join(y, F.expr(f"x.token = y.token AND x.doc <= y.doc AND {_close()}")).selectExpr(*pair))
     shared = pairs.groupBy("a", "b").agg(F.count("*").alias("shared"), F.first("more").alias("more"))
-    found = _verified(cut_lineage(shared.where("shared > more").select("a", "b"), "line_pairs"), documents, sets)
+    found = _verified(cut_lineage(shared.where("shared > more").select("a", "b"), "line_pairs"), documents, firsts, view)
 
-    matches = settled.union(found).groupBy("set_id").agg(F.min("match").alias("match"))
-    return lines.select("doc_id", "text_id", "line_no", "set_id"), firsts.join(matches, "set_id", "left")
+    matches = cut_lineage(settled.union(found).groupBy("set_id").agg(F.min("match").alias("match")), "line_verdicts")
+    alone = several.join(matches, "set_id", "left_anti").withColumn("match", F.lit(None).cast(matches.schema["match"].dataType))
+    return lines, alone.unionByName(firsts.join(matches, "set_id"))
 
 
 def _ceil(value: str, divisor: int) -> str:
@@ -175,41 +195,37 @@ def removed_lines(documents: DataFrame) -> DataFrame:
     """
     lines, sets = similar_lines(documents)
     here = F.struct("doc_id", "line_no")
-    joined = lines.join(sets, "set_id")
+    joined = lines.select("doc_id", "text_id", "line_no", "set_id").join(sets, "set_id")
     gone = joined.where((here > F.col("first")) | (F.col("match") < here))
     like = F.least("first", "match")
     return gone.select("doc_id", "text_id", "line_no", like["doc_id"].alias("like_doc_id"), like["line_no"].alias("like_line_no"))
 
 
-def _judged(documents: DataFrame) -> DataFrame:
-    """The documents, every column kept, with ``_lines`` of the text, ``_gone`` and ``_kept``, line numbers in order.
-
-    A null text has no lines.
-    """
-    gone = removed_lines(documents).groupBy("doc_id", "text_id").agg(F.array_sort(F.collect_set("line_no")).alias("_gone"))
-    gone = cut_lineage(gone.withColumnsRenamed({"doc_id": "_d", "text_id": "_t"}), "lines_gone")
-    own, text_id = F.col("doc_id").cast("long"), F.xxhash64("text")
-    # Texts without a removed line need no join, so they are not exchanged.
-    touched = F.col("text").isNotNull() & marked(gone, "_d", "_t")
-    keyed = documents.withColumns({"_d": own, "_t": text_id}).withColumn("_touched", touched)
-    found = keyed.where("_touched").withColumnsRenamed({"_d": "_own_d", "_t": "_own_t"})
-    found = found.join(gone, F.expr("_own_d <=> _d AND _own_t = _t"), "left").select(*documents.columns, "_gone")
-    whole = keyed.where("NOT _touched").select(*documents.columns, F.lit(None).cast("array<int>").alias("_gone"))
-    rows = found.union(whole).withColumns({
-        "_lines": F.when(F.col("text").isNotNull(), F.split("text", "\n", -1)), "_gone": F.coalesce("_gone", F.array().cast("array<int>")),
-    })
-    every = F.when(F.col("text").isNull(), F.array().cast("array<int>")).otherwise(F.sequence(F.lit(0), F.size("_lines") - 1))
-    return rows.withColumn("_kept", F.array_except(every, F.col("_gone")))
+def _gone(documents: DataFrame) -> DataFrame:
+    """The sorted numbers of the lines to remove of every text that loses any: doc_id, text_id, gone."""
+    gone = removed_lines(documents).groupBy("doc_id", "text_id").agg(F.array_sort(F.collect_set("line_no")).alias("gone"))
+    return cut_lineage(gone, "lines_gone")
 
 
 def without_lines(documents: DataFrame) -> DataFrame:
     """The documents, every row and column kept, their texts without the lines to remove.
 
-    A text all of whose lines go is empty; a null text stays null.
+    A text all of whose lines go is empty; a null text stays null. Columns beyond doc_id and
+    text may have any name.
     """
-    text = F.array_join(F.transform("_kept", lambda i: F.col("_lines")[i]), "\n")
-    rows = _judged(documents).withColumn("text", F.when(F.col("text").isNotNull(), text))
-    return rows.select(*documents.columns)
+    names = documents.columns
+    gone = _gone(documents.select("doc_id", "text"))
+    plain = documents.toDF(*[n if n in ("doc_id", "text") else f"c{i}" for i, n in enumerate(names)])
+    keyed = plain.withColumns({"own_id": F.col("doc_id").cast("long"), "own_text": F.xxhash64("text")})
+    keys = gone.select(F.col("doc_id").alias("own_id"), F.col("text_id").alias("own_text"))
+    # Texts without a removed line need no join, so they are not exchanged.
+    touched = F.col("text").isNotNull() & marked(keys, "own_id", "own_text")
+    held = gone.select(F.col("doc_id").alias("lost_id"), F.col("text_id").alias("lost_text"), "gone")
+    met = keyed.where(touched).join(held, F.expr("own_id <=> lost_id AND own_text = lost_text"), "left")
+    cut = met.withColumn("parts", F.split("text", "\n", -1)).withColumn("stay", F.expr("array_except(sequence(0, size(parts) - 1), gone)"))
+    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.expr("array_join(transform(stay, i -> parts[i]), '\n')"))
+    whole = keyed.where(~touched).select(*plain.columns)
+    return whole.union(cut.withColumn("text", text).select(*plain.columns)).toDF(*names)
 
 
 def clean(documents: DataFrame) -> DataFrame:
@@ -218,11 +234,11 @@ def clean(documents: DataFrame) -> DataFrame:
     Rows that share a doc_id are taken together; a document without text has no lines.
     ``without_lines`` gives the texts themselves.
     """
-    rows = _judged(documents.select("doc_id", "text")).select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.size("_kept").alias("kept"), F.size("_gone").alias("gone"), F.posexplode_outer("_gone").alias("pos", "line_no")
-    )
-    # A row's numbers count with its first removed line, or without any.
-    once = lambda n: F.sum(F.when(F.coalesce("pos", F.lit(0)) == 0, n).otherwise(0))
-    return rows.groupBy("doc_id").agg(
-        once(F.col("kept") + F.col("gone")).alias("n_lines"), once(F.col("kept")).alias("n_kept"), F.array_sort(F.collect_set("line_no")).alias("removed")
-    )
+    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1)
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_id"), n_lines.cast("long").alias("n_lines"))
+    texts = rows.groupBy("doc_id", "text_id").agg(F.sum("n_lines").alias("n_lines"), F.count("*").alias("rows"))
+    held = _gone(documents.select("doc_id", "text")).select(F.col("doc_id").alias("lost_id"), F.col("text_id").alias("lost_text"), "gone")
+    met = texts.join(held, F.expr("doc_id <=> lost_id AND text_id = lost_text"), "left")
+    kept = F.col("n_lines") - F.col("rows") * F.coalesce(F.size("gone"), F.lit(0))
+    removed = F.array_sort(F.array_distinct(F.flatten(F.collect_list("gone"))))
+    return met.withColumn("n_kept", kept).groupBy("doc_id").agg(F.sum("n_lines").alias("n_lines"), F.sum("n_kept").alias("n_kept"), removed.alias("removed"))
