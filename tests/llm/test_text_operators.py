@@ -93,7 +93,8 @@ def test_exact_index(spark, docs):
 
 @pytest.mark.parametrize("frequent", [3, 1000])
 def test_line_dedup_against_all_pairs(spark, monkeypatch, frequent):
-    monkeypatch.setattr(lines, "FREQUENT", frequent)
+    monkeypatch.setattr(lines, "PART_BITS", frequent)
+    monkeypatch.setattr(lines, "BEFORE", frequent)
     rng = random.Random(5)
     words = [f"t{i}" for i in range(40)]
     base = [" ".join(rng.sample(words, rng.randint(1, 20))) for _ in range(25)] + [" ".join(f"z{i}" for i in range(300))]
@@ -117,7 +118,8 @@ def test_line_dedup_against_all_pairs(spark, monkeypatch, frequent):
 @pytest.mark.parametrize("frequent", [1, 1000])
 def test_line_dedup_of_rows_without_an_id(spark, monkeypatch, frequent):
     """Near copies of a line that first stands in one of several rows with a null doc_id go too."""
-    monkeypatch.setattr(lines, "FREQUENT", frequent)
+    monkeypatch.setattr(lines, "PART_BITS", frequent)
+    monkeypatch.setattr(lines, "BEFORE", frequent)
     base, other = [f"a{i}" for i in range(10)], [f"b{i}" for i in range(10)]
     texts = [(None, " ".join(base) + "\nonly here"), (None, " ".join(other) + "\nmore text"), (1, " ".join(base[:9])), (2, "x y z\n" + " ".join(other[1:]))]
     got = lines.clean(spark.createDataFrame(texts, "doc_id long, text string")).collect()
@@ -134,6 +136,10 @@ def test_texts_without_their_removed_lines(spark):
     assert got.columns == table.columns
     want = [(1, "\nown", "p"), (2, "x\ny\n", "q"), (3, "", None), (4, "rest", "r"), (4, "other", "s"), (4, "other", "t"), (5, None, "u"), (6, "", "v"), (None, f"{line} six\nno id", "w"), (None, "second", "x")]
     assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+    names = ["doc_id", "text", "_gone"]
+    clash = table.toDF(*names).withColumns({c: F.lit(i) for i, c in enumerate(["gone", "parts", "stay", "own_id", "lost_text", "c0", "_d", "first"])})
+    assert sorted(map(repr, map(tuple, lines.without_lines(clash).select(*names).collect()))) == sorted(map(repr, want))
+    assert lines.without_lines(clash).columns == clash.columns and lines.clean(table.limit(0)).count() == 0
     counts = {r.doc_id: (r.n_lines, r.n_kept, r.removed) for r in lines.clean(table).collect()}
     assert counts == {1: (3, 2, [0]), 2: (4, 3, [1]), 3: (1, 0, [0]), 4: (6, 3, [0, 1]), 5: (0, 0, []), 6: (1, 1, []), None: (3, 3, [])}
 
