@@ -29,11 +29,11 @@ from ..session import cut_lineage
 from .common import marked
 
 PERCENT = 80
-COUNTERS = 1 << 18
+COUNTERS = 1 << 16
 # A prefix is longer by one token per so many, and pairs must share as many tokens more.
 MORE = 32
 # Tokens of a set on each of which it is first compared with one of so many sets before it.
-TRIED_TOKENS = 5
+TRIED_TOKENS = 3
 BEFORE = 8
 # Words seen more than 2 to this power times have early sets of their own in parts of about so many sets.
 PART_BITS = 12
@@ -51,14 +51,11 @@ def line_rows(documents: DataFrame) -> DataFrame:
     return rows.select("doc_id", "text_id", F.posexplode("lines").alias("line_no", "line"))
 
 
-def words(line="line"):
-    """The words of a line, which ASCII white space divides; of a line without words, one empty word."""
-    return F.split(F.btrim(F.lower(line), F.lit(BLANKS)), f"[{BLANKS}]+", -1)
-
-
-def tokens(line="line"):
-    """Distinct 64-bit hashes of a line's words."""
-    return F.array_distinct(F.transform(words(line), lambda w: F.xxhash64(w)))
+def words() -> str:
+    """The words of a line, which ASCII white space divides; most lines hold no other than the space."""
+    other = " OR ".join(f"contains(line, '{c}')" for c in BLANKS[1:])
+    plain, rest = "split(lower(line), ' ', -1)", f"split(lower(line), '[{BLANKS}]+', -1)"
+    return f"array_remove(if({other}, {rest}, {plain}), '')"
 
 
 def worded_lines(documents: DataFrame) -> DataFrame:
@@ -74,7 +71,7 @@ def _counters(documents: DataFrame) -> DataFrame:
     places = documents.sparkSession.range(COUNTERS).select(F.col("id").cast("int").alias("place"))
     every = places.join(counts, "place", "left").select("place", F.coalesce("n", F.lit(0)).alias("n"))
     # Rarity by powers of two, at most 62; the packed order then is a few bits and the hash.
-    rank = F.floor(F.log2(F.col("n") + 1)).cast("tinyint")
+    rank = F.floor(F.log2(F.col("n") + 1)).cast("long")
     return every.agg(F.transform(F.array_sort(F.collect_list(F.struct("place", rank.alias("rank")))), lambda x: x["rank"]).alias("ranks"))
 
 
@@ -84,9 +81,9 @@ def _ranked(rows: DataFrame, view: str) -> DataFrame:
     The one row of ranks is a scalar subquery: a constant of fixed size in the plan.
     """
     kept = [c for c in rows.columns if c != "line"]
-    rare = rows.select(*kept, tokens().alias("tokens"), F.expr(f"(SELECT ranks FROM {view})").alias("ranks"))
-    order = f"transform(tokens, t -> shiftleft(cast(ranks[cast(pmod(t, {COUNTERS}) as int)] as bigint), 58) | shiftrightunsigned(t, 6))"
-    return rare.selectExpr(*kept, f"sort_array({order}) AS tokens").selectExpr(*kept, "tokens", "xxhash64(tokens) AS set_id")
+    rare = rows.selectExpr(*kept, f"{words()} AS words", f"(SELECT ranks FROM {view}) AS ranks")
+    order = f"transform(words, w -> shiftleft(ranks[cast(pmod(xxhash64(w), {COUNTERS}) as int)], 58) | shiftrightunsigned(xxhash64(w), 6))"
+    return rare.selectExpr(*kept, f"sort_array(array_distinct({order})) AS tokens").selectExpr(*kept, "tokens", "xxhash64(tokens) AS set_id")
 
 
 def _lines(documents: DataFrame, view: str) -> DataFrame:
@@ -98,13 +95,18 @@ def _lines(documents: DataFrame, view: str) -> DataFrame:
     )
 
 
-def _close(positions: bool = True) -> str:
-    """The length, positional and map filters on rows x and y of one prefix token."""
-    less, need = "least(x.n, y.n)", _ceil(f"{PERCENT} * (x.n + y.n)", 100 + PERCENT)
-    tests = [f"100 * {less} >= {PERCENT} * greatest(x.n, y.n)", f"x.n + y.n - bit_count(x.bits ^ y.bits) >= 2 * {need}"]
-    if positions:
-        tests.insert(1, f"least(x.n - x.pos, y.n - y.pos) >= {need} - {less} div {MORE}")
-    return " AND ".join(tests)
+def _close(x_n: str = "x.n", y_n: str = "y.n") -> str:
+    """The length and map filters on sets x and y."""
+    need = _ceil(f"{PERCENT} * ({x_n} + {y_n})", 100 + PERCENT)
+    return f"100 * least({x_n}, {y_n}) >= {PERCENT} * greatest({x_n}, {y_n}) AND {x_n} + {y_n} - bit_count(x.bits ^ y.bits) >= 2 * {need}"
+
+
+def _close_on_token() -> str:
+    """The length, positional and map filters on rows x and y of one prefix token, whose ``at`` packs size and position."""
+    size, pos = (lambda r: f"cast(shiftright({r}.at, 32) as int)"), (lambda r: f"cast({r}.at & 2147483647 as int)")
+    less, need = f"least({size('x')}, {size('y')})", _ceil(f"{PERCENT} * ({size('x')} + {size('y')})", 100 + PERCENT)
+    left = f"least({size('x')} - {pos('x')}, {size('y')} - {pos('y')})"
+    return f"{left} >= {need} - {less} div {MORE} AND {_close(size('x'), size('y'))}"
 
 
 def _verified(pairs: DataFrame, documents: DataFrame, firsts: DataFrame, view: str) -> DataFrame:
@@ -137,13 +139,16 @@ def _early_pairs(reps: DataFrame) -> DataFrame:
     """
     turned = f"slice(sort_array(transform(prefix, t -> shiftleft(t, 6) | shiftrightunsigned(t, 58))), 1, {TRIED_TOKENS})"
     rows = reps.selectExpr(
-        "struct(set_id, n, bits) AS y", "first", f"explode({turned}) AS token", f"cast(floor(ln(n) / {math.log(100 / PERCENT)}) as int) AS band"
-    ).withColumn("part", F.expr(f"pmod(xxhash64(y.set_id), shiftleft(1L, cast(greatest((token & 63) - {PART_BITS}, 0) as int)))"))
-    order = Window.partitionBy("token", "band", "part").orderBy("first", "y.set_id")
-    some = F.array_append(F.collect_list("y").over(order.rowsBetween(-BEFORE, -1)), F.first("y").over(order))
-    near = f"filter(some, x -> x.set_id <> y.set_id AND {_close(False)})"
+        "set_id", "n", "bits", "first.doc_id AS doc", f"explode({turned}) AS token", f"cast(floor(ln(n) / {math.log(100 / PERCENT)}) as int) AS band"
+    )
+    part = f"pmod(xxhash64(set_id), shiftleft(1L, cast(greatest((token & 63) - {PART_BITS}, 0) as int)))"
+    rows = rows.selectExpr(f"xxhash64(token, band, {part}) AS key", "set_id", "n", "bits", "doc")
+    order = Window.partitionBy("key").orderBy("doc", "set_id")
+    y = F.struct("set_id", "n", "bits")
+    some = F.array_append(F.collect_list(y).over(order.rowsBetween(-BEFORE, -1)), F.first(y).over(order))
+    near = f"filter(some, x -> x.set_id <> y.set_id AND {_close()})"
     best = f"array_min(transform({near}, x -> struct(bit_count(x.bits ^ y.bits) AS apart, x.set_id)))"
-    tried = rows.select("y", some.alias("some")).where(F.size("some") > 1).selectExpr(f"{best}.set_id AS a", "y.set_id AS b")
+    tried = rows.select(y.alias("y"), some.alias("some")).where(F.size("some") > 1).selectExpr(f"{best}.set_id AS a", "y.set_id AS b")
     return tried.where("a IS NOT NULL").distinct()
 
 
@@ -168,13 +173,13 @@ def similar_lines(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     # The others meet one another, and settled ones that do not stand in a later document, on every prefix token.
     mark = settled.select("set_id", F.lit(True).alias("settled"))
-    rows = reps.join(mark, "set_id", "left").select("set_id", "n", "bits", F.col("first.doc_id").alias("doc"), "settled", F.posexplode("prefix").alias("pos", "token"))
-    rows = rows.withColumn("doc", F.coalesce("doc", F.lit(-(2**63))))
+    rows = reps.join(mark, "set_id", "left").select("set_id", "n", "bits", "first", "settled", F.posexplode("prefix").alias("pos", "token"))
+    rows = rows.selectExpr("settled", "token", "set_id", "bits", "shiftleft(cast(n as bigint), 32) | pos AS at", f"coalesce(first.doc_id, {-(2**63) + 1}L - 1) AS doc")
     open_rows, done_rows = rows.where("settled IS NULL").drop("settled"), rows.where("settled").drop("settled")
-    pair = ["least(x.set_id, y.set_id) AS a", "greatest(x.set_id, y.set_id) AS b", f"least(x.n, y.n) div {MORE} AS more"]
+    pair = ["least(x.set_id, y.set_id) AS a", "greatest(x.set_id, y.set_id) AS b", f"least(shiftright(x.at, 32), shiftright(y.at, 32)) div {MORE} AS more"]
     x, y, z = open_rows.alias("x"), open_rows.alias("y"), done_rows.alias("x")
-    pairs = x.join(y, F.expr(f"x.token = y.token AND x.set_id < y.set_id AND {_close()}")).selectExpr(*pair)
-    pairs = pairs.union(z.join(y, F.expr(f"x.token = y.token AND x.doc <= y.doc AND {_close()}")).selectExpr(*pair))
+    pairs = x.join(y, F.expr(f"x.token = y.token AND x.set_id < y.set_id AND {_close_on_token()}")).selectExpr(*pair)
+    pairs = pairs.union(z.join(y, F.expr(f"x.token = y.token AND x.doc <= y.doc AND {_close_on_token()}")).selectExpr(*pair))
     shared = pairs.groupBy("a", "b").agg(F.count("*").alias("shared"), F.first("more").alias("more"))
     found = _verified(cut_lineage(shared.where("shared > more").select("a", "b"), "line_pairs"), documents, firsts, view)
 
