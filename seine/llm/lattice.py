@@ -7,7 +7,7 @@ neighbouring cells it is nearest to. Vectors that meet in a cell are compared by
 in double precision, block against block inside a task, so that pairs are counted and
 never written out; a pair that meets in several cells counts in one of them only.
 
-Equal vectors form a class, which its least vec_id stands for. With the default settings
+Equal vectors of a label form a class, which has a number and its least vec_id. With the default settings
 a pair of cosine 0.98 meets with probability above 0.99, a closer one more surely.
 """
 
@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.ranked import rank_all
 from ..session import cut_lineage
 from .common import small_batches
 from .components import components
@@ -201,14 +202,15 @@ def near_duplicates(embeddings: DataFrame, settings: Settings = Settings()) -> D
     """vec_id, n_links, component_id and kept of every row of ``embeddings`` (vec_id, embedding, label).
 
     Rows that link with nothing are components of their own. Rows that repeat a vec_id
-    are vectors of their own in the counts; in components they are one.
+    are vectors of their own in the counts; in components they are one. A row without a
+    vec_id links with nothing and is kept.
     """
     small_batches(embeddings.sparkSession)
     rows = cut_lineage(prepare(embeddings), "vectors")
     valid = rows.where("digest IS NOT NULL AND vec_id IS NOT NULL")
-    classes = valid.groupBy("label", "digest").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
-    classes = cut_lineage(classes, "vector_classes")
-    units = valid.select("label", "digest", F.col("vec_id").alias("rep"), "unit").join(classes, ["label", "digest", "rep"]).dropDuplicates(["label", "digest"])
+    classes = valid.groupBy("label", "digest").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies"))
+    classes = cut_lineage(rank_all(classes, [F.col("label"), F.col("digest")], "rep"), "vector_classes")
+    units = valid.select("label", "digest", "vec_id", "unit").join(classes, ["label", "digest", "vec_id"]).dropDuplicates(["rep"])
     placed = cut_lineage(place(units, settings), "placed")
 
     own = placed.select("rep", F.posexplode("own").alias("table", "cell"), F.lit(True).alias("home"))
@@ -233,10 +235,17 @@ def near_duplicates(embeddings: DataFrame, settings: Settings = Settings()) -> D
         return pa.table({"a": pa.array(a), "n": pa.array(n), "b": pa.array(b, pa.int64())})
 
     found = cut_lineage(members.groupBy("table", "cell", "i", "j").applyInArrow(run, "a long, n long, b long"), "links")
-    labels = components(found.where("b IS NOT NULL").select("a", "b"))
+    # The classes of rows that share a vec_id are one in components.
+    named = valid.join(classes.select("label", "digest", "rep"), ["label", "digest"]).select("vec_id", "rep")
+    same = named.groupBy("vec_id").agg(F.min("rep").alias("a"), F.max("rep").alias("m")).where("a < m").select("vec_id", "a")
+    same = same.join(named, "vec_id").where("a <> rep").select("a", F.col("rep").alias("b"))
+    labels = components(found.where("b IS NOT NULL").select("a", "b").union(same))
     counts = found.groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("others"))
-    joined = classes.join(counts, "rep", "left").join(labels.select(F.col("id").alias("rep"), "component_id"), "rep", "left")
-    joined = joined.select("label", "digest", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n"), F.coalesce("component_id", "rep").alias("c"))
+    joined = classes.join(counts, "rep", "left").join(labels.select(F.col("id").alias("rep"), F.col("component_id").alias("component")), "rep", "left")
+    joined = cut_lineage(joined.withColumn("component", F.coalesce("component", "rep")), "vector_components")
+    joined = joined.join(joined.groupBy("component").agg(F.min("vec_id").alias("c")), "component")
+    joined = joined.select("label", "digest", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n"), "c")
     out = rows.select("vec_id", "label", "digest").join(joined, ["label", "digest"], "left")
-    component = F.coalesce("c", "vec_id")
-    return out.select("vec_id", F.coalesce("n", F.lit(0).cast("long")).alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))
+    known = F.col("vec_id").isNotNull()
+    component = F.when(known, F.coalesce("c", "vec_id"))
+    return out.select("vec_id", F.when(known, F.coalesce("n", F.lit(0))).otherwise(0).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))
