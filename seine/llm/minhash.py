@@ -8,7 +8,7 @@ to their Jaccard similarity, and the number of agreements is concentrated like t
 independent hashes or better. Bands of ``rows`` bins give candidates; a pair of
 similarity 0.8 shares one of the 42 bands of 6 but for a chance of 3 in a million.
 
-Sets that are equal form a class, which its least doc_id stands for. Classes that share a
+Sets that are equal form a class, which has a number and its least doc_id. Classes that share a
 band are not paired with each other: each member of a band's group is compared with one
 pivot, on the full sets, and what is linked is joined. Groups that still hold several
 components are then searched whole for links between components, block against block, so
@@ -23,10 +23,11 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
+from ..plans.ranked import rank_all
 from ..session import cut_lineage
 from .common import marked, small_batches, text_bytes
 from .components import components
@@ -107,8 +108,12 @@ def band_keys(rows: np.ndarray, settings: Settings) -> np.ndarray:
     return key.view(np.int64)
 
 
+def set_digest(shingles: np.ndarray) -> bytes:
+    return blake2b(shingles.tobytes(), digest_size=16).digest()
+
+
 def sign(documents: DataFrame, settings: Settings) -> DataFrame:
-    """doc_id, n_shingles, digest of the set and band keys of every row; an empty set has neither."""
+    """doc_id, text_id (a hash), n_shingles, digest of the set and band keys of every row; an empty set has neither of the last two."""
     small_batches(documents.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,31 +125,34 @@ def sign(documents: DataFrame, settings: Settings) -> DataFrame:
             bands: list = [None] * len(sets)
             for i, row in zip(full, keys, strict=True):
                 bands[i] = row
-            digest = [blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
+            digest = [set_digest(s) if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(digest, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "digest", "bands"],
+                [batch.column(0), batch.column(2), pa.array([len(s) for s in sets], pa.int64()), pa.array(digest, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
+                ["doc_id", "text_id", "n_shingles", "digest", "bands"],
             )
 
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes())
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, digest binary, bands array<long>")
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes()).withColumn("text_id", F.xxhash64("text"))
+    return rows.mapInArrow(run, "doc_id long, text_id long, n_shingles long, digest binary, bands array<long>")
 
 
-def sets_of(documents: DataFrame, ids: DataFrame, settings: Settings) -> DataFrame:
-    """rep and shingles (sorted, as bytes) of the documents whose id is in ``ids`` (rep).
+def sets_of(documents: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
+    """rep (the number) and shingles (sorted, as bytes) of ``classes`` (rep, doc_id, digest).
 
-    A map of hashed ids leaves few other texts to shingle; a join leaves exactly those asked for.
+    A map of hashed ids leaves few other texts to shingle, and a map of digests few sets to
+    exchange; the join leaves exactly those asked for.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            sets = [shingle_set(t, settings.shingle, hashes).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["rep", "shingles"])
+            sets = [shingle_set(t, settings.shingle, hashes) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(map(set_digest, sets), pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], ["digest", "shingles"]
+            )
 
-    rows = documents.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("rep"), text_bytes())
-    sets = rows.where(marked(ids, "rep")).mapInArrow(run, "rep long, shingles binary")
-    return sets.join(ids, "rep", "left_semi")
+    rows = documents.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes())
+    sets = rows.where(marked(classes, "doc_id")).mapInArrow(run, "digest binary, shingles binary").where(marked(classes, "digest"))
+    return sets.join(classes.select("digest", "rep"), "digest").dropDuplicates(["rep"]).select("rep", "shingles")
 
 
 def verify(pairs: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
@@ -218,22 +226,28 @@ def bridge(members: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame
     return blocks.join(sets, "rep").groupBy("key", "i", "j").applyInArrow(run, "a long, b long").distinct()
 
 
-def near_duplicates(documents: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of every row of ``documents`` (doc_id, text).
+@dataclass(frozen=True)
+class Linked:
+    """``signed``: rows of ``sign``. ``classes``: digest, rep (a number) and doc_id (the least). ``labels``: id and
+    component_id of the classes that link with any, both numbers."""
 
-    Texts without words link with nothing. Rows that share a doc_id count as one
-    document: what one of them links with, all do. A row without an id is kept and has
-    no component. Repeated rows give repeated results.
-    """
+    signed: DataFrame
+    classes: DataFrame
+    labels: DataFrame
+
+
+def link(documents: DataFrame, settings: Settings = Settings()) -> Linked:
+    """Find the classes of equal sets and join those that link, whatever ids their rows have."""
     signed = cut_lineage(sign(documents, settings), "signed")
     real = signed.where("digest IS NOT NULL AND doc_id IS NOT NULL")
-    classes = cut_lineage(real.groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
+    classes = cut_lineage(rank_all(real.groupBy("digest").agg(F.min("doc_id").alias("doc_id")), [F.col("digest")], "rep"), "classes")
     # One row per class; copies of a class beyond its least id go no further.
-    reps = real.join(classes.select("digest", F.col("rep").alias("doc_id")), ["digest", "doc_id"], "left_semi")
-    keyed = reps.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
+    reps = real.join(classes, ["digest", "doc_id"])
+    keyed = reps.select("rep", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
     shared = keyed.groupBy("key").agg(F.min("rep").alias("x"), F.max("rep").alias("y")).where("x <> y").select("key")
     active = cut_lineage(keyed.join(shared, "key", "left_semi").distinct(), "active")
-    sets = cut_lineage(sets_of(documents, active.select("rep").distinct(), settings), "sets")
+    asked = cut_lineage(classes.join(active.select("rep").distinct(), "rep", "left_semi"), "active_classes")
+    sets = cut_lineage(sets_of(documents, asked, settings), "sets")
 
     # First every member of a band's group meets one pivot, which joins most near copies.
     order = F.xxhash64("rep")
@@ -249,18 +263,68 @@ def near_duplicates(documents: DataFrame, settings: Settings = Settings()) -> Da
     bridges = cut_lineage(bridge(current.join(split.select("key", "size"), "key"), sets, settings), "bridges")
     if not bridges.isEmpty():
         labels = cut_lineage(components(links.union(bridges)), "components")
-    linked = classes.join(labels.select(F.col("id").alias("rep"), "component_id"), "rep", "left")
-    linked = linked.select("digest", F.coalesce("component_id", "rep").alias("component_id"))
-    out = signed.select("doc_id", "n_shingles", "digest").join(linked, "digest", "left")
+    return Linked(signed, classes, labels)
+
+
+def _named(classes: DataFrame, labels: DataFrame) -> DataFrame:
+    """digest, rep, doc_id and component (a number) of every class."""
+    found = classes.join(labels.select(F.col("id").alias("rep"), F.col("component_id").alias("component")), "rep", "left")
+    return found.withColumn("component", F.coalesce("component", "rep"))
+
+
+def near_duplicates(documents: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of every row of ``documents`` (doc_id, text).
+
+    Texts without words link with nothing. Rows that share a doc_id count as one
+    document: what one of them links with, all do. A row without an id is kept and has
+    no component. Repeated rows give repeated results.
+    """
+    linked = link(documents, settings)
+    signed, classes, labels = linked.signed, linked.classes, linked.labels
+    # The classes of one document's rows belong together; few documents have several.
+    several = signed.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.min(F.xxhash64("digest")).alias("x"), F.max(F.xxhash64("digest")).alias("y")
+    ).where("x <> y").select("doc_id")
+    theirs = signed.join(several, "doc_id").join(classes.select("digest", "rep"), "digest")
+    same = cut_lineage(theirs.withColumn("b", F.min("rep").over(Window.partitionBy("doc_id"))).select(F.col("rep").alias("a"), "b").distinct(), "same_document")
+    if not same.isEmpty():
+        labels = cut_lineage(components(same.union(labels.select("id", "component_id"))), "components")
+    named = _named(classes, labels)
+    least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    met = named.join(least, "component").select("digest", "component_id")
+    out = cut_lineage(signed.select("doc_id", "n_shingles", "digest").join(met, "digest", "left"), "components_of_rows")
+    # A row without words goes with its document's other rows.
+    full, empty = out.where("digest IS NOT NULL"), out.where("digest IS NULL").drop("component_id")
+    theirs = full.join(empty.select("doc_id").distinct(), "doc_id").groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
+    out = full.unionByName(empty.join(theirs, "doc_id", "left"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
 def keep_one(documents: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """The rows of ``documents`` that stay, every column untouched: of each component that of the least doc_id."""
-    gone = cut_lineage(near_duplicates(documents, settings).where(~F.col("kept")).select("doc_id").distinct(), "near_copies")
+    """The rows of ``documents`` that stay, every column untouched: one row of each group of texts that link.
+
+    It is a row of the least doc_id of the group. Texts are judged, not ids: of rows that
+    share an id each stays if its text's group has no lesser id. Rows without words, or
+    without an id, all stay.
+    """
+    linked = link(documents, settings)
+    named = _named(linked.classes, linked.labels)
+    best = named.groupBy("component").agg(F.min(F.struct("doc_id", "rep")).alias("best")).select(F.col("best.rep").alias("rep"))
+    winners = named.join(best, "rep").select("digest", "doc_id")
+    rows = linked.signed.where("digest IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "text_id", "digest")
+    texts = rows.groupBy("doc_id", "text_id", "digest").agg(F.count("*").alias("rows"))
+    stay = texts.join(winners, ["digest", "doc_id"]).groupBy("digest", "doc_id").agg(F.min(F.struct("text_id", "rows")).alias("one"))
+    stay = cut_lineage(stay.select("doc_id", "one.text_id", "one.rows"), "near_kept")
+    gone = texts.join(stay.select("doc_id", "text_id"), ["doc_id", "text_id"], "left_anti")
+    # Repeats of a row that stays need a second look as well.
+    touched = cut_lineage(gone.select("doc_id", "text_id", F.lit(0).alias("left")).union(stay.where("rows > 1").select("doc_id", "text_id", F.lit(1))), "near_copies")
     names = documents.columns
-    rows = documents.toDF(*[n if n == "doc_id" else f"c{i}" for i, n in enumerate(names)])
-    maybe = marked(gone, "doc_id")
-    left = rows.where(maybe).join(gone, "doc_id", "left_anti").select(*rows.columns)
-    return rows.where(~maybe).union(left).toDF(*names)
+    plain = documents.toDF(*[n if n in ("doc_id", "text") else f"c{i}" for i, n in enumerate(names)])
+    keyed = plain.withColumns({"own_id": F.col("doc_id").cast("long"), "own_text": F.xxhash64(F.coalesce(F.col("text").cast("binary"), F.lit(b"")))})
+    keys = touched.select(F.col("doc_id").alias("own_id"), F.col("text_id").alias("own_text"), "left")
+    maybe = marked(keys, "own_id", "own_text")
+    left = keyed.where(maybe).join(keys, ["own_id", "own_text"], "left").where("left IS NULL OR left = 1")
+    once, others = left.where("left = 1").dropDuplicates(["own_id", "own_text"]), left.where("left IS NULL")
+    whole = [r.select(*plain.columns) for r in (keyed.where(~maybe), others, once)]
+    return whole[0].union(whole[1]).union(whole[2]).toDF(*names)
