@@ -4,15 +4,15 @@ from __future__ import annotations
 
 import os
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, scratch_path
 from . import bpe, centroids, chat, exact, infill, langid, lattice, lines, minhash, mixture, packing, toxicity, warc
 from .common import table
 
-TOKENIZERS = os.environ.get("SEINE_TOKENIZERS", "/opt/tokenizers")
-
-CATEGORIES = {"toxic": "toxic", "low_quality": "1 - quality"}
+# The flag is the last category's, whose model sees the probabilities of those before it.
+CATEGORIES = {"low_quality": "1 - quality", "toxic": "toxic"}
 
 
 def categories():
@@ -20,8 +20,9 @@ def categories():
 
 
 def tokenizer_path(name: str) -> str:
-    """The place of a vocabulary file, the same on every machine."""
-    return f"{TOKENIZERS}/{name}"
+    """The place of a vocabulary file, the same on every machine; SEINE_TOKENIZERS names another folder."""
+    folder = os.environ.get("SEINE_TOKENIZERS")
+    return f"{folder}/{name}" if folder else public_tokenizers.path(name)
 
 
 def op1_lattice(spark, sf_dir):

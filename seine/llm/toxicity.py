@@ -4,7 +4,8 @@ Each model is a logistic regression over the presence of indicative words and ov
 probabilities of the categories before it. Beside whole words, their beginnings count, so
 that an inflected or compound form is known by its stem. In training those probabilities are
 out-of-fold predictions, so that a later model sees earlier ones as unsure as they will
-be on new texts. Words are chosen by their chi-squared statistic against any category.
+be on new texts. Words are chosen by their chi-squared statistic against any category,
+from a threshold that predicts best out of fold; their number has no bound but the sample's.
 
 The categories are the binary columns of a label table, in the order given. Training
 takes a bounded sample of labelled rows; scoring reads every whole text where it lies.
@@ -36,8 +37,7 @@ _UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3
 @dataclass(frozen=True)
 class Settings:
     max_rows: int = 8000  # the bound of the labelled sample
-    max_words: int = 256  # the bound of the vocabulary
-    least_chi2: float = 25.0
+    chi2: tuple[float, ...] = (25.0, 16.0, 10.0)  # thresholds to choose from, the highest first
     folds: int = 4
     penalty: float = 0.05
     steps: int = 12
@@ -67,27 +67,102 @@ def sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def fit_linear(x: np.ndarray, y: np.ndarray, settings: Settings) -> np.ndarray:
-    """Weights, the intercept last, of a ridge-penalised logistic regression by Newton's method.
+@dataclass
+class Features:
+    """Rows of present words (word numbers, one after the other) and dense columns beside them."""
+
+    row: np.ndarray  # of each present word
+    word: np.ndarray
+    words: int
+    dense: np.ndarray  # (row, column)
+
+    @classmethod
+    def of(cls, found: list[list[int]], words: int) -> Features:
+        row = np.repeat(np.arange(len(found)), [len(f) for f in found]).astype(np.int64)
+        word = np.array([w for f in found for w in f], np.int64)
+        return cls(row, word, words, np.ones((len(found), 1)))
+
+    def beside(self, column: np.ndarray) -> Features:
+        """With one more dense column, before the intercept."""
+        return Features(self.row, self.word, self.words, np.hstack([self.dense[:, :-1], column.reshape(-1, 1), self.dense[:, -1:]]))
+
+    def pick(self, mask: np.ndarray) -> Features:
+        number, inside = np.cumsum(mask) - 1, mask[self.row]
+        return Features(number[self.row[inside]], self.word[inside], self.words, self.dense[mask])
+
+    def only(self, words: np.ndarray) -> Features:
+        """Without the words outside a mask."""
+        inside = words[self.word]
+        return Features(self.row[inside], self.word[inside], self.words, self.dense)
+
+    def times(self, w: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row, w[self.word], len(self.dense)) + self.dense @ w[self.words :]
+
+    def back(self, u: np.ndarray) -> np.ndarray:
+        return np.concatenate([np.bincount(self.word, u[self.row], self.words), self.dense.T @ u])
+
+
+def fit_linear(x: Features, y: np.ndarray, settings: Settings) -> np.ndarray:
+    """Weights of words and dense columns, the intercept last, of a ridge-penalised logistic regression.
 
-    A sample of one class only, or of none, gives its clipped log-odds and no weights.
+    Newton's steps are solved by conjugate gradients, so no matrix over the words is held. A
+    sample of one class only, or of none, gives its clipped log-odds and no weights.
     """
-    x, y = np.hstack([x, np.ones((len(x), 1))]).astype("f4"), y.astype("f4")
-    w = np.zeros(x.shape[1], "f4")
+    w = np.zeros(x.words + x.dense.shape[1])
     rate = min(max(float(y.mean()), 1e-3), 1 - 1e-3) if len(y) else 1e-3
     w[-1] = np.log(rate / (1 - rate))
-    ridge = np.full(len(w), settings.penalty, "f4")
+    ridge = np.full(len(w), settings.penalty)
     ridge[-1] = 1e-4
     for _ in range(settings.steps if len(y) and 0 < y.sum() < len(y) else 0):
-        p = sigmoid(x @ w)
-        curve = (x * (p * (1 - p) + 1e-6)[:, None]).T @ x + np.diag(ridge)
-        move = np.linalg.solve(curve, x.T @ (p - y) + ridge * w)
+        p = sigmoid(x.times(w))
+        curve, slope = p * (1 - p) + 1e-6, x.back(p - y) + ridge * w
+        scale = ridge + np.concatenate([np.bincount(x.word, curve[x.row], x.words), (x.dense**2).T @ curve])
+        move, rest = np.zeros(len(w)), slope.copy()
+        ahead = rest / scale
+        size = rest @ ahead
+        for _ in range(60):
+            if size <= 1e-4 * (slope @ (slope / scale)) + 1e-30:
+                break
+            bent = x.back(curve * x.times(ahead)) + ridge * ahead
+            step = size / (ahead @ bent)
+            move, rest = move + step * ahead, rest - step * bent
+            size, before = rest @ (rest / scale), size
+            ahead = rest / scale + size / before * ahead
         w -= move * min(1.0, 4.0 / (np.abs(move).max() + 1e-9))
-        if np.abs(move).max() < 1e-3:
+        if np.abs(move).max() < 1e-2:
             break
     return w
 
 
+def chi2(counts: np.ndarray, totals: np.ndarray) -> np.ndarray:
+    """The greatest chi-squared statistic of each word against a category.
+
+    ``counts`` (word, 1 + categories) are rows with the word, in all and of each category; ``totals`` those of all rows.
+    """
+    n, total, best = counts[:, 0].astype(float), float(totals[0]), np.zeros(len(counts))
+    for j in range(1, counts.shape[1]):
+        p = float(totals[j])
+        spread = n * (total - n) * p * (total - p)
+        some = spread > 0
+        best[some] = np.maximum(best[some], (total * (counts[some, j] * total - n[some] * p) ** 2 / spread[some]))
+    return best
+
+
+def unseen(x: Features, y: np.ndarray, fold: np.ndarray, words: list[np.ndarray], settings: Settings) -> np.ndarray:
+    """Out-of-fold probabilities: of every row by a model, and by words chosen, that have not seen its fold."""
+    out = np.zeros(len(y))
+    for k in range(settings.folds):
+        held = fold == k
+        if held.any():
+            out[held] = sigmoid(x.pick(held).times(fit_linear(x.pick(~held).only(words[k]), y[~held], settings)))
+    return out
+
+
+def log_loss(p: np.ndarray, y: np.ndarray) -> float:
+    p = np.clip(p, 1e-6, 1 - 1e-6)
+    return float(-(y * np.log(p) + (1 - y) * np.log(1 - p)).mean()) if len(y) else 0.0
+
+
 @dataclass
 class Chain:
     categories: list[str]
@@ -95,18 +170,11 @@ class Chain:
     weights: list[np.ndarray] = field(default_factory=list)
     stems: dict[int, set[str]] = field(default_factory=dict)
 
-    def fit(self, x: np.ndarray, y: np.ndarray, fold: np.ndarray, settings: Settings) -> Chain:
-        earlier = np.zeros((len(x), 0), "f4")
+    def fit(self, x: Features, y: np.ndarray, fold: np.ndarray, words: list[np.ndarray], settings: Settings) -> Chain:
         for j in range(len(self.categories)):
-            seen = np.hstack([x, earlier]).astype("f4")
-            self.weights.append(fit_linear(seen, y[:, j], settings))
-            unseen = np.zeros((len(x), 1), "f4")
-            for k in range(settings.folds):
-                held = fold == k
-                if held.any():
-                    w = fit_linear(seen[~held], y[~held, j], settings)
-                    unseen[held, 0] = sigmoid(seen[held] @ w[:-1] + w[-1])
-            earlier = np.hstack([earlier, unseen])
+            self.weights.append(fit_linear(x, y[:, j], settings))
+            if j + 1 < len(self.categories):
+                x = x.beside(unseen(x, y[:, j], fold, words, settings))
         return self
 
     def present(self, text: bytes) -> list[int]:
@@ -151,6 +219,8 @@ def train(documents: DataFrame, labels: DataFrame, categories: dict[str, Column]
     texts = documents.where("text IS NOT NULL").where(marked(sample, "doc_id")).select("doc_id", F.col("text").cast("binary").alias("text"))
     texts = cut_lineage(texts.join(sample, "doc_id").select("h", "text", F.array(*ys).alias("y")), "labelled_texts")
 
+    parts, wide = settings.folds, len(names) + 1
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}
 
@@ -160,32 +230,35 @@ def train(documents: DataFrame, labels: DataFrame, categories: dict[str, Column]
             return batch
 
         for batch in batches:
-            for text, y in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                one = np.array([1, *y])
+            for h, text, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                one = np.zeros(parts * wide, np.int64)
+                one[(h % parts) * wide : (h % parts + 1) * wide] = [1, *y]
                 for word in words_of(text):
                     if word in counts:
                         counts[word] += one
                     else:
                         counts[word] = one.copy()
-            if len(counts) > 200_000:
+            if len(counts) > 100_000:
                 yield out()
         yield out()
 
-    totals = texts.agg(F.count("*"), *[F.sum(F.col("y")[j]) for j in range(len(names))]).first()
-    total, positives = totals[0], [x or 0 for x in totals[1:]]
+    totals = np.zeros((parts, wide), np.int64)
+    for r in texts.groupBy(F.expr(f"pmod(h, {parts})").alias("fold")).agg(F.count("*"), *[F.sum(F.col("y")[j]) for j in range(len(names))]).collect():
+        totals[r[0]] = r[1:]
+    total, whole = int(totals[:, 0].sum()), totals.sum(0)
     chain = Chain(names)
+    chosen: list = []
     if total:
-        counted = texts.mapInArrow(count, "word string, n array<long>").groupBy("word").agg(*[F.sum(F.col("n")[j]).alias(f"n{j}") for j in range(len(names) + 1)])
-        n = F.col("n0").cast("double")
-        chi2 = []
-        for j, p in enumerate(positives, 1):
-            both = F.col(f"n{j}").cast("double")
-            spread = n * (total - n) * float(p) * float(total - p)
-            chi2.append(F.when(spread > 0, total * F.pow(both * total - n * p, 2) / spread).otherwise(0.0))
-        best = F.greatest(*chi2) if len(chi2) > 1 else chi2[0]
-        chosen = counted.select("word", best.alias("c")).where(F.col("c") >= settings.least_chi2).orderBy(F.desc("c"), "word").limit(settings.max_words).collect()
+        counted = texts.mapInArrow(count, "word string, n array<long>").groupBy("word").agg(*[F.sum(F.col("n")[j]).alias(f"n{j}") for j in range(parts * wide)])
+        sums = [sum((F.col(f"n{k * wide + j}") for k in range(parts)), F.lit(0)).cast("double") for j in range(wide)]
+        best = [F.lit(0.0)]
+        for j in range(1, wide):
+            p, spread = float(whole[j]), sums[0] * (total - sums[0]) * float(whole[j]) * float(total - whole[j])
+            best.append(F.when(spread > 0, total * F.pow(sums[j] * total - sums[0] * p, 2) / spread).otherwise(0.0))
+        chosen = counted.where(F.greatest(*best) >= min(settings.chi2)).collect()
+        chosen.sort(key=lambda r: r["word"])
         chain.words = {r["word"]: i for i, r in enumerate(chosen)}
-    known = chain.words
+    counts = np.array([r[1:] for r in chosen], np.int64).reshape(len(chosen), parts, wide)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -194,15 +267,29 @@ def train(documents: DataFrame, labels: DataFrame, categories: dict[str, Column]
 
     seen = texts.mapInArrow(features, "h long, f array<int>, y array<int>").collect() if total else []
     seen.sort(key=lambda r: (r["h"], r["f"]))
-    x = np.zeros((len(seen), len(known)), "f4")
-    for i, r in enumerate(seen):
-        x[i, r["f"]] = 1
+    x = Features.of([r["f"] for r in seen], len(chain.words))
     y = np.array([r["y"] for r in seen], float).reshape(len(seen), len(names))
-    return chain.fit(x, y, np.array([r["h"] % settings.folds for r in seen], int), settings)
+    fold = np.array([r["h"] % settings.folds for r in seen], int)
+    if seen:
+        # A threshold is tried on words chosen without the fold they are tried on.
+        without = [chi2(counts.sum(1) - counts[:, k], whole - totals[k]) for k in range(parts)]
+        tried = {least: [c >= least for c in without] for least in settings.chi2}
+        loss = {least: log_loss(unseen(x, y[:, -1], fold, words, settings), y[:, -1]) for least, words in tried.items()}
+        least = min(loss, key=lambda t: (loss[t], -t))
+        stay = chi2(counts.sum(1), whole) >= least
+        number = np.cumsum(stay) - 1
+        chain.words = {w: int(number[i]) for w, i in chain.words.items() if stay[i]}
+        x = x.only(stay)
+        x = Features(x.row, number[x.word], int(stay.sum()), x.dense)
+        words = [w[stay] for w in tried[least]]
+    else:
+        words = [np.zeros(0, bool)] * parts
+    chain.stems.clear()
+    return chain.fit(x, y, fold, words, settings)
 
 
 def score(documents: DataFrame, chain: Chain, threshold: float = Settings.threshold) -> DataFrame:
-    """doc_id, ``p_<category>`` of each category, and ``flagged``: the first category's probability reaches the threshold."""
+    """doc_id, ``p_<category>`` of each category, and ``flagged``: the last category's probability reaches the threshold."""
     small_batches(documents.sparkSession)
     names = [f"p_{c}" for c in chain.categories]
 
@@ -210,12 +297,12 @@ def score(documents: DataFrame, chain: Chain, threshold: float = Settings.thresh
         for batch in batches:
             p = chain.score(batch.column(1).to_pylist())
             columns = [pa.array(p[:, j], pa.float64()) for j in range(len(names))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns, pa.array(p[:, 0] >= threshold, pa.bool_())], ["doc_id", *names, "flagged"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns, pa.array(p[:, -1] >= threshold, pa.bool_())], ["doc_id", *names, "flagged"])
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     return rows.mapInArrow(run, "doc_id long, " + ", ".join(f"{n} double" for n in names) + ", flagged boolean")
 
 
 def keep_clean(documents: DataFrame, chain: Chain, threshold: float = Settings.threshold) -> DataFrame:
-    """The documents whose first category's probability stays below the threshold."""
-    return keep_rows(documents, lambda texts: (chain.score(texts)[:, 0] < threshold).tolist())
+    """The documents whose last category's probability stays below the threshold."""
+    return keep_rows(documents, lambda texts: (chain.score(texts)[:, -1] < threshold).tolist())
