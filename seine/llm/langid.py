@@ -10,6 +10,7 @@ bounded sample; prediction runs where the documents lie and moves nothing.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,7 +23,8 @@ from ..session import cut_lineage
 from .common import keep_rows, marked, small_batches
 
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+# Letters are found among these, which hold numbers such as one half as well.
+_MAYBE = re.compile(r"[^\W\d_]")
 
 
 @dataclass(frozen=True)
@@ -45,6 +47,10 @@ def soft(x):
     return x / (1 + np.abs(x))
 
 
+def has_letter(text: bytes) -> bool:
+    return any(unicodedata.category(m[0])[0] == "L" for m in _MAYBE.finditer(text.decode("utf-8", "ignore")))
+
+
 class Direction:
     """One reading direction: a table of input terms by byte, and the recurrent weights."""
 
@@ -196,7 +202,7 @@ class Network:
         width = self.settings.window
         # The work space holds a number for each lane, language and position.
         lanes = max(1, min(self.settings.lanes, self.settings.lanes * 64 // len(self.langs)))
-        known = [i for i, x in enumerate(texts) if x and _LETTER.search(x.decode("utf-8", "ignore"))]
+        known = [i for i, x in enumerate(texts) if x and has_letter(x)]
         sums, doc, codes, lengths = np.zeros((len(texts), len(self.langs))), [], [], []
         held = 0
 
