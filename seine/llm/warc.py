@@ -128,8 +128,9 @@ def split_http(content: bytes) -> tuple[bytes, int | None, bytes]:
     return head + gap, int(own[1]) if own else None, payload
 
 
-def record_id(page_id) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}')}>"
+def record_id(page_id, payload: bytes) -> str:
+    """An identifier of page and payload: rows that share a page_id, or have none, differ unless their payloads are equal too."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}:{hashlib.sha1(payload).hexdigest()}')}>"
 
 
 def _sha1(data: bytes) -> str:
@@ -142,14 +143,14 @@ def warc_record(url: str, ip: str, date: str, content: bytes, refers_to: int | N
     stamp = f"{date[:4]}-{date[4:6]}-{date[6:8]}T{date[8:10]}:{date[10:12]}:{date[12:14]}Z"
     block = content if refers_to is None else head
     lines = [
-        "WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: {record_id(page_id)}", f"WARC-Date: {stamp}",
+        "WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: {record_id(page_id, payload)}", f"WARC-Date: {stamp}",
         f"WARC-Target-URI: {url}", f"WARC-IP-Address: {ip}", "Content-Type: application/http; msgtype=response",
         f"WARC-Payload-Digest: {_sha1(payload)}", f"WARC-Block-Digest: {_sha1(block)}",
     ]
     if refers_to is not None:
         lines += [
             "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
-            f"WARC-Refers-To: {record_id(refers_to)}", f"X-Refers-To-Page: {refers_to}",
+            f"WARC-Refers-To: {record_id(refers_to, payload)}", f"X-Refers-To-Page: {refers_to}",
         ]
     return ("\r\n".join([*lines, f"Content-Length: {len(block)}"]) + "\r\n\r\n").encode() + block
 
