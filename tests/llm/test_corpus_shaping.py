@@ -10,7 +10,7 @@ from fractions import Fraction
 import numpy as np
 import pytest
 
-from seine.llm import centroids, infill, mixture
+from seine.llm import centroids, infill, langid, lattice, minhash, mixture, toxicity, warc
 
 VECTORS = "vec_id long, embedding array<double>, label int"
 DOCS = "doc_id long, text string, source string, rank string, chunk string, size long"
@@ -200,3 +200,73 @@ def test_pieces_hold_whole_units():
     text = b"aa\nbbbb\ncc\n" + b"d" * 25 + b"\ne"
     cut = infill.Plan("plain", np.array([3, 8, 11, 37, 38]), 0, 0)
     assert list(infill.output(text, cut, 10)) == [b"aa\nbbbb\n", b"cc\n", b"d" * 10, b"d" * 10, b"d" * 5 + b"\ne"]
+
+
+def test_rows_that_share_a_vector_id(spark):
+    """(1,A) (1,B) (2,A'): A' links with A alone; all are one component by the shared id."""
+    a, b = [1.0] + [0.0] * 15, [0.0] * 15 + [1.0]
+    near = [1.0, 0.05] + [0.0] * 14
+    rows = [(1, a, 3), (1, b, 3), (2, near, 3), (3, b, 4), (None, a, 3), (4, [0.0] * 16, 3), (4, b, 3), (5, None, 3)]
+    got = {(r.vec_id, r.n_links, r.component_id, r.kept) for r in lattice.near_duplicates(spark.createDataFrame(rows, VECTORS)).collect()}
+    assert got == {
+        (1, 1, 1, True), (2, 1, 1, False), (3, 0, 3, True), (None, 0, None, True), (4, 0, 4, True), (4, 1, 1, False), (5, 0, 5, True),
+    }
+    assert lattice.near_duplicates(spark.createDataFrame([], VECTORS)).count() == 0
+
+
+def test_near_copies_of_repeated_ids(spark):
+    """No text is lost with a row of its id: (5,T1) stays when (5,T2) goes."""
+    one, two = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
+    rows = [(4, two, "x"), (5, two, "y"), (5, one, "z"), (6, one, "w"), (6, one, "w"), (7, one + " c", "v"), (None, one, "n"), (8, "", "e"), (8, None, "e"), (5, "", "q")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, left string")
+    assert {(r.doc_id, r.component_id) for r in minhash.near_duplicates(frame).collect()} == {(4, 4), (5, 4), (6, 4), (7, 4), (None, None), (8, 8)}
+    kept = minhash.keep_one(frame)
+    assert kept.columns == frame.columns
+    assert sorted((r[0] or 0, r[1] or "", r[2]) for r in kept.collect()) == sorted([(4, two, "x"), (5, one, "z"), (0, one, "n"), (8, "", "e"), (8, "", "e"), (5, "", "q")])
+
+
+def test_letters_are_letters():
+    assert [langid.has_letter(t.encode()) for t in ("½ ² Ⅷ 12 _", "é", "漢", "", "١٢", "ª")] == [False, True, True, False, False, True]
+
+
+def test_record_identifiers():
+    ids = {warc.record_id(p, d) for p, d in [(1, b"a"), (1, b"b"), (None, b"a"), (None, b"b"), (2, b"a")]}
+    assert len(ids) == 5 and warc.record_id(1, b"a") == warc.record_id(1, b"a")
+
+
+def dense_logistic(x, y, penalty, steps=60):
+    """Ridge logistic regression by plain Newton on a dense matrix, the intercept last and all but free."""
+    x, ridge = np.hstack([x, np.ones((len(x), 1))]), np.array([penalty] * x.shape[1] + [1e-4])
+    w = np.zeros(x.shape[1])
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-x @ w))
+        w -= np.clip(np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(ridge), x.T @ (p - y) + ridge * w), -1, 1)
+    return w
+
+
+def test_chain_against_a_plain_one():
+    """Out-of-fold inputs, weights and probabilities of the chain equal those of dense matrices."""
+    rnd = np.random.default_rng(2)
+    x = (rnd.random((160, 12)) < 0.3).astype(float)
+    y = np.stack([(x[:, 0] + x[:, 1] > rnd.random(160)), (x[:, 2] + 0.5 * x[:, 0] > rnd.random(160))], 1).astype(float)
+    fold, settings = np.arange(160) % 4, toxicity.Settings(penalty=1.0, steps=60)
+    words = [rnd.random(12) < 0.9 for _ in range(4)]
+    chain = toxicity.Chain(["a", "b"], {f"w{i}": i for i in range(12)})
+    chain.fit(toxicity.Features.of([np.flatnonzero(r).tolist() for r in x], 12), y, fold, words, settings)
+    first, held = dense_logistic(x, y[:, 0], 1.0), np.zeros(160)
+    for k in range(4):
+        w = dense_logistic((x * words[k])[fold != k], y[fold != k, 0], 1.0)
+        held[fold == k] = 1 / (1 + np.exp(-(x * words[k])[fold == k] @ w[:-1] - w[-1]))
+    second = dense_logistic(np.hstack([x, held[:, None]]), y[:, 1], 1.0)
+    assert np.abs(chain.weights[0] - first).max() < 0.05 and np.abs(chain.weights[1] - second).max() < 0.05
+    texts = [" ".join(f"w{i}" for i in np.flatnonzero(r)).encode() for r in x] + [None, b""]
+    p = chain.score(texts)
+    p0 = 1 / (1 + np.exp(-x @ first[:-1] - first[-1]))
+    p1 = 1 / (1 + np.exp(-np.hstack([x, p0[:, None]]) @ second[:-1] - second[-1]))
+    assert np.abs(p[:160] - np.stack([p0, p1], 1)).max() < 0.02 and (p[160] == p[161]).all()
+
+
+def test_chi2_against_a_plain_table():
+    counts, totals = np.array([[10, 8], [50, 20], [0, 0], [100, 40]]), np.array([100, 40])
+    plain = lambda n, both: sum((o - e) ** 2 / e for o, e in zip((both, n - both, 40 - both, 60 - n + both), (n * 0.4, n * 0.6, (100 - n) * 0.4, (100 - n) * 0.6)))
+    assert toxicity.chi2(counts, totals) == pytest.approx([plain(10, 8), plain(50, 20), 0, 0])

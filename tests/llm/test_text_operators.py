@@ -290,7 +290,7 @@ def test_toxic_words_beside_other_characters(spark):
     labels = table.select("doc_id", (F.col("doc_id") % 5 == 0).cast("int").alias("toxic"), F.lit(1).alias("quality"))
     chain = toxicity.train(table, labels, catalog.categories())
     texts = ["some “you” «utter» ¡éçàüword! here", "you\u00a0utter\u00a0éçàüword—plain", "YOU UTTER ÉÇÀÜWORD", "you… utter… éçàüwords", "plain “words” – here"]
-    assert [p >= 0.5 for p in chain.score([t.encode() for t in texts])[:, 0]] == [True, True, True, True, False]
+    assert [p >= 0.5 for p in chain.score([t.encode() for t in texts])[:, chain.categories.index("toxic")]] == [True, True, True, True, False]
     assert toxicity.words_of("हिन्दी e\u0301te_x".encode()) == {"हिन्दी", "हिन्द*", "हिन्*", "e\u0301te", "x"}
     assert {"坏话", "他说坏话"} <= toxicity.words_of("“他说坏话”。".encode()) and toxicity.words_of(b"\xff a\xff") == {"a"}
 
