@@ -37,10 +37,11 @@ _UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3
 @dataclass(frozen=True)
 class Settings:
     max_rows: int = 8000  # the bound of the labelled sample
-    chi2: tuple[float, ...] = (25.0, 16.0, 10.0)  # thresholds to choose from, the highest first
+    chi2: tuple[float, ...] = (25.0, 12.0)  # thresholds to choose from, the highest first
     folds: int = 4
     penalty: float = 0.05
-    steps: int = 12
+    steps: int = 8  # of Newton
+    inner: int = 20  # of conjugate gradients in each
     threshold: float = 0.5
 
 
@@ -71,7 +72,7 @@ def sigmoid(x):
 class Features:
     """Rows of present words (word numbers, one after the other) and dense columns beside them."""
 
-    row: np.ndarray  # of each present word
+    row: np.ndarray  # of each present word, ascending
     word: np.ndarray
     words: int
     dense: np.ndarray  # (row, column)
@@ -96,10 +97,10 @@ class Features:
         return Features(self.row[inside], self.word[inside], self.words, self.dense)
 
     def times(self, w: np.ndarray) -> np.ndarray:
-        return np.bincount(self.row, w[self.word], len(self.dense)) + self.dense @ w[self.words :]
+        return np.bincount(self.row, np.take(w, self.word), len(self.dense)) + self.dense @ w[self.words :]
 
     def back(self, u: np.ndarray) -> np.ndarray:
-        return np.concatenate([np.bincount(self.word, u[self.row], self.words), self.dense.T @ u])
+        return np.concatenate([np.bincount(self.word, np.take(u, self.row), self.words), self.dense.T @ u])
 
 
 def fit_linear(x: Features, y: np.ndarray, settings: Settings) -> np.ndarray:
@@ -120,7 +121,7 @@ def fit_linear(x: Features, y: np.ndarray, settings: Settings) -> np.ndarray:
         move, rest = np.zeros(len(w)), slope.copy()
         ahead = rest / scale
         size = rest @ ahead
-        for _ in range(60):
+        for _ in range(settings.inner):
             if size <= 1e-4 * (slope @ (slope / scale)) + 1e-30:
                 break
             bent = x.back(curve * x.times(ahead)) + ridge * ahead
