@@ -50,6 +50,15 @@ def stream_dedup(spark, sf_dir):
     return read_deduped(spark, path, urls.schema)
 
 
+def stream_dedup_again(spark, sf_dir):
+    """Two streams, each with a checkpoint of its own, into one table: the second adds what the first lacks."""
+    urls, path = _events(spark, sf_dir).select("seq", "url"), scratch_path(spark, "seen")
+    for odd in (1, 0):
+        mine = urls.where(F.col("seq") % 2 == odd).select("url")
+        dedup_stream(mine, path, scratch_path(spark, "state")).awaitTermination()
+    return read_deduped(spark, path, mine.schema)
+
+
 def stream_counters(spark, sf_dir):
     counts = live_counts(_events(spark, sf_dir))
     out, state = scratch_path(spark, "counts"), scratch_path(spark, "state")
@@ -80,6 +89,7 @@ QUERIES = {
     "stream_breaker": stream_breaker,
     "stream_gap": stream_gap,
     "stream_dedup": stream_dedup,
+    "stream_dedup_again": stream_dedup_again,
     "stream_counters": stream_counters,
     "stream_save": stream_save,
 }
@@ -90,6 +100,7 @@ ORACLES = {
     "stream_breaker": fetches.ORACLES["breaker_replay"],
     "stream_gap": f"SELECT seq, pace_key, gap_s, wait_s, violation FROM ({_GAP})",
     "stream_dedup": f"WITH log AS ({inputs.FETCH_LOG_SQL}) SELECT DISTINCT url FROM log",
+    "stream_dedup_again": f"WITH log AS ({inputs.FETCH_LOG_SQL}) SELECT DISTINCT url FROM log",
     "stream_counters": f"""
       WITH log AS ({inputs.FETCH_LOG_SQL}) SELECT count(*) FILTER (error_class IS NULL) AS successful,
         count(error_class) AS failed, count(*) AS processed,

@@ -37,8 +37,8 @@ ENDS_HEADING = {*HEADINGS, "p", "li", "table", "form"}
 # An end tag looks for its element no further than these.
 WALLS = {"table", "tr", "td", "th"}
 _QUOTED = re.compile(r""""[^"]*"|'[^']*'""")
-# A slash that belongs to an unquoted attribute value.
-_VALUE_SLASH = re.compile(r"=\s*[^\s\"'][^\s]*/\Z")
+# The start of an unquoted attribute value.
+_VALUE = re.compile(r"=[^\"']")
 
 
 class _Span:
@@ -193,7 +193,12 @@ def _inside(parts: list[_Span], outer: _Span) -> list[_Span]:
 
 def _self_closed(attrs: str) -> bool:
     """Whether a start tag ends in a slash of its own, not in one of an unquoted value."""
-    return attrs.endswith("/") and not _VALUE_SLASH.search(_QUOTED.sub('""', attrs))
+    if not attrs.endswith("/"):
+        return False
+    *before, last = _QUOTED.sub('""', attrs).rsplit(None, 1)
+    # A value of more than the slash takes it, whether it stands right after its sign or after white space.
+    apart = bool(before) and before[0].endswith("=") and len(last) > 1 and last[0] not in "\"'"
+    return not (apart or _VALUE.search(last[:-1]))
 
 
 def _attributes(text: str) -> dict[str, str]:

@@ -144,3 +144,21 @@ def test_latest_and_earliest(spark):
     assert got == {"u": "second", "v": "only"}
     timed = rows.withColumn("crawled_at", F.timestamp_seconds("seq"))
     assert [r.title for r in records.earliest_records(timed, 1).collect()] == ["first"]
+
+
+def test_slashes_of_values():
+    """A slash that ends a start tag is its own unless an unquoted value takes it; any tag is read in one pass."""
+    import random
+    import re
+    import time
+
+    from seine.operators.page_events import _QUOTED, _self_closed
+
+    plain = lambda t: t.endswith("/") and not re.search(r"=\s*[^\s\"'][^\s]*/\Z", _QUOTED.sub('""', t))
+    rnd = random.Random(1)
+    for _ in range(20_000):
+        text = "".join(rnd.choice("a=/ \"'\t") for _ in range(rnd.randint(0, 9))) + rnd.choice(["/", "", "/"])
+        assert _self_closed(text) == plain(text), text
+    started = time.monotonic()
+    assert not _self_closed(" " + "=" * 5_000_000 + "/") and _self_closed(" a" * 2_000_000 + " /")
+    assert time.monotonic() - started < 5

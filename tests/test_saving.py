@@ -267,6 +267,21 @@ def test_continuous_save(spark, tmp_path):
     assert {r.url for r in sink.sinks[1].read(spark).collect()} == {"a", "b"}
 
 
+def test_a_new_checkpoint_loses_nothing(spark, tmp_path):
+    """Streams with checkpoints of their own add to one path; a restart of the last one adds nothing."""
+    sinks = FanOut([JsonLinesSink(str(tmp_path / "j")), SnapshotSink(str(tmp_path / "s"))])
+    for state, names in (("one", "ab"), ("two", "cb"), ("two", "cb")):
+        folder = str(tmp_path / f"in-{state}")
+        records(spark, *[(n, f"t {state}", "x") for n in names]).write.mode("ignore").parquet(folder)
+        stream = spark.readStream.schema(schemas.PAGE_RECORDS).parquet(folder)
+        dedup_stream(stream, str(tmp_path / "seen"), str(tmp_path / f"dedup-{state}")).awaitTermination()
+        save_stream(stream, sinks, str(tmp_path / f"save-{state}")).awaitTermination()
+    assert sorted(r.url for r in read_deduped(spark, str(tmp_path / "seen"), schemas.PAGE_RECORDS).collect()) == ["a", "b", "c"]
+    assert sorted(r.url for r in read_jsonl_records(spark, str(tmp_path / "j")).collect()) == ["a", "b", "b", "c"]
+    kept = {r.url: r.title for r in sinks.sinks[1].read(spark).collect()}
+    assert kept == {"a": "t one", "b": "t two", "c": "t two"}
+
+
 def test_the_earliest_record_comes_from_the_files(spark, monkeypatch):
     from seine.catalog import saving
 
