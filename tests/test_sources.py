@@ -29,9 +29,11 @@ def checked(spark, text, agent, urls):
 
 
 def test_robots_access_and_delay(spark):
-    got = checked(spark, "User-agent: *\nDisallow: /admin/\nCrawl-delay: 2", "MyBot/1.0",
-                  ["http://h/admin/x", "http://h/public", "http://other/admin/x"])
-    assert got == {"http://h/admin/x": (False, 2.0), "http://h/public": (True, 2.0), "http://other/admin/x": (True, 0.0)}
+    got = checked(spark, "User-agent: *\nCrawl-delay: 7\nAllow: /ledger/open\nDisallow: /ledger", "Reader/3",
+                  ["http://h/ledger/2024", "http://h/ledger/open/1", "http://h/tide", "http://other/ledger/2024"])
+    assert got == {
+        "http://h/ledger/2024": (False, 7.0), "http://h/ledger/open/1": (True, 7.0), "http://h/tide": (True, 7.0), "http://other/ledger/2024": (True, 0.0),
+    }
 
 
 def test_robots_agree_with_the_standard_parser(spark):
