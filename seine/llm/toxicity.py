@@ -30,6 +30,8 @@ from .common import keep_rows, marked, small_batches
 _MARKS = "".join(c for c in map(chr, range(0x300, 0x10000)) if unicodedata.category(c)[0] == "M")
 _WORD = re.compile(rf"[^\W_](?:[^\W_]|[{re.escape(_MARKS)}])*")
 _PLAIN = re.compile(r"[0-9a-z]+")
+# Words that a worker counts before it hands them on.
+COUNTED_WORDS = 20_000
 # Han, kana, Thai, Lao, Burmese and Khmer, written without spaces.
 _UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]{2,}")
 
@@ -239,8 +241,8 @@ def train(documents: DataFrame, labels: DataFrame, categories: dict[str, Column]
                         counts[word] += one
                     else:
                         counts[word] = one.copy()
-            if len(counts) > 100_000:
-                yield out()
+                if len(counts) > COUNTED_WORDS:  # Spark adds up the parts of a task before the exchange
+                    yield out()
         yield out()
 
     totals = np.zeros((parts, wide), np.int64)
