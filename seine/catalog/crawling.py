@@ -109,7 +109,45 @@ def job_statistics(spark, sf_dir):
     )
 
 
+def _linked_job(spark, sf_dir):
+    """A job of three waves over pages that lead to one another; some have no html, some failed."""
+    # Links lose their fragments, so pages are known by URLs that have none.
+    whole = lambda url: F.replace(url, F.lit("#"), F.lit("?"))
+    target = F.replace(F.replace(whole(F.col("dst_url")), F.lit("&"), F.lit("&amp;")), F.lit('"'), F.lit("&quot;"))
+    anchor = F.concat(F.lit('<a href="'), target, F.lit('">x</a>'))
+    anchors = inputs.link_graph(spark, sf_dir).select(F.col("src_url").alias("url"), "pos", anchor.alias("a"))
+    bodies = anchors.groupBy("url").agg(F.expr("listagg(a, '') WITHIN GROUP (ORDER BY pos)").alias("body"))
+    pages = inputs.pages(spark, sf_dir).select("page_id", "url").join(bodies, "url")
+    id_ = F.col("page_id")
+    captures = pages.select(
+        whole(F.col("url")).alias("url"),
+        F.when(id_ % 7 != 3, F.concat(F.lit("<title>Page "), id_.cast("string"), F.lit("</title>"), "body")).alias("html"),
+        F.when(id_ % 11 == 5, 503).otherwise(200).alias("status_code"),
+    )
+    return CaptureJob(max_depth=2, max_pages=_ALL, user_agent="Other/2").run(
+        cut_lineage(captures, "linked"), seeds=_seeds(spark, sf_dir).withColumn("url", whole(F.col("url"))), robots_docs=inputs.robots_docs(spark, sf_dir)
+    )
+
+
+def job_waves(spark, sf_dir):
+    """Every visited URL of a job whose waves are parsed one after the other, ParseErrors included."""
+    results = _linked_job(spark, sf_dir).run.results
+    return results.select("url", "depth", "outcome", F.coalesce("reason", F.lit("")).alias("reason"), "status_code")
+
+
+def job_wave_records(spark, sf_dir):
+    return _linked_job(spark, sf_dir).records.select("url", "title", F.size("links").alias("n_links"), "status_code")
+
+
+def job_errors(spark, sf_dir):
+    """Failed pages by error class, as the job reports them."""
+    return _linked_job(spark, sf_dir).errors()["errors_by_type"]
+
+
 QUERIES = {
+    "job_waves": job_waves,
+    "job_wave_records": job_wave_records,
+    "job_errors": job_errors,
     "job_outcomes": job_outcomes,
     "job_records": job_records,
     "job_statistics": job_statistics,
@@ -129,10 +167,10 @@ _OUTCOME = f"""CASE WHEN {_HAS_RULES} AND {_PATH} LIKE '/de/%' THEN 'blocked'
   WHEN page_id % 11 = 5 THEN 'failed' ELSE 'processed' END"""
 
 
-def _crawl_sql(budget: int | None) -> str:
+def _crawl_sql(budget: int | None, outcome: str = _OUTCOME) -> str:
     """Waves unrolled: d* are discovered, v* visited within what is left."""
     parts = [f"""
-      facts AS MATERIALIZED (SELECT page_id, url, {_OUTCOME} AS outcome FROM pages),
+      facts AS MATERIALIZED (SELECT page_id, url, {outcome} AS outcome FROM pages),
       graph AS MATERIALIZED (SELECT page_id AS src, k AS pos, (page_id * k * 7 + 13 * k + 1) % n AS dst
         FROM pages, (VALUES (1), (2), (3)) AS ks(k), (SELECT count(*) AS n FROM pages) c),
       d0 AS MATERIALIZED (SELECT page_id, [page_id] AS path FROM facts WHERE regexp_matches(url, '^https?://blog\\.'))"""]
@@ -169,7 +207,20 @@ _JOB = f"""
       CASE WHEN {_HAS_RULES} AND {_PATH} LIKE '/de/%' THEN 'blocked by robots.txt' ELSE 'NetworkError: no capture' END FROM targets)
 """
 
+_UNREADABLE = _OUTCOME.replace("ELSE 'processed'", "WHEN page_id % 7 = 3 THEN 'unread' ELSE 'processed'")
+_WAVES = f"""{_crawl_sql(None, _UNREADABLE)}, rows AS (
+  SELECT page_id, replace(url, '#', '?') AS url, CAST(depth AS INT) AS depth, replace(outcome, 'unread', 'failed') AS outcome,
+    CASE outcome WHEN 'blocked' THEN 'blocked by robots.txt' WHEN 'failed' THEN 'TransientError: transient HTTP 503'
+      WHEN 'unread' THEN 'ParseError: no html' ELSE '' END AS reason,
+    CAST(CASE WHEN page_id % 11 = 5 THEN 503 ELSE 200 END AS INT) AS status_code FROM visited)"""
+
 ORACLES = {
+    "job_waves": f"{_WAVES} SELECT url, depth, outcome, reason, status_code FROM rows",
+    "job_wave_records": f"""{_WAVES} SELECT url, concat('Page ', page_id) AS title, status_code,
+        (SELECT CAST(count(DISTINCT dst) AS INT) FROM graph WHERE src = page_id) AS n_links
+      FROM rows WHERE outcome = 'processed'""",
+    "job_errors": f"""{_WAVES} SELECT split_part(reason, ': ', 1) AS error_class, count(*) AS n FROM rows
+      WHERE outcome = 'failed' GROUP BY 1""",
     "job_outcomes": f"{_JOB} SELECT url, CAST(depth AS INT) AS depth, outcome, reason FROM outcomes",
     "job_records": f"""{_JOB}, sizes AS (SELECT page_id, count(*) AS n FROM links GROUP BY page_id)
       SELECT url, {_TITLE} AS title, CAST(coalesce(n, 0) AS INT) AS n_links, CAST(200 AS INT) AS status_code, '' AS content_type

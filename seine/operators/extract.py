@@ -22,18 +22,21 @@ def parse_pages(
     captures: DataFrame,
     fields: Sequence[str] = tuple(schemas.PARSED_FIELDS),
     keep: Sequence[str] = ("url",),
+    error: str | None = None,
 ) -> DataFrame:
     """One Arrow-batched pass from ``(url, html)`` to the wanted parsed fields.
 
     Only ``keep``, ``url`` and ``html`` are read, and only ``fields`` are built: a
     Python stage hides its needs from column pruning, so it is told. Several
-    consumers should share one written result.
+    consumers should share one written result. ``error`` names a further column: why a
+    page could not be read, null for the others.
     """
     keep = tuple(keep)
     read = tuple(dict.fromkeys((*keep, "url", "html")))
     source = spread(captures.select(*read))
     schema = T.StructType(
         [source.schema[name] for name in keep] + [T.StructField(f, schemas.PARSED_FIELDS[f]) for f in fields]
+        + ([T.StructField(error, T.StringType())] if error else [])
     )
     arrow = to_arrow_schema(schema)
     wanted = tuple(fields)
@@ -43,9 +46,12 @@ def parse_pages(
             for start in range(0, batch.num_rows, _SLICE):
                 piece = batch.slice(start, _SLICE)
                 urls, pages = piece.column("url").to_pylist(), piece.column("html").to_pylist()
-                columns = list(zip(*(extract(html, url, wanted) for url, html in zip(urls, pages))))
+                found = [extract(html, url, wanted) for url, html in zip(urls, pages)]
+                columns = list(zip(*(values for values, _ in found)))
                 arrays = [piece.column(name).cast(arrow.field(name).type) for name in keep]
                 arrays += [pa.array(list(v), arrow.field(f).type) for f, v in zip(wanted, columns)]
+                if error:
+                    arrays.append(pa.array([message for _, message in found], pa.string()))
                 yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
 
     return source.mapInArrow(run, schema)

@@ -17,8 +17,11 @@ def _seconds(first: Column, last: Column) -> Column:
     return (F.unix_micros(last) - F.unix_micros(first)) / F.lit(1_000_000.0)
 
 
-def run_totals(log: DataFrame) -> DataFrame:
-    """One row: page counts, start, finish, elapsed seconds and pages per second."""
+def run_totals(log: DataFrame, span: tuple[Column, Column] | None = None) -> DataFrame:
+    """One row: page counts, start, finish, elapsed seconds and pages per second.
+
+    ``span`` is a run's true start and finish; without it the log's first and last time count.
+    """
     ts = F.col("ts").cast("timestamp")
     counted = log.agg(
         F.count("*").alias("total_pages"),
@@ -27,6 +30,8 @@ def run_totals(log: DataFrame) -> DataFrame:
         F.min(ts).alias("started_at"),
         F.max(ts).alias("finished_at"),
     )
+    if span is not None:
+        counted = counted.withColumns({"started_at": span[0], "finished_at": span[1]})
     elapsed = _seconds(F.col("started_at"), F.col("finished_at"))
     rate = F.when(elapsed > 0, F.try_divide(F.col("total_pages"), elapsed)).otherwise(F.lit(0.0))
     return counted.withColumns({

@@ -297,19 +297,23 @@ EXTRACTORS = {
 }
 
 
-def extract(html: str | None, url: str, fields) -> list:
-    """The values of ``fields``; one that fails keeps its default, others survive."""
+def extract(html: str | None, url: str, fields) -> tuple[list, str | None]:
+    """The values of ``fields``, and why the page could not be read, None if it could.
+
+    A field that fails keeps its default, others survive; a page that cannot be read keeps
+    every default. A page without html, as opposed to an empty one, has nothing to read.
+    """
     values = [EXTRACTORS[name][1]() for name in fields]
     if not html:
-        return values
+        return values, "no html" if html is None else None
     page = PageEvents()
     try:
         page.read(html)
-    except Exception:  # malformed input keeps every default
-        return values
+    except Exception as error:  # noqa: BLE001 - whatever a page brings up is that page's error
+        return values, str(error) or type(error).__name__
     for index, name in enumerate(fields):
         try:
             values[index] = EXTRACTORS[name][0](page, url or "")
         except Exception:
             continue
-    return values
+    return values, None

@@ -10,7 +10,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.errors import NETWORK, PERMANENT, classify_status, status_message
+from ..functions.errors import NETWORK, PARSE, PERMANENT, classify_status, reason, status_message
 from ..functions.urls import hostname
 from ..operators.filters import UrlFilter, drop_seen, guard_hosts
 from ..session import cut_lineage
@@ -107,6 +107,21 @@ def _outcomes(
     )
 
 
+def _with_parse_errors(done: DataFrame, opened: DataFrame) -> DataFrame:
+    """A wave's outcomes once its pages were opened: those with an ``error`` have failed."""
+    errors = opened.where("error IS NOT NULL").select(F.col("src_url").alias("url"), "error")
+    if errors.isEmpty():
+        return done
+    # The error stands beside the outcome only where the page was processed, so nulls match no case.
+    both = done.join(errors, "url", "left")
+    wrong = F.col("error").isNotNull()
+    marked = both.withColumns({
+        "outcome": F.when(wrong, F.lit("failed")).otherwise(F.col("outcome")),
+        "reason": F.when(wrong, reason(F.lit(PARSE), F.col("error"))).otherwise(F.col("reason")),
+    })
+    return cut_lineage(marked.select(*done.columns), "wave")
+
+
 def crawl(
     seeds: DataFrame,
     edges: DataFrame | Callable[[DataFrame], DataFrame],
@@ -123,7 +138,8 @@ def crawl(
     dst_url), or (src_url, links) with the ordered links in one array, which keeps
     a page with millions of links one row in the join; or a function from a wave's
     processed pages (src_url, path) to their rows with ``links``, called for every
-    wave. ``captures``: (url, status_code, n_bytes). ``robots``: rows of ``agent_rules``; ``open_circuits``:
+    wave; where these have an ``error`` (and ``src_url``), the page has failed with it and
+    leads nowhere. ``captures``: (url, status_code, n_bytes). ``robots``: rows of ``agent_rules``; ``open_circuits``:
     URLs a breaker denied.
 
     A wave meets ``edges`` and ``captures`` in one equi-join each. A small wave is
@@ -149,10 +165,13 @@ def crawl(
             break
         wave = frontier if size == queued else take_first(frontier, "path", size)
         done = cut_lineage(_outcomes(wave, captures, policy, robots, host_ips, open_circuits), "wave")
-        visited.append(done)
         room, queued = room - size, queued - size
         parents = done.where(F.col("outcome") == "processed").select(F.col("url").alias("src_url"), "path")
         out = edges(parents) if callable(edges) else parents.join(edges, "src_url")
+        if "error" in out.columns:
+            done = _with_parse_errors(done, out)
+            out = out.where("error IS NULL")
+        visited.append(done)
         if depth < policy.max_depth:
             if "links" in out.columns:
                 out = out.select("path", F.posexplode("links").alias("pos", "dst_url"))

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import iso_time
 from ..operators import fetchlog
 
 
-def run_summary(log: DataFrame, top: int = 10) -> DataFrame:
+def run_summary(log: DataFrame, top: int = 10, span: tuple[Column, Column] | None = None) -> DataFrame:
     """Totals, timing, status histogram and top hosts as one nested row.
 
+    ``span`` is the run's true start and finish, where known.
+
     Statuses and the top list are bounded by nature; each is aggregated to one
     value and read as a scalar subquery beside the totals.
     """
@@ -23,7 +25,7 @@ def run_summary(log: DataFrame, top: int = 10) -> DataFrame:
         a["host"] < b["host"], F.lit(-1)
     ).otherwise(F.lit(1))
     domains = fetchlog.top_domains(log, top).agg(F.array_sort(F.collect_list(F.struct("host", "n")), by_count))
-    return fetchlog.run_totals(log).select(
+    return fetchlog.run_totals(log, span).select(
         "total_pages",
         "successful",
         "failed",

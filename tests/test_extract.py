@@ -19,7 +19,7 @@ VALID = """<!DOCTYPE html>
 
 
 def page(html, url="https://example.com/"):
-    return dict(zip(FIELDS, one(html, url, FIELDS)))
+    return dict(zip(FIELDS, one(html, url, FIELDS)[0]))
 
 
 def test_valid_page():

@@ -56,6 +56,45 @@ def test_a_second_job_appends(spark, site, tmp_path):
     assert sorted(r.title for r in saved) == ["B", "M"]
 
 
+def test_a_job_run_again_under_its_id_replaces_its_waves(spark, site, tmp_path):
+    for run_id in (1, 1, 2):
+        CaptureJob(["http://site/b"]).run(site, sink=JsonLinesSink(str(tmp_path / "out")), run_id=run_id)
+    assert read_jsonl_records(spark, str(tmp_path / "out")).count() == 2
+
+
+def test_pages_that_cannot_be_read_have_failed(spark, tmp_path):
+    pages = spark.createDataFrame([
+        ("http://site/", "<a href='/none'>n</a><a href='/empty'>e</a><a href='/gone'>g</a>", 200),
+        ("http://site/none", None, 200), ("http://site/empty", "", 200), ("http://site/gone", None, 404),
+    ], "url string, html string, status_code int")
+    result = CaptureJob(["http://site/"]).run(pages, sink=JsonLinesSink(str(tmp_path / "out")))
+    assert {r.url: (r.outcome, r.reason) for r in result.run.results.collect()} == {
+        "http://site/": ("processed", None), "http://site/none": ("failed", "ParseError: no html"),
+        "http://site/empty": ("processed", None), "http://site/gone": ("failed", "PermanentError: permanent HTTP 404"),
+    }
+    saved = {r.url for r in read_jsonl_records(spark, str(tmp_path / "out")).collect()}
+    assert saved == {"http://site/", "http://site/empty"} == {r.url for r in result.records.collect()}
+    parts = result.errors()
+    assert {r.error_class: r.n for r in parts["errors_by_type"].collect()} == {"ParseError": 1, "PermanentError": 1}
+    assert {r.url for r in parts["failed_urls"].collect()} == {"http://site/none", "http://site/gone"}
+    row = result.summary().first()
+    assert (row.total_pages, row.successful, row.failed, row.status_codes) == (4, 2, 2, {"200": 3, "404": 1})
+
+
+def test_a_job_of_one_wave_takes_its_time(spark, site):
+    result = CaptureJob(["http://site/b"]).run(site)
+    row = result.summary().first()
+    assert row.elapsed_seconds == pytest.approx(result.finished - result.started, abs=0.02) and row.elapsed_seconds > 0
+    assert row.pages_per_second == pytest.approx(1 / (result.finished - result.started), abs=0.02)
+
+
+def test_a_broken_page_is_an_error_of_its_own(spark, monkeypatch):
+    from seine.operators import page_events
+
+    monkeypatch.setattr(page_events.PageEvents, "read", lambda self, html: 1 / 0)
+    assert page_events.extract("<p>", "http://a/", ("title", "links")) == (["", []], "division by zero")
+
+
 def test_job_seeds_from_a_sitemap(spark, site):
     docs = spark.createDataFrame([("http://map/s", "<urlset><url><loc>http://map/1</loc></url></urlset>")], "url string, xml string")
     job = CaptureJob(["http://site/b"], sitemap_url="http://map/s")
