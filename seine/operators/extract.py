@@ -18,6 +18,36 @@ from .page_events import extract
 _SLICE = 128
 
 
+def bound(value: Column, make) -> Column:
+    """``make`` of a value that is evaluated once, however often ``make`` names it, and not written for that."""
+    return F.get(F.transform(F.array(value), make), F.lit(0))
+
+
+def _in_range(values: Column, span: Column) -> Column:
+    return F.slice(values, span["start"], span["length"])
+
+
+def _nested_lists(spans: Column) -> Column:
+    def nest(texts):
+        return F.transform(spans["lists"], lambda found: F.struct(found["type"].alias("type"), _in_range(texts, found).alias("items")))
+
+    # Transformed texts are references, so the slices share them without a copy.
+    return bound(F.transform(spans["texts"], lambda text: text), nest)
+
+
+def _nested_tables(spans: Column) -> Column:
+    rows = lambda texts: F.transform(spans["rows"], lambda row: _in_range(texts, row))
+    tables = lambda rows: F.transform(spans["tables"], lambda table: _in_range(rows, table))
+    return bound(F.transform(spans["texts"], lambda text: text), lambda texts: bound(rows(texts), tables))
+
+
+# Fields whose texts repeat at every level of nesting: sent once, as ranges, and nested by Spark.
+_SPANNED = {
+    "lists": ("list_spans", schemas.LIST_SPANS, _nested_lists),
+    "tables": ("table_spans", schemas.TABLE_SPANS, _nested_tables),
+}
+
+
 def parse_pages(
     captures: DataFrame,
     fields: Sequence[str] = tuple(schemas.PARSED_FIELDS),
@@ -29,17 +59,19 @@ def parse_pages(
     Only ``keep``, ``url`` and ``html`` are read, and only ``fields`` are built: a
     Python stage hides its needs from column pruning, so it is told. Several
     consumers should share one written result. ``error`` names a further column: why a
-    page could not be read, null for the others.
+    page could not be read, null for the others. Lists and tables leave Python with every
+    text once; the values that repeat it at each level of nesting are built in Spark.
     """
     keep = tuple(keep)
     read = tuple(dict.fromkeys((*keep, "url", "html")))
     source = spread(captures.select(*read))
+    sent = {f: _SPANNED[f][1] if f in _SPANNED else schemas.PARSED_FIELDS[f] for f in fields}
     schema = T.StructType(
-        [source.schema[name] for name in keep] + [T.StructField(f, schemas.PARSED_FIELDS[f]) for f in fields]
+        [source.schema[name] for name in keep] + [T.StructField(f, kind) for f, kind in sent.items()]
         + ([T.StructField(error, T.StringType())] if error else [])
     )
     arrow = to_arrow_schema(schema)
-    wanted = tuple(fields)
+    wanted = tuple(_SPANNED[f][0] if f in _SPANNED else f for f in sent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -49,12 +81,13 @@ def parse_pages(
                 found = [extract(html, url, wanted) for url, html in zip(urls, pages)]
                 columns = list(zip(*(values for values, _ in found)))
                 arrays = [piece.column(name).cast(arrow.field(name).type) for name in keep]
-                arrays += [pa.array(list(v), arrow.field(f).type) for f, v in zip(wanted, columns)]
+                arrays += [pa.array(list(v), arrow.field(f).type) for f, v in zip(sent, columns)]
                 if error:
                     arrays.append(pa.array([message for _, message in found], pa.string()))
                 yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
 
-    return source.mapInArrow(run, schema)
+    parsed = source.mapInArrow(run, schema)
+    return parsed.withColumns({f: _SPANNED[f][2](F.col(f)).cast(schemas.PARSED_FIELDS[f]) for f in sent if f in _SPANNED})
 
 
 def link_edges(parsed: DataFrame) -> DataFrame:

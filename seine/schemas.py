@@ -33,6 +33,18 @@ LISTS = T.ArrayType(T.StructType([
 ]))
 TABLES = T.ArrayType(T.ArrayType(STRINGS))
 
+# Lists and tables as the page parser sends them: texts once, and ranges of places among them, from 1.
+_RANGE = [T.StructField("start", T.IntegerType()), T.StructField("length", T.IntegerType())]
+LIST_SPANS = T.StructType([
+    T.StructField("texts", STRINGS),
+    T.StructField("lists", T.ArrayType(T.StructType([T.StructField("type", T.StringType()), *_RANGE]))),
+])
+TABLE_SPANS = T.StructType([
+    T.StructField("texts", STRINGS),
+    T.StructField("rows", T.ArrayType(T.StructType(_RANGE))),
+    T.StructField("tables", T.ArrayType(T.StructType(_RANGE))),
+])
+
 # The fields the page parser can produce, in output order.
 PARSED_FIELDS = {
     "title": T.StringType(),

@@ -4,6 +4,7 @@ import time
 
 from pyspark.sql import functions as F
 
+from seine import schemas
 from seine.operators import extract, records
 from seine.operators.page_events import extract as one
 
@@ -94,6 +95,25 @@ def test_every_level_of_nesting_is_listed():
     assert len(deep["tables"]) == 41 and deep["tables"][0][0][0].endswith("x tail") and len(deep["tables"][0]) == 41
 
 
+def test_nested_texts_are_joined_once_and_nested_by_spark(spark, monkeypatch):
+    """An item or cell is joined once, whatever is around it; Spark's values equal those of the page."""
+    from seine.operators import page_events
+
+    html = "<li>out<table><tr><td>c<ul><li>x" * 30 + "<h2>end</ul><ol></ol><table><tr></tr></table><tr><td>z</table><ul><li>last"
+    joined = []
+    text_of = page_events.PageEvents.text_of
+    monkeypatch.setattr(page_events.PageEvents, "text_of", lambda self, span: joined.append(id(span)) or text_of(self, span))
+    want = dict(zip(("lists", "tables"), one(html, "u", ("lists", "tables"))[0]))
+    assert len(joined) == len(set(joined)) and len(want["lists"]) == len(want["tables"]) + 1 == 31
+    assert [len(found["items"]) for found in want["lists"][:2]] == [60, 58] and want["lists"][-1] == {"type": "ul", "items": ["last"]}
+    captures = spark.createDataFrame([("u", html), ("e", ""), ("n", None), ("p", "<li>no list<tr><td>no table")], "url string, html string")
+    parsed = extract.parse_pages(captures, ("lists", "tables"))
+    assert [parsed.schema[name].dataType for name in ("lists", "tables")] == [schemas.LISTS, schemas.TABLES]
+    rows = {r.url: r.asDict(recursive=True) for r in parsed.collect()}
+    assert {name: rows["u"][name] for name in want} == want
+    assert all(rows[url]["lists"] == rows[url]["tables"] == [] for url in "enp")
+
+
 def test_stray_end_tags_take_linear_time():
     started = time.monotonic()
     got = page("<ul>" * 50_000 + "</h1>" * 200_000 + "<p>done")
