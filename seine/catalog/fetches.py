@@ -22,7 +22,8 @@ from . import inputs
 RETRIES = RetryPolicy(max_retries=2)
 BREAKER = BreakerPolicy(threshold=3, recovery_s=86_400)
 PACE = PacePolicy(requests_per_second=0.001, min_delay=7_200)
-# The skewed log's bound: a key of more rows than this is cut into parts of about half as many.
+# The skewed log's bound: a key of more rows than this is cut into parts of about half as many,
+# of more where those would be too many (``ordered.MAX_PARTS``).
 SKEW_ROWS = 2_000
 SKEW_BREAKER = BreakerPolicy(threshold=3, recovery_s=20)
 

@@ -23,6 +23,9 @@ from ..session import cut_lineage, scratch_path
 HEAVY_ROWS = 4_000_000
 # Spark allows 100,000 buckets; with more parts than this a bucket holds several.
 MAX_BUCKETS = 10_000
+# Every part is a task whose result, and whose share of the sample for the ranges, goes to the driver:
+# a smaller bound than HEAVY_ROWS cuts heavy keys into at most so many parts, HEAVY_ROWS into any number.
+MAX_PARTS = 1_000
 
 
 def range_parts(rows: DataFrame, order: Sequence[str], parts: int, *first: str) -> DataFrame:
@@ -53,7 +56,8 @@ def split_heavy(rows: DataFrame, keys: Sequence[str], heavy_rows: int = HEAVY_RO
     """Rows of the light keys, those of keys with more than ``heavy_rows`` rows (None if none), and parts to cut these into.
 
     The list of heavy keys is written, not kept as a plan: its real size then decides how it
-    is joined. Two parts for every ``heavy_rows`` rows leave room for ranges found by sampling.
+    is joined. Two parts for every ``heavy_rows`` rows leave room for ranges found by sampling;
+    beyond ``MAX_PARTS`` parts grow instead, up to the rows of two parts for every ``HEAVY_ROWS``.
     """
     counted = rows.groupBy(*keys).agg(F.count("*").alias("_rows")).where(F.col("_rows") > heavy_rows)
     heavy = cut_lineage(counted, "heavy")
@@ -61,7 +65,8 @@ def split_heavy(rows: DataFrame, keys: Sequence[str], heavy_rows: int = HEAVY_RO
     if not total:
         return rows, None, 0
     names = heavy.select(*keys)
-    parts = min(-(-2 * total // max(heavy_rows, 1)), total)
+    wanted, needed = (-(-2 * total // max(bound, 1)) for bound in (heavy_rows, HEAVY_ROWS))
+    parts = min(wanted, max(needed, MAX_PARTS), total)
     return null_safe(rows, names, keys, "left_anti"), null_safe(rows, names, keys, "left_semi"), parts
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from seine.functions.retry import RetryPolicy
+from seine.operators import ordered
 from seine.operators.attempts import number_attempts
 from seine.operators.breaker import BreakerPolicy, breaker_states, replay_breaker, walk
 from seine.operators.ordered import Ordered, number_rows, range_parts
@@ -44,6 +45,19 @@ def test_ordered_columns_equal_plain_windows(spark, heavy):
     assert {tuple(r) for r in got.collect()} == {tuple(r) for r in plain.collect()}
 
 
+def test_parts_are_bounded_until_they_are_large(spark, monkeypatch):
+    """What every part sends to the driver must not grow with the log while parts are small."""
+    rows = spark.range(3000).select(F.lit("a").alias("k"), F.col("id").alias("t"))
+    assert ordered.split_heavy(rows, ["k"], 100)[2] == 60
+    assert ordered.split_heavy(rows, ["k"], 2)[2] == 1000
+    monkeypatch.setattr(ordered, "MAX_PARTS", 3)
+    assert ordered.split_heavy(rows, ["k"], 2)[2] == 3
+    monkeypatch.setattr(ordered, "HEAVY_ROWS", 500)
+    assert ordered.split_heavy(rows, ["k"], 2)[2] == 12
+    got = number_rows(rows, ["k"], ["t"], heavy_rows=2).where("rn = t + 1").count()
+    assert got == 3000
+
+
 def fold(events, policy):
     """The breaker, one event at a time."""
     state, failures, opened, out = "closed", 0, 0, []
