@@ -81,8 +81,8 @@ def _ranked(rows: DataFrame, view: str) -> DataFrame:
     The one row of ranks is a scalar subquery: a constant of fixed size in the plan.
     """
     kept = [c for c in rows.columns if c != "line"]
-    rare = rows.selectExpr(*kept, f"{words()} AS words", f"(SELECT ranks FROM {view}) AS ranks")
-    order = f"transform(words, w -> shiftleft(ranks[cast(pmod(xxhash64(w), {COUNTERS}) as int)], 58) | shiftrightunsigned(xxhash64(w), 6))"
+    rare = rows.selectExpr(*kept, f"transform({words()}, w -> xxhash64(w)) AS hashes", f"(SELECT ranks FROM {view}) AS ranks")
+    order = f"transform(hashes, h -> shiftleft(ranks[cast(pmod(h, {COUNTERS}) as int)], 58) | shiftrightunsigned(h, 6))"
     return rare.selectExpr(*kept, f"sort_array(array_distinct({order})) AS tokens").selectExpr(*kept, "tokens", "xxhash64(tokens) AS set_id")
 
 
@@ -119,8 +119,8 @@ def _verified(pairs: DataFrame, documents: DataFrame, firsts: DataFrame, view: s
     some = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(marked(asked, "doc_id"))
     rows = worded_lines(some).where(marked(asked, "doc_id", "line_no")).select("line")
     # The map of places lets some other lines through; that of sets spares nearly all of these the exchange.
+    # Both joins read the one exchange that the distinct sets come from.
     found = _ranked(rows, view).where(marked(asked, "set_id")).join(asked.select("set_id", "first"), "set_id").dropDuplicates(["set_id"])
-    found = cut_lineage(found, "line_tokens")
     one = pairs.join(found.select(F.col("set_id").alias("a"), F.col("tokens").alias("s"), F.col("first").alias("f")), "a")
     both = one.join(found.select(F.col("set_id").alias("b"), F.col("tokens").alias("t"), F.col("first").alias("g")), "b")
     both = both.withColumn("common", F.size(F.array_intersect("s", "t")))
@@ -143,7 +143,7 @@ def _early_pairs(reps: DataFrame) -> DataFrame:
         "set_id", "n", "bits", "first.doc_id AS doc", f"explode({turned}) AS token", f"cast(floor(ln(n) / {math.log(100 / PERCENT)}) as int) AS band"
     )
     part = f"pmod(xxhash64(set_id), shiftleft(1L, cast(greatest((token & 63) - {PART_BITS}, 0) as int)))"
-    rows = rows.selectExpr(f"xxhash64(token, band, {part}) AS key", "set_id", "n", "bits", "doc")
+    rows = rows.selectExpr("n", "doc", f"hash(token, band, {part}) AS key", "set_id", "bits")
     order = Window.partitionBy("key").orderBy("doc", "set_id")
     y = F.struct("set_id", "n", "bits")
     some = F.array_append(F.collect_list(y).over(order.rowsBetween(-BEFORE, -1)), F.first(y).over(order))
@@ -175,11 +175,14 @@ def similar_lines(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     # The others meet one another, and settled ones that do not stand in a later document, on every prefix token.
     mark = settled.select("set_id", F.lit(True).alias("settled"))
     rows = reps.join(mark, "set_id", "left").select("set_id", "n", "bits", "first", "settled", F.posexplode("prefix").alias("pos", "token"))
-    rows = rows.selectExpr("settled", "token", "set_id", "bits", "shiftleft(cast(n as bigint), 32) | pos AS at", f"coalesce(first.doc_id, {-(2**63) + 1}L - 1) AS doc")
+    # Tokens meet by 32 bits of them: two that agree by chance add pairs to verify and lose none.
+    rows = rows.selectExpr("settled", "hash(token) AS token", "set_id", "bits", "shiftleft(cast(n as bigint), 32) | pos AS at", f"coalesce(first.doc_id, {-(2**63) + 1}L - 1) AS doc")
     open_rows, done_rows = rows.where("settled IS NULL").drop("settled"), rows.where("settled").drop("settled")
     pair = ["least(x.set_id, y.set_id) AS a", "greatest(x.set_id, y.set_id) AS b", f"least(shiftright(x.at, 32), shiftright(y.at, 32)) div {MORE} AS more"]
     x, y, z = open_rows.alias("x"), open_rows.alias("y"), done_rows.alias("x")
-    pairs = x.join(y, F.expr(f"x.token = y.token AND x.set_id < y.set_id AND {_close_on_token()}")).selectExpr(*pair)
+    # Both joins use the same columns of the open rows, so that these are exchanged once for all.
+    once = "(x.doc < y.doc OR x.doc = y.doc AND x.set_id < y.set_id)"
+    pairs = x.join(y, F.expr(f"x.token = y.token AND {once} AND {_close_on_token()}")).selectExpr(*pair)
     pairs = pairs.union(z.join(y, F.expr(f"x.token = y.token AND x.doc <= y.doc AND {_close_on_token()}")).selectExpr(*pair))
     shared = pairs.groupBy("a", "b").agg(F.count("*").alias("shared"), F.first("more").alias("more"))
     found = _verified(cut_lineage(shared.where("shared > more").select("a", "b"), "line_pairs"), documents, firsts, view)

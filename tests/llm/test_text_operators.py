@@ -126,6 +126,31 @@ def test_line_dedup_of_rows_without_an_id(spark, monkeypatch, frequent):
     assert {r.doc_id: (r.n_lines, r.n_kept, r.removed) for r in got} == {None: (4, 4, []), 1: (1, 0, [0]), 2: (2, 1, [1])}
 
 
+def test_line_rows_are_exchanged_once_for_both_joins(spark, monkeypatch):
+    """Rows of prefix tokens and words to verify are most of the disk: each is written to one exchange."""
+    plans = {}
+    cut = lines.cut_lineage
+
+    def noted(df, label="cut"):
+        plans.setdefault(label, df._jdf.queryExecution().executedPlan().toString())
+        return cut(df, label)
+
+    monkeypatch.setattr(lines, "cut_lineage", noted)
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {key: spark.conf.get(key) for key in settings}
+    texts = [(1, "a b c d e f g h i j"), (2, "a b c d e f g h i k"), (3, "l m n o p\nq r s t u")]
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        got = {r.doc_id: r.removed for r in lines.clean(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert got == {1: [], 2: [0], 3: []}
+    assert len(re.findall(r"\+- Exchange hashpartitioning\(token", plans["line_pairs"])) == 2
+    assert "line_tokens" not in plans and "ReusedExchange" in plans["line_matches"]
+
+
 def test_texts_without_their_removed_lines(spark):
     """Each row's own text is rebuilt, also of rows that share an id or have none, with every column kept."""
     line = "one two three four five"
