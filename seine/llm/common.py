@@ -60,22 +60,22 @@ def keep_rows(df: DataFrame, keeps, column: str = "text") -> DataFrame:
     return df.mapInArrow(judge, df.schema)
 
 
-def _mark(columns: tuple[str, ...]) -> Column:
-    return F.pmod(F.xxhash64(*columns), F.lit(MARK_BITS))
+def _mark(columns: tuple[str, ...], size: int) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(size))
 
 
-def marked(keys: DataFrame, *columns: str) -> Column:
+def marked(keys: DataFrame, *columns: str, size: int = MARK_BITS) -> Column:
     """Whether a row's ``columns`` may be among ``keys`` (the same columns): never wrongly false.
 
-    The keys become a map of a fixed number of bits, which goes to the tasks as a constant,
+    The keys become a map of ``size`` bits, which goes to the tasks as a constant,
     a scalar subquery over a written one-row table. Rows without a mark need no join.
     """
     spark = keys.sparkSession
-    words = keys.select(_mark(columns).alias("m")).groupBy(F.expr("cast(m div 64 as int)").alias("place")).agg(F.expr("bit_or(shiftleft(1L, cast(m % 64 as int)))").alias("bits"))
-    places = spark.range(MARK_BITS // 64).select(F.col("id").cast("int").alias("place"))
+    words = keys.select(_mark(columns, size).alias("m")).groupBy(F.expr("cast(m div 64 as int)").alias("place")).agg(F.expr("bit_or(shiftleft(1L, cast(m % 64 as int)))").alias("bits"))
+    places = spark.range(size // 64).select(F.col("id").cast("int").alias("place"))
     every = places.join(words, "place", "left").select("place", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))
     row = every.agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "bits"))), lambda x: x["bits"]).alias("marks"))
     view = f"marks_{uuid.uuid4().hex}"
     cut_lineage(row, "marks").createOrReplaceTempView(view)
-    place = f"pmod(xxhash64({', '.join(f'`{c}`' for c in columns)}), {MARK_BITS}L)"
+    place = f"pmod(xxhash64({', '.join(f'`{c}`' for c in columns)}), {size}L)"
     return F.expr(f"shiftright((SELECT marks FROM {view})[cast({place} div 64 as int)], cast({place} % 64 as int)) & 1 = 1")

@@ -37,9 +37,15 @@ TRIED_TOKENS = 3
 BEFORE = 8
 # Words seen more than 2 to this power times have early sets of their own in parts of about so many sets.
 PART_BITS = 12
+# Bits of the maps of the lines and sets to verify, which spare the other lines being cut into words.
+VERIFY_BITS = 1 << 23
 BLANKS = " \t\r\f\x0b"
 
 
+def _cut(df: DataFrame, label: str) -> DataFrame:
+    return cut_lineage(df, label, tidy=True)
+
+
 def line_rows(documents: DataFrame) -> DataFrame:
     """doc_id, text_id, line_no and line of every line; a null text has none.
 
@@ -115,19 +121,19 @@ def _verified(pairs: DataFrame, documents: DataFrame, firsts: DataFrame, view: s
     Only the lines asked for are cut into words again, and only their documents into lines.
     """
     asked = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct().join(firsts, "set_id")
-    asked = cut_lineage(asked.select("set_id", "first", "first.doc_id", "first.line_no"), "line_asked")
+    asked = _cut(asked.select("set_id", "first", "first.doc_id", "first.line_no"), "line_asked")
     some = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(marked(asked, "doc_id"))
-    rows = worded_lines(some).where(marked(asked, "doc_id", "line_no")).select("line")
+    rows = worded_lines(some).where(marked(asked, "doc_id", "line_no", size=VERIFY_BITS)).select("line")
     # The map of places lets some other lines through; that of sets spares nearly all of these the exchange.
     # Both joins read the one exchange that the distinct sets come from.
-    found = _ranked(rows, view).where(marked(asked, "set_id")).join(asked.select("set_id", "first"), "set_id").dropDuplicates(["set_id"])
+    found = _ranked(rows, view).where(marked(asked, "set_id", size=VERIFY_BITS)).join(asked.select("set_id", "first"), "set_id").dropDuplicates(["set_id"])
     one = pairs.join(found.select(F.col("set_id").alias("a"), F.col("tokens").alias("s"), F.col("first").alias("f")), "a")
     both = one.join(found.select(F.col("set_id").alias("b"), F.col("tokens").alias("t"), F.col("first").alias("g")), "b")
     both = both.withColumn("common", F.size(F.array_intersect("s", "t")))
     similar = both.where(f"100 * common >= {PERCENT} * (size(s) + size(t) - common)")
     later = F.when(F.col("f") < F.col("g"), F.col("b")).otherwise(F.col("a"))
     matches = similar.groupBy(later.alias("set_id")).agg(F.min(F.least("f", "g")).alias("match"))
-    return cut_lineage(matches, "line_matches")
+    return _cut(matches, "line_matches")
 
 
 def _early_pairs(reps: DataFrame) -> DataFrame:
@@ -160,17 +166,17 @@ def similar_lines(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     similar, null if there is none.
     """
     view = f"rarity_{uuid.uuid4().hex}"
-    cut_lineage(_counters(documents), "rarity").createOrReplaceTempView(view)
-    lines = cut_lineage(_lines(documents, view), "lines")
+    _cut(_counters(documents), "rarity").createOrReplaceTempView(view)
+    lines = _cut(_lines(documents, view), "lines")
     here = F.struct("doc_id", "line_no")
-    firsts = cut_lineage(lines.groupBy("set_id").agg(F.min(here).alias("first"), F.count("*").alias("copies")), "line_sets")
+    firsts = _cut(lines.groupBy("set_id").agg(F.min(here).alias("first"), F.count("*").alias("copies")), "line_sets")
     several = firsts.where("copies > 1").select("set_id", "first")
     # A set's first line stands for it; repeated rows of its document do as well, which adds nothing.
     reps = lines.select("set_id", "n", "bits", "prefix", here.alias("here")).join(several, "set_id", "left")
     reps = reps.where("first IS NULL OR first <=> here").select("set_id", "n", "bits", "prefix", F.col("here").alias("first"))
 
     firsts = firsts.select("set_id", "first")
-    settled = _verified(cut_lineage(_early_pairs(reps), "early_pairs"), documents, firsts, view)
+    settled = _verified(_cut(_early_pairs(reps), "early_pairs"), documents, firsts, view)
 
     # The others meet one another, and settled ones that do not stand in a later document, on every prefix token.
     mark = settled.select("set_id", F.lit(True).alias("settled"))
@@ -185,9 +191,9 @@ def similar_lines(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     pairs = x.join(y, F.expr(f"x.token = y.token AND {once} AND {_close_on_token()}")).selectExpr(*pair)
     pairs = pairs.union(z.join(y, F.expr(f"x.token = y.token AND x.doc <= y.doc AND {_close_on_token()}")).selectExpr(*pair))
     shared = pairs.groupBy("a", "b").agg(F.count("*").alias("shared"), F.first("more").alias("more"))
-    found = _verified(cut_lineage(shared.where("shared > more").select("a", "b"), "line_pairs"), documents, firsts, view)
+    found = _verified(_cut(shared.where("shared > more").select("a", "b"), "line_pairs"), documents, firsts, view)
 
-    matches = cut_lineage(settled.union(found).groupBy("set_id").agg(F.min("match").alias("match")), "line_verdicts")
+    matches = _cut(settled.union(found).groupBy("set_id").agg(F.min("match").alias("match")), "line_verdicts")
     alone = several.join(matches, "set_id", "left_anti").withColumn("match", F.lit(None).cast(matches.schema["match"].dataType))
     return lines, alone.unionByName(firsts.join(matches, "set_id"))
 
@@ -213,7 +219,7 @@ def removed_lines(documents: DataFrame) -> DataFrame:
 def _gone(documents: DataFrame) -> DataFrame:
     """The sorted numbers of the lines to remove of every text that loses any: doc_id, text_id, gone."""
     gone = removed_lines(documents).groupBy("doc_id", "text_id").agg(F.array_sort(F.collect_set("line_no")).alias("gone"))
-    return cut_lineage(gone, "lines_gone")
+    return _cut(gone, "lines_gone")
 
 
 def without_lines(documents: DataFrame) -> DataFrame:

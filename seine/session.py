@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+# Whether the shuffle files of a query go when it ends, or when the driver next collects garbage.
+CLEANUP_KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 # Spark's default bytes per scan split.
 SPLIT_BYTES = 128 * 1024 * 1024
 
@@ -52,15 +54,23 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
+def cut_lineage(df: DataFrame, label: str = "cut", *, tidy: bool = False) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     The result survives executor loss, since it is files rather than blocks, and
-    later plans start from a columnar scan with real size statistics.
+    later plans start from a columnar scan with real size statistics. With ``tidy`` the
+    shuffle files of the writing go as soon as it ends: nothing reads them again.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP_KEY, "false")
+    try:
+        if tidy:
+            spark.conf.set(CLEANUP_KEY, "true")
+        df.write.parquet(path)
+    finally:
+        if tidy:
+            spark.conf.set(CLEANUP_KEY, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -1,9 +1,12 @@
 """The operators on texts against plain versions, with nulls, empty and very long texts, copies and empty tables."""
 
+import glob
 import hashlib
 import itertools
 import random
 import re
+import tempfile
+import time
 import zlib
 
 import numpy as np
@@ -12,6 +15,7 @@ import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from seine import session
 from seine.llm import bpe, catalog, chat, components, exact, langid, lattice, lines, minhash, packing, toxicity, warc
 
 DOCS = "doc_id long, text string, lang string, score string"
@@ -129,13 +133,13 @@ def test_line_dedup_of_rows_without_an_id(spark, monkeypatch, frequent):
 def test_line_rows_are_exchanged_once_for_both_joins(spark, monkeypatch):
     """Rows of prefix tokens and words to verify are most of the disk: each is written to one exchange."""
     plans = {}
-    cut = lines.cut_lineage
+    cut = lines._cut
 
-    def noted(df, label="cut"):
+    def noted(df, label):
         plans.setdefault(label, df._jdf.queryExecution().executedPlan().toString())
         return cut(df, label)
 
-    monkeypatch.setattr(lines, "cut_lineage", noted)
+    monkeypatch.setattr(lines, "_cut", noted)
     settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
     before = {key: spark.conf.get(key) for key in settings}
     texts = [(1, "a b c d e f g h i j"), (2, "a b c d e f g h i k"), (3, "l m n o p\nq r s t u")]
@@ -148,9 +152,22 @@ def test_line_rows_are_exchanged_once_for_both_joins(spark, monkeypatch):
             spark.conf.set(key, value)
     assert got == {1: [], 2: [0], 3: []}
     assert len(re.findall(r"\+- Exchange hashpartitioning\(token", plans["line_pairs"])) == 2
+    assert spark.conf.get(session.CLEANUP_KEY) == "false"
     assert "line_tokens" not in plans and "ReusedExchange" in plans["line_matches"]
 
 
+def test_shuffle_files_of_a_tidy_cut_go_at_its_end(spark):
+    found = lambda: set(glob.glob(f"{tempfile.gettempdir()}/blockmgr-*/*/shuffle_*.data"))
+    before = found()
+    rows = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    assert lines._cut(rows, "tidy").count() == 7
+    until = time.monotonic() + 10
+    while len(found() - before) > 1 and time.monotonic() < until:
+        time.sleep(0.1)
+    # One is the counting's own, which is not written.
+    assert len(found() - before) <= 1
+
+
 def test_texts_without_their_removed_lines(spark):
     """Each row's own text is rebuilt, also of rows that share an id or have none, with every column kept."""
     line = "one two three four five"
