@@ -29,7 +29,9 @@ from ..session import cut_lineage
 from .common import marked
 
 PERCENT = 80
-COUNTERS = 1 << 16
+COUNTERS = 1 << 19
+# Counters that one task puts in order.
+COUNTER_ROWS = 1 << 12
 # A prefix is longer by one token per so many, and pairs must share as many tokens more.
 MORE = 32
 # Tokens of a set on each of which it is first compared with one of so many sets before it.
@@ -57,11 +59,11 @@ def line_rows(documents: DataFrame) -> DataFrame:
     return rows.select("doc_id", "text_id", F.posexplode("lines").alias("line_no", "line"))
 
 
-def words() -> str:
-    """The words of a line, which ASCII white space divides; most lines hold no other than the space."""
-    other = " OR ".join(f"contains(line, '{c}')" for c in BLANKS[1:])
-    plain, rest = "split(lower(line), ' ', -1)", f"split(lower(line), '[{BLANKS}]+', -1)"
-    return f"array_remove(if({other}, {rest}, {plain}), '')"
+def words(line: str = "line") -> str:
+    """The words of a line, which ASCII white space divides, and empty ones; most lines hold no other than the space."""
+    other = " OR ".join(f"contains({line}, '{c}')" for c in BLANKS[1:])
+    plain, rest = f"split(lower({line}), ' ', -1)", f"split(lower({line}), '[{BLANKS}]+', -1)"
+    return f"if({other}, {rest}, {plain})"
 
 
 def worded_lines(documents: DataFrame) -> DataFrame:
@@ -70,32 +72,31 @@ def worded_lines(documents: DataFrame) -> DataFrame:
 
 
 def _counters(documents: DataFrame) -> DataFrame:
-    """One row: how often a word of each hashed value occurs, as an array of powers of two."""
-    token = F.xxhash64("word")
-    found = documents.select(F.explode(F.split(F.lower("text"), f"[{BLANKS}\n]+", -1)).alias("word"))
-    counts = found.groupBy(F.pmod(token, F.lit(COUNTERS)).cast("int").alias("place")).agg(F.count("*").alias("n"))
-    places = documents.sparkSession.range(COUNTERS).select(F.col("id").cast("int").alias("place"))
-    every = places.join(counts, "place", "left").select("place", F.coalesce("n", F.lit(0)).alias("n"))
+    """One row: how often a word of each hashed value occurs, as an array of powers of two; 0 stands for once at most."""
+    found = documents.select(F.explode(F.expr(words("replace(text, '\n', ' ')"))).alias("word"))
+    counts = found.groupBy(F.expr(f"cast(xxhash64(word) & {COUNTERS - 1} as int)").alias("place")).agg(F.count("*").alias("n"))
+    places = documents.sparkSession.range(COUNTERS).select(F.col("id").cast("int").alias("place"), F.lit(0).cast("long").alias("n"))
     # Rarity by powers of two, at most 62; the packed order then is a few bits and the hash.
-    rank = F.floor(F.log2(F.col("n") + 1)).cast("long")
-    return every.agg(F.transform(F.array_sort(F.collect_list(F.struct("place", rank.alias("rank")))), lambda x: x["rank"]).alias("ranks"))
+    rank = F.floor(F.log2(F.greatest(F.max("n"), F.lit(1)))).cast("tinyint")
+    every = places.union(counts).groupBy("place").agg(rank.alias("rank"))
+    parts = every.groupBy(F.expr(f"place div {COUNTER_ROWS}").alias("part")).agg(F.array_sort(F.collect_list(F.struct("place", "rank"))).alias("rows"))
+    parts = parts.select("part", F.col("rows.rank").alias("ranks"))
+    return parts.agg(F.array_sort(F.collect_list(F.struct("part", "ranks"))).alias("rows")).select(F.flatten(F.col("rows.ranks")).alias("ranks"))
 
 
-def _ranked(rows: DataFrame, view: str) -> DataFrame:
-    """``rows`` of lines with their tokens in order of rarity and the id of their set.
+def _lines(documents: DataFrame, view: str) -> DataFrame:
+    """Every line with words: its place, the id and size of its set, a map of the tokens and the prefix of their order.
 
     The one row of ranks is a scalar subquery: a constant of fixed size in the plan.
     """
-    kept = [c for c in rows.columns if c != "line"]
-    rare = rows.selectExpr(*kept, f"transform({words()}, w -> xxhash64(w)) AS hashes", f"(SELECT ranks FROM {view}) AS ranks")
-    order = f"transform(hashes, h -> shiftleft(ranks[cast(pmod(h, {COUNTERS}) as int)], 58) | shiftrightunsigned(h, 6))"
-    return rare.selectExpr(*kept, f"sort_array(array_distinct({order})) AS tokens").selectExpr(*kept, "tokens", "xxhash64(tokens) AS set_id")
-
-
-def _lines(documents: DataFrame, view: str) -> DataFrame:
-    """Every line with words: its place, the id and size of its set, a map of the tokens and the prefix of their order."""
-    return _ranked(worded_lines(documents), view).selectExpr(
-        "doc_id", "text_id", "line_no", "set_id", "size(tokens) AS n",
+    place = ("doc_id", "text_id", "line_no")
+    hashes = f"array_remove(transform({words()}, w -> xxhash64(w)), xxhash64(''))"
+    hashed = worded_lines(documents).selectExpr(*place, f"{hashes} AS hashes", f"(SELECT ranks FROM {view}) AS ranks")
+    # Longs that cannot be null are sorted without being boxed.
+    rank = f"coalesce(cast(ranks[h & {COUNTERS - 1}] as bigint), 0L)"
+    order = f"transform(hashes, h -> shiftleft({rank}, 58) | shiftrightunsigned(h, 6))"
+    return hashed.selectExpr(*place, f"sort_array(array_distinct({order})) AS tokens").selectExpr(
+        *place, "xxhash64(tokens) AS set_id", "size(tokens) AS n",
         "aggregate(tokens, 0L, (a, t) -> a ^ shiftleft(1L, cast(t & 63 as int))) AS bits",
         f"slice(tokens, 1, size(tokens) - {_ceil(f'size(tokens) * {PERCENT}', 100)} + 1 + cast(size(tokens) div {MORE} as int)) AS prefix",
     )
@@ -115,20 +116,21 @@ def _close_on_token() -> str:
     return f"{left} >= {need} - {less} div {MORE} AND {_close(size('x'), size('y'))}"
 
 
-def _verified(pairs: DataFrame, documents: DataFrame, firsts: DataFrame, view: str) -> DataFrame:
+def _verified(pairs: DataFrame, documents: DataFrame, firsts: DataFrame) -> DataFrame:
     """set_id and match of ``pairs`` (a, b) that are similar: the later set's, and where the earlier first stands.
 
-    Only the lines asked for are cut into words again, and only their documents into lines.
+    Only the lines asked for, found by their places, are cut into words again.
     """
     asked = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct().join(firsts, "set_id")
-    asked = _cut(asked.select("set_id", "first", "first.doc_id", "first.line_no"), "line_asked")
-    some = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(marked(asked, "doc_id"))
-    rows = worded_lines(some).where(marked(asked, "doc_id", "line_no", size=VERIFY_BITS)).select("line")
-    # The map of places lets some other lines through; that of sets spares nearly all of these the exchange.
-    # Both joins read the one exchange that the distinct sets come from.
-    found = _ranked(rows, view).where(marked(asked, "set_id", size=VERIFY_BITS)).join(asked.select("set_id", "first"), "set_id").dropDuplicates(["set_id"])
-    one = pairs.join(found.select(F.col("set_id").alias("a"), F.col("tokens").alias("s"), F.col("first").alias("f")), "a")
-    both = one.join(found.select(F.col("set_id").alias("b"), F.col("tokens").alias("t"), F.col("first").alias("g")), "b")
+    asked = _cut(asked.select("set_id", "first", "first.doc_id", "first_text", "first.line_no"), "line_asked")
+    keys = asked.select("doc_id", F.col("first_text").alias("text_id"), "line_no")
+    rows = line_rows(documents).where(marked(keys, "doc_id", "text_id", "line_no", size=VERIFY_BITS)).alias("r")
+    met = rows.join(asked.alias("k"), F.expr("r.doc_id <=> k.doc_id AND r.text_id = k.first_text AND r.line_no = k.line_no")).select("set_id", "first", "line")
+    # Both joins read one exchange of the lines; their words, which take more room, come after.
+    found = _cut(met, "lines_to_verify").dropDuplicates(["set_id"])
+    one = pairs.join(found.select(F.col("set_id").alias("a"), F.col("line").alias("s"), F.col("first").alias("f")), "a")
+    both = one.join(found.select(F.col("set_id").alias("b"), F.col("line").alias("t"), F.col("first").alias("g")), "b")
+    both = both.selectExpr("a", "b", "f", "g", *[f"array_remove(array_distinct({words(c)}), '') AS {c}" for c in "st"])
     both = both.withColumn("common", F.size(F.array_intersect("s", "t")))
     similar = both.where(f"100 * common >= {PERCENT} * (size(s) + size(t) - common)")
     later = F.when(F.col("f") < F.col("g"), F.col("b")).otherwise(F.col("a"))
@@ -149,7 +151,7 @@ def _early_pairs(reps: DataFrame) -> DataFrame:
         "set_id", "n", "bits", "first.doc_id AS doc", f"explode({turned}) AS token", f"cast(floor(ln(n) / {math.log(100 / PERCENT)}) as int) AS band"
     )
     part = f"pmod(xxhash64(set_id), shiftleft(1L, cast(greatest((token & 63) - {PART_BITS}, 0) as int)))"
-    rows = rows.selectExpr("n", "doc", f"hash(token, band, {part}) AS key", "set_id", "bits")
+    rows = rows.where("token & 63 > 0").selectExpr("n", "doc", f"hash(token, band, {part}) AS key", "set_id", "bits")
     order = Window.partitionBy("key").orderBy("doc", "set_id")
     y = F.struct("set_id", "n", "bits")
     some = F.array_append(F.collect_list(y).over(order.rowsBetween(-BEFORE, -1)), F.first(y).over(order))
@@ -169,18 +171,21 @@ def similar_lines(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     _cut(_counters(documents), "rarity").createOrReplaceTempView(view)
     lines = _cut(_lines(documents, view), "lines")
     here = F.struct("doc_id", "line_no")
-    firsts = _cut(lines.groupBy("set_id").agg(F.min(here).alias("first"), F.count("*").alias("copies")), "line_sets")
+    firsts = lines.groupBy("set_id").agg(F.min(F.struct("doc_id", "line_no", "text_id")).alias("f"), F.count("*").alias("copies"))
+    firsts = firsts.select("set_id", F.struct("f.doc_id", "f.line_no").alias("first"), F.col("f.text_id").alias("first_text"), "copies")
+    firsts = _cut(firsts, "line_sets")
     several = firsts.where("copies > 1").select("set_id", "first")
     # A set's first line stands for it; repeated rows of its document do as well, which adds nothing.
     reps = lines.select("set_id", "n", "bits", "prefix", here.alias("here")).join(several, "set_id", "left")
     reps = reps.where("first IS NULL OR first <=> here").select("set_id", "n", "bits", "prefix", F.col("here").alias("first"))
 
-    firsts = firsts.select("set_id", "first")
-    settled = _verified(_cut(_early_pairs(reps), "early_pairs"), documents, firsts, view)
+    settled = _verified(_cut(_early_pairs(reps), "early_pairs"), documents, firsts)
 
     # The others meet one another, and settled ones that do not stand in a later document, on every prefix token.
     mark = settled.select("set_id", F.lit(True).alias("settled"))
     rows = reps.join(mark, "set_id", "left").select("set_id", "n", "bits", "first", "settled", F.posexplode("prefix").alias("pos", "token"))
+    # A word that occurs once, whose token so has rank 0, is in no other set.
+    rows = rows.where("shiftrightunsigned(token, 58) > 0")
     # Tokens meet by 32 bits of them: two that agree by chance add pairs to verify and lose none.
     rows = rows.selectExpr("settled", "hash(token) AS token", "set_id", "bits", "shiftleft(cast(n as bigint), 32) | pos AS at", f"coalesce(first.doc_id, {-(2**63) + 1}L - 1) AS doc")
     open_rows, done_rows = rows.where("settled IS NULL").drop("settled"), rows.where("settled").drop("settled")
@@ -191,11 +196,11 @@ def similar_lines(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     pairs = x.join(y, F.expr(f"x.token = y.token AND {once} AND {_close_on_token()}")).selectExpr(*pair)
     pairs = pairs.union(z.join(y, F.expr(f"x.token = y.token AND x.doc <= y.doc AND {_close_on_token()}")).selectExpr(*pair))
     shared = pairs.groupBy("a", "b").agg(F.count("*").alias("shared"), F.first("more").alias("more"))
-    found = _verified(_cut(shared.where("shared > more").select("a", "b"), "line_pairs"), documents, firsts, view)
+    found = _verified(_cut(shared.where("shared > more").select("a", "b"), "line_pairs"), documents, firsts)
 
     matches = _cut(settled.union(found).groupBy("set_id").agg(F.min("match").alias("match")), "line_verdicts")
     alone = several.join(matches, "set_id", "left_anti").withColumn("match", F.lit(None).cast(matches.schema["match"].dataType))
-    return lines, alone.unionByName(firsts.join(matches, "set_id"))
+    return lines, alone.unionByName(firsts.select("set_id", "first").join(matches, "set_id"))
 
 
 def _ceil(value: str, divisor: int) -> str:

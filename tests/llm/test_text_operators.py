@@ -168,6 +168,27 @@ def test_shuffle_files_of_a_tidy_cut_go_at_its_end(spark):
     assert len(found() - before) <= 1
 
 
+def test_words_are_ranked_by_their_own_frequency(spark):
+    """Rows of unlike lines do not meet: every rare word comes before the frequent ones, and one that occurs once is in no row."""
+    rows = [(i, " ".join(f"w{i * 40 + k}" for k in range(40)) + " the of and\tto in\r") for i in range(300)]
+    table = spark.createDataFrame([*rows, (300, "w0 w0 w1\n\nw1 other")], "doc_id long, text string")
+    ranks = lines._counters(table).collect()[0].ranks
+    assert len(ranks) == lines.COUNTERS
+    place = lambda w: spark.range(1).select(F.expr(f"xxhash64('{w}') & {lines.COUNTERS - 1}").alias("p")).collect()[0].p
+    assert [ranks[place(w)] for w in ("the", "and", "to", "in")] == [8] * 4 and [ranks[place(w)] for w in ("w0", "w1")] == [1, 1]
+    single = [ranks[place(f"w{i}")] for i in range(100, 140)]
+    assert single.count(0) >= 35 and max(single) <= 1
+
+
+def test_lines_to_verify_are_found_by_their_own_text(spark):
+    """Rows that share a place, by a repeated or missing id, are told apart; blanks of every kind divide words."""
+    base = [f"a{i}" for i in range(20)]
+    near = " ".join(["other", *base[1:]])
+    texts = [(1, "x " * 9), (1, " ".join(base)), (1, "y z " * 9), (None, "no id"), (None, "b c d e f g h i j k"), (2, near.replace(" ", "\t")), (3, "b\x0bc\rd e f  g h i j\f")]
+    got = {r.doc_id: r.removed for r in lines.clean(spark.createDataFrame([*texts, texts[1]], "doc_id long, text string")).collect()}
+    assert got == {1: [], None: [], 2: [0], 3: [0]}
+
+
 def test_texts_without_their_removed_lines(spark):
     """Each row's own text is rebuilt, also of rows that share an id or have none, with every column kept."""
     line = "one two three four five"
