@@ -127,7 +127,7 @@ def _verified(pairs: DataFrame, documents: DataFrame, firsts: DataFrame) -> Data
     rows = line_rows(documents).where(marked(keys, "doc_id", "text_id", "line_no", size=VERIFY_BITS)).alias("r")
     met = rows.join(asked.alias("k"), F.expr("r.doc_id <=> k.doc_id AND r.text_id = k.first_text AND r.line_no = k.line_no")).select("set_id", "first", "line")
     # Both joins read one exchange of the lines; their words, which take more room, come after.
-    found = _cut(met, "lines_to_verify").dropDuplicates(["set_id"])
+    found = met.dropDuplicates(["set_id"])
     one = pairs.join(found.select(F.col("set_id").alias("a"), F.col("line").alias("s"), F.col("first").alias("f")), "a")
     both = one.join(found.select(F.col("set_id").alias("b"), F.col("line").alias("t"), F.col("first").alias("g")), "b")
     both = both.selectExpr("a", "b", "f", "g", *[f"array_remove(array_distinct({words(c)}), '') AS {c}" for c in "st"])
@@ -161,6 +161,15 @@ def _early_pairs(reps: DataFrame) -> DataFrame:
     return tried.where("a IS NOT NULL").distinct()
 
 
+def _prefix_rows(reps: DataFrame) -> DataFrame:
+    """A row for every prefix token of the sets ``reps`` that another set may hold."""
+    rows = reps.select("set_id", "n", "bits", "first", F.posexplode("prefix").alias("pos", "token"))
+    # A word that occurs once, whose token so has rank 0, is in no other set.
+    rows = rows.where("shiftrightunsigned(token, 58) > 0")
+    # Tokens meet by 32 bits of them: two that agree by chance add pairs to verify and lose none.
+    return rows.selectExpr("hash(token) AS token", "set_id", "bits", "shiftleft(cast(n as bigint), 32) | pos AS at", f"coalesce(first.doc_id, {-(2**63) + 1}L - 1) AS doc")
+
+
 def similar_lines(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Every line with words (doc_id, text_id, line_no, set_id, ...), and the sets of several lines or with a match.
 
@@ -176,19 +185,17 @@ def similar_lines(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     firsts = _cut(firsts, "line_sets")
     several = firsts.where("copies > 1").select("set_id", "first")
     # A set's first line stands for it; repeated rows of its document do as well, which adds nothing.
-    reps = lines.select("set_id", "n", "bits", "prefix", here.alias("here")).join(several, "set_id", "left")
-    reps = reps.where("first IS NULL OR first <=> here").select("set_id", "n", "bits", "prefix", F.col("here").alias("first"))
+    # Maps of the sets of several lines, and of the settled ones, spare the other lines an exchange.
+    every, many = lines.select("set_id", "n", "bits", "prefix", here.alias("here")), marked(several, "set_id", size=VERIFY_BITS)
+    stand = every.where(many).join(several, "set_id", "left").where("first IS NULL OR first <=> here").drop("first")
+    reps = every.where(~many).union(stand).withColumnRenamed("here", "first")
 
     settled = _verified(_cut(_early_pairs(reps), "early_pairs"), documents, firsts)
 
     # The others meet one another, and settled ones that do not stand in a later document, on every prefix token.
-    mark = settled.select("set_id", F.lit(True).alias("settled"))
-    rows = reps.join(mark, "set_id", "left").select("set_id", "n", "bits", "first", "settled", F.posexplode("prefix").alias("pos", "token"))
-    # A word that occurs once, whose token so has rank 0, is in no other set.
-    rows = rows.where("shiftrightunsigned(token, 58) > 0")
-    # Tokens meet by 32 bits of them: two that agree by chance add pairs to verify and lose none.
-    rows = rows.selectExpr("settled", "hash(token) AS token", "set_id", "bits", "shiftleft(cast(n as bigint), 32) | pos AS at", f"coalesce(first.doc_id, {-(2**63) + 1}L - 1) AS doc")
-    open_rows, done_rows = rows.where("settled IS NULL").drop("settled"), rows.where("settled").drop("settled")
+    mark, maybe = settled.select("set_id"), marked(settled, "set_id", size=VERIFY_BITS)
+    unsettled = reps.where(~maybe).union(reps.where(maybe).join(mark, "set_id", "left_anti"))
+    open_rows, done_rows = _prefix_rows(unsettled), _prefix_rows(reps.where(maybe).join(mark, "set_id", "left_semi"))
     pair = ["least(x.set_id, y.set_id) AS a", "greatest(x.set_id, y.set_id) AS b", f"least(shiftright(x.at, 32), shiftright(y.at, 32)) div {MORE} AS more"]
     x, y, z = open_rows.alias("x"), open_rows.alias("y"), done_rows.alias("x")
     # Both joins use the same columns of the open rows, so that these are exchanged once for all.
